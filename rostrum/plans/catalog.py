@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rostrum.plans import scalars  # noqa: F401
+from rostrum.plans import records, relational, scalars  # noqa: F401
 from rostrum.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
