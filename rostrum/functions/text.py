@@ -245,7 +245,8 @@ def lemma_pos(c: Column | str) -> Column:
 
 def fix_accents(c: Column | str) -> Column:
     """Old encodings wrote the long umlauts with tilde or circumflex."""
-    return F.translate(_col(c), "õÕûÛ", "őŐűŰ")
+    c = _col(c)
+    return F.when(c.rlike("[õÕûÛ]"), F.translate(c, "õÕûÛ", "őŐűŰ")).otherwise(c)
 
 
 def lc_norm(c: Column | str) -> Column:
@@ -270,11 +271,13 @@ FOLD_PAIRS = [("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("þ", "th"), ("Æ", "AE
 
 
 def ascii_fold(c: Column | str) -> Column:
-    """Accented Latin letters → ASCII."""
-    folded = F.translate(_col(c), FOLD_FROM, FOLD_TO)
+    """Accented Latin letters → ASCII; texts without any skip the character table."""
+    c = _col(c)
+    pairs = c
     for letter, pair in FOLD_PAIRS:
-        folded = F.replace(folded, F.lit(letter), F.lit(pair))
-    return folded
+        pairs = F.replace(pairs, F.lit(letter), F.lit(pair))
+    single = F.translate(F.when(c.rlike(f"[{''.join(x for x, _ in FOLD_PAIRS)}]"), pairs).otherwise(c), FOLD_FROM, FOLD_TO)
+    return F.when(c.rlike(r"[^\x00-\x7f]"), single).otherwise(c)
 
 
 def topic_label(c: Column | str) -> Column:

@@ -7,22 +7,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from rostrum.functions.text import pad_topic
-from rostrum.operators.filters import Period, period_label
+from rostrum.operators.filters import Period, filter_vocab, period_label
+from rostrum.operators.rows import unnest
 
 
 def word_count(df: DataFrame, tokens: str, term: str = "term", out: str = "freq") -> DataFrame:
     """Corpus frequency of each token of an array column."""
-    return df.select(F.explode(tokens).alias(term)).groupBy(term).agg(F.count("*").alias(out))
+    return unnest(df, **{term: tokens}).groupBy(term).agg(F.count("*").alias(out))
 
 
 def bag_of_words(df: DataFrame, doc: str, tokens: str, term: str = "term", out: str = "tf") -> DataFrame:
-    """Counts per document and term."""
-    return df.select(doc, F.explode(tokens).alias(term)).groupBy(doc, term).agg(F.count("*").alias(out))
+    """Counts per document and term. Input partitioned by document needs no further shuffle."""
+    return unnest(df, doc, **{term: tokens}).groupBy(doc, term).agg(F.count("*").alias(out))
 
 
 def doc_frequency(df: DataFrame, tokens: str, term: str = "term", out: str = "df") -> DataFrame:
     """Number of documents per term; duplicates go inside the row, so documents need no shuffle."""
-    return df.select(F.explode(F.array_distinct(tokens)).alias(term)).groupBy(term).agg(F.count("*").alias(out))
+    return unnest(df, **{term: F.array_distinct(tokens)}).groupBy(term).agg(F.count("*").alias(out))
 
 
 def value_counts(df: DataFrame, column: str, out: str = "count") -> DataFrame:
@@ -48,7 +49,7 @@ def facet_terms(df: DataFrame, facets: Mapping[str, str], size: int = 25) -> Dat
         return F.transform(F.array_distinct(F.coalesce(values.cast("array<string>"), F.array().cast("array<string>"))),
                            lambda v: F.struct(F.lit(facet).alias("facet"), v.alias("value")))
 
-    exploded = df.select(F.explode(F.concat(*[entries(f, c) for f, c in facets.items()])).alias("e")).select("e.*")
+    exploded = unnest(df, e=F.concat(*[entries(f, c) for f, c in facets.items()])).select("e.*")
     counts = exploded.filter("value is not null").groupBy("facet", "value").agg(F.count("*").alias("count"))
     rn = F.row_number().over(Window.partitionBy("facet").orderBy(F.desc("count"), "value"))
     return counts.withColumn("_rn", rn).filter(F.col("_rn") <= size).drop("_rn")
@@ -87,7 +88,7 @@ def topic_cooccurrence(doc_topics: DataFrame, k: int, topics: str = "topics") ->
     padded = doc_topics.select(F.array_sort(F.transform(topics, pad_topic)).alias("t"))
     pairs = F.flatten(F.transform("t", lambda a, i: F.transform(
         F.slice("t", i + 2, F.greatest(F.size("t"), F.lit(1))), lambda b: F.struct(a.alias("source"), b.alias("target")))))
-    seen = padded.select(F.explode(pairs).alias("p")).select("p.*").groupBy("source", "target").agg(F.count("*").alias("n"))
+    seen = unnest(padded, p=pairs).select("p.*").groupBy("source", "target").agg(F.count("*").alias("n"))
     nodes = spark.range(k - 1).select(F.col("id").alias("a"), F.explode(F.sequence(F.col("id") + 1, F.lit(k - 1))).alias("b"))
     edges = nodes.select(pad_topic("a").alias("source"), pad_topic("b").alias("target"))
     return edges.join(seen, ["source", "target"], "left").select(
@@ -119,6 +120,4 @@ def drop_most_frequent(counts: DataFrame, skip: int = 25, term: str = "term", fr
 
 def build_vocabulary(tokens: DataFrame, column: str, stop: Sequence[str] = (), min_count: int = 50, skip_top: int = 25) -> DataFrame:
     """Topic-model vocabulary: frequent words without stop words and without the most frequent ones → (term, freq)."""
-    from rostrum.operators.filters import filter_vocab
-
     return drop_most_frequent(filter_vocab(word_count(tokens, column), stop, min_count), skip_top)

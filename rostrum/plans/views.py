@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rostrum.functions.text import words
+from rostrum.operators.rows import spread, unnest
 from rostrum.plans.registry import table
 
 DOC_DATE = "date '1998-01-01' + cast(doc_id * 37 % 7000 as int)"
@@ -45,11 +46,12 @@ V_SPEECH = f"v_speech as (select {', '.join(SPEECH_COLUMNS)} from conversations)
 
 def token_array(spark: SparkSession, sf: str) -> DataFrame:
     """One row per document with its lower-case words."""
-    return table(spark, sf, "documents").select("doc_id", words(F.lower("text")).alias("toks"))
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return d.select("doc_id", words(F.lower("text")).alias("toks"))
 
 
 def tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return token_array(spark, sf).select("doc_id", F.explode("toks").alias("tok"))
+    return unnest(token_array(spark, sf), "doc_id", tok="toks")
 
 
 V_TOKEN = r"""v_token as (
