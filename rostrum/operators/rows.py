@@ -20,6 +20,8 @@ def unnest(df: DataFrame, *keep: str | Column, **arrays: str | Column) -> DataFr
 def compute_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Add columns whose expressions are evaluated once per row, whatever is filtered or derived from them later."""
     wrapped = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    if not columns:
+        return df
     kept = [c for c in df.columns if c not in columns]
     return df.select(*kept, F.explode_outer(wrapped).alias("_once")).select(*kept, "_once.*")
 

@@ -7,10 +7,10 @@ inside each row, so ranking needs no join and no shuffle, only one global aggreg
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -41,26 +41,28 @@ K1, B = 1.2, 0.75  # published BM25 defaults
 
 # ---- analysis
 
-def analyze_text(c: Column, stop: Sequence[str] = (), lemma: Callable[[Column], Column] | None = None) -> Column:
-    """Words in lower case with accents folded; stop words become NULL so that positions stay true.
+def analyze_text(df: DataFrame, columns: Mapping[str, Column], stop: Sequence[str] = ()) -> DataFrame:
+    """Add word arrays in lower case with accents folded; stop words become NULL so that positions stay true.
 
     Folding maps letters to letters, hence the folded text has the same word borders and both can be zipped.
+    Each step is computed once per row.
     """
-    plain = F.lower(fix_accents(c))
-    if lemma is not None:
-        return F.transform(words(plain), lambda t: F.when(~t.isin(list(stop)), ascii_fold(lemma(t))))
-    folded = words(ascii_fold(plain))
-    if not stop:
-        return folded
-    return F.zip_with(words(plain), folded, lambda t, f: F.when(~t.isin(list(stop)), f))
+    df = compute_once(df, {f"_p_{n}": F.lower(fix_accents(c)) for n, c in columns.items()})
+    df = compute_once(df, {f"_f_{n}": ascii_fold(f"_p_{n}") for n in columns})
 
+    def toks(n: str) -> Column:
+        if not stop:
+            return words(f"_f_{n}")
+        return F.zip_with(words(f"_p_{n}"), words(f"_f_{n}"), lambda t, f: F.when(~t.isin(list(stop)), f))
 
-def _analyze(c: Column, analyzer: str, stop: Sequence[str]) -> Column:
-    if analyzer == "folded":
-        return analyze_text(c, stop)
-    if analyzer == "standard":
-        return words(F.lower(c))
-    return F.when(c.isNotNull(), F.array(lc_norm(c)))
+    return compute_once(df, {n: toks(n) for n in columns}).drop(*[f"_{s}_{n}" for n in columns for s in "pf"])
+
+
+def _analyze(df: DataFrame, columns: Mapping[str, tuple[Column, str]], stop: Sequence[str]) -> DataFrame:
+    """Word arrays by analyzer: name → (text, analyzer)."""
+    df = df.withColumns({n: words(F.lower(c)) if a == "standard" else F.when(c.isNotNull(), F.array(lc_norm(c)))
+                         for n, (c, a) in columns.items() if a != "folded"})
+    return analyze_text(df, {n: c for n, (c, a) in columns.items() if a == "folded"}, stop)
 
 
 def hungarian_stop_words(spark: SparkSession) -> list[str]:
@@ -88,7 +90,7 @@ def index_documents(docs: DataFrame, stop: Sequence[str] = ()) -> DataFrame:
     def column(name: str) -> Column:
         return F.array_join(name, " ") if dict(docs.dtypes)[name] == "array<string>" else F.col(name)
 
-    return compute_once(docs, {f"t_{n}": _analyze(column(n), f.analyzer, stop) for n, f in FIELDS.items() if n in docs.columns})
+    return _analyze(docs, {f"t_{n}": (column(n), f.analyzer) for n, f in FIELDS.items() if n in docs.columns}, stop)
 
 
 # ---- query terms and matches
@@ -106,13 +108,22 @@ class Terms:
 
 def analyze_query(spark: SparkSession, q: str, stop: Sequence[str] = ()) -> Terms:
     """The query goes through the same expressions as the documents (one literal row, no job on data)."""
-    row = spark.range(1).select(*[_analyze(F.lit(q), a, stop).alias(a) for a in ("folded", "standard", "keyword")]).first()
-    return Terms(*[tuple((t, i) for i, t in enumerate(row[a]) if t is not None) for a in ("folded", "standard", "keyword")])
+    kinds = ("folded", "standard", "keyword")
+    row = _analyze(spark.range(1), {a: (F.lit(q), a) for a in kinds}, stop).first()
+    return Terms(*[tuple((t, i) for i, t in enumerate(row[a]) if t is not None) for a in kinds])
+
+
+def _positions(toks: Column, terms: Sequence[str]) -> Column:
+    """Positions of each term in a word array."""
+    def of(term: Column) -> Column:
+        found = F.filter(F.transform(toks, lambda t, i: F.when(t == term, i)), lambda i: i.isNotNull())
+        return F.when(F.array_contains(toks, term), found).otherwise(F.array().cast("array<int>"))
 
+    return F.transform(_literals(terms), of) if terms else F.array().cast("array<array<int>>")
 
-def _positions(toks: Column, term: str) -> Column:
-    hit = F.filter(F.transform(toks, lambda t, i: F.when(t == term, i)), lambda i: i.isNotNull())
-    return F.when(F.array_contains(toks, term), hit).otherwise(F.array().cast("array<int>"))
+
+def _literals(values: Sequence[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
 def fields_of(df: DataFrame) -> list[str]:
@@ -124,7 +135,7 @@ def match_documents(index: DataFrame, terms: Terms) -> DataFrame:
     new = {}
     for n in fields_of(index):
         toks = F.coalesce(F.col(f"t_{n}"), F.array().cast("array<string>"))
-        new[f"p_{n}"] = F.array(*[_positions(toks, t) for t, _ in terms.of(n)]) if terms.of(n) else F.array().cast("array<array<int>>")
+        new[f"p_{n}"] = _positions(toks, [t for t, _ in terms.of(n)])
         new[f"n_{n}"] = F.size(F.array_compact(toks))
     return compute_once(index, new).drop(*[f"t_{n}" for n in fields_of(index)])
 
@@ -154,7 +165,7 @@ def field_stats(index: DataFrame) -> DataFrame:
 
 def match_postings(postings: DataFrame, terms: Terms, fields: Sequence[str], id_col: str = "id") -> DataFrame:
     """The same columns as ``match_documents``, from the postings of the query's terms only."""
-    wanted = reduce(lambda a, b: a | b, [(F.col("field") == n) & (F.col("term") == t) for n in fields for t, _ in terms.of(n)], F.lit(False))
+    wanted = _any([(F.col("field") == n) & (F.col("term") == t) for n in fields for t, _ in terms.of(n)])
     hits = postings.filter(F.col("term").isin(sorted({t for n in fields for t, _ in terms.of(n)})) & wanted)
     aggs = []
     for n in fields:
@@ -195,49 +206,47 @@ def idf(n: Column, df: Column) -> Column:
     return F.log1p((n - df + 0.5) / (df + 0.5))
 
 
-def bm25(tf: Column, dl: Column, avgdl: Column, n: Column, df: Column) -> Column:
-    """Term weight; zero where the term is absent."""
-    return F.when(tf > 0, (K1 + 1) * idf(n, df) * tf / (tf + K1 * (1 - B + B * dl / avgdl))).otherwise(0.0)
+def _saturation(tf: Column, dl: Column, avgdl: Column) -> Column:
+    return (K1 + 1) * tf / (tf + K1 * (1 - B + B * dl / avgdl))
 
 
-def _tf(n: str, i: int) -> Column:
-    return F.size(F.col(f"p_{n}")[i])
+def bm25(tf: Column, dl: Column, avgdl: Column, n: Column, df: Column) -> Column:
+    """Term weight; zero where the term is absent."""
+    return F.when(tf > 0, idf(n, df) * _saturation(tf, dl, avgdl)).otherwise(0.0)
 
 
 def _sum(parts: list[Column]) -> Column:
     return reduce(add, parts, F.lit(0.0))
 
 
-def _all(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)
-
-
 def _any(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds, F.lit(False))
+    return reduce(or_, conds, F.lit(False))
 
 
 def _max(parts: list[Column]) -> Column:
     return parts[0] if len(parts) == 1 else F.greatest(*parts) if parts else F.lit(0.0)
 
 
-def match_all_terms(matches: DataFrame, terms: Terms, st: str = "_st") -> tuple[Column, Column]:
-    """(condition, score): every term in one field; the scores of all such fields add up."""
-    conds, scores = [], []
-    for n in fields_of(matches):
-        ts = range(len(terms.of(n)))
-        if not ts:
-            continue
-        every = _all([_tf(n, i) > 0 for i in ts])
-        total = _sum([_weight(n, i, st) for i in ts])
-        conds.append(every)
-        scores.append(F.when(every, FIELDS[n].boost * total).otherwise(0.0))
-    return _any(conds), _sum(scores)
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
 
+def _norm(n: str, st: str) -> tuple[Column, Column, Column]:
+    """(field length, average field length, documents with the field)."""
+    docs = F.col(st)[f"n_{n}"]
+    return F.col(f"n_{n}"), F.col(st)[f"len_{n}"] / docs, docs
 
-def _weight(n: str, i: int, st: str, docs: Column | None = None, df: Column | None = None) -> Column:
-    s = F.col(st)
-    own, length = s[f"n_{n}"], s[f"len_{n}"]
-    return bm25(_tf(n, i), F.col(f"n_{n}"), length / own, own if docs is None else docs, s[f"df_{n}"][i] if df is None else df)
+
+def _weights(n: str, st: str) -> Column:
+    """Weight of each query term in a field."""
+    return F.zip_with(f"p_{n}", F.col(st)[f"df_{n}"], lambda p, df: bm25(F.size(p), *_norm(n, st), df))
+
+
+def match_all_terms(matches: DataFrame, terms: Terms, st: str = "_st") -> tuple[Column, Column]:
+    """(condition, score): every term in one field; the scores of all such fields add up."""
+    used = [n for n in fields_of(matches) if terms.of(n)]
+    conds = [F.forall(f"p_{n}", lambda p: F.size(p) > 0) for n in used]
+    return _any(conds), _sum([F.when(c, FIELDS[n].boost * _total(_weights(n, st))).otherwise(0.0) for n, c in zip(used, conds)])
 
 
 def phrase_count(n: str, terms: Terms) -> Column:
@@ -253,15 +262,12 @@ def phrase_count(n: str, terms: Terms) -> Column:
 def match_phrase(matches: DataFrame, terms: Terms, st: str = "_st") -> tuple[Column, Column]:
     """(condition, score): the terms in a row; the best field counts."""
     conds, scores = [], []
-    for n in fields_of(matches):
-        if not terms.of(n):
-            continue
-        s = F.col(st)
-        pf, docs = phrase_count(n, terms), s[f"n_{n}"]
-        weight = _sum([idf(docs, s[f"df_{n}"][i]) for i in range(len(terms.of(n)))])
-        norm = K1 * (1 - B + B * F.col(f"n_{n}") / (s[f"len_{n}"] / docs))
+    for n in [n for n in fields_of(matches) if terms.of(n)]:
+        pf = phrase_count(n, terms)
+        dl, avgdl, docs = _norm(n, st)
+        weight = _total(F.transform(F.col(st)[f"df_{n}"], lambda df: idf(docs, df)))
         conds.append(pf > 0)
-        scores.append(F.when(pf > 0, FIELDS[n].boost * (K1 + 1) * weight * pf / (pf + norm)).otherwise(0.0))
+        scores.append(F.when(pf > 0, FIELDS[n].boost * weight * _saturation(pf, dl, avgdl)).otherwise(0.0))
     return _any(conds), _max(scores)
 
 
@@ -275,13 +281,16 @@ def match_cross_fields(matches: DataFrame, terms: Terms, st: str = "_st") -> tup
         group = [n for n in fields_of(matches) if FIELDS[n].analyzer == analyzer and terms.of(n)]
         if not group:
             continue
-        ts = range(len(terms.of(group[0])))
-        every = _all([_any([_tf(n, i) > 0 for n in group]) for i in ts])
-        docs = _max([F.coalesce(F.col(st)[f"n_{m}"], F.lit(0)) for m in group])
-        total = _sum([_max([FIELDS[n].boost * _weight(n, i, st, docs, _max([F.col(st)[f"df_{m}"][i] for m in group]))
-                            for n in group]) for i in ts])
+        docs = _max([F.coalesce(F.col(st)[f"n_{n}"], F.lit(0)) for n in group])
+
+        def best(i: Column) -> Column:
+            df = _max([F.col(st)[f"df_{n}"][i] for n in group])
+            return _max([FIELDS[n].boost * bm25(F.size(F.col(f"p_{n}")[i]), *_norm(n, st)[:2], docs, df) for n in group])
+
+        weights = F.transform(F.array(*[F.lit(i) for i in range(len(terms.of(group[0])))]), best)
+        every = F.forall(weights, lambda w: w > 0)
         conds.append(every)
-        scores.append(F.when(every, total).otherwise(0.0))
+        scores.append(F.when(every, _total(weights)).otherwise(0.0))
     return _any(conds), _max(scores)
 
 
@@ -301,8 +310,7 @@ def bm25_score(index: DataFrame, field: str, q: str, stop: Sequence[str] = ()) -
     terms = analyze_query(index.sparkSession, q, stop)
     matches = match_documents(index, terms)
     rows = matches.withColumn("_st", term_stats(matches, terms))
-    total = _sum([_weight(field, i, "_st") for i in range(len(terms.of(field)))])
-    return rows.withColumn("score", total).filter("score > 0").drop("_st", *[f"{c}_{n}" for n in fields_of(index) for c in ("p", "n")])
+    return rows.withColumn("score", _total(_weights(field, "_st"))).filter("score > 0").drop("_st", *[f"{c}_{n}" for n in fields_of(index) for c in ("p", "n")])
 
 
 # ---- results
@@ -324,7 +332,7 @@ def highlight(c: Column, terms: Sequence[str], fragments: int = 3, analyzer: str
             norm(p).isin(list(terms)), F.concat(F.lit("<em>"), p, F.lit("</em>"))).otherwise(p)), "")
 
     def hit(sentence: Column) -> Column:
-        return F.arrays_overlap(words(norm(sentence)), F.array(*[F.lit(t) for t in terms]))
+        return F.arrays_overlap(words(norm(sentence)), _literals(terms))
 
     sentences = F.filter(F.split(F.coalesce(c, F.lit("")), SENTENCE_END), hit)
     return F.transform(F.slice(sentences, 1, fragments), mark)

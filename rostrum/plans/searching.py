@@ -91,7 +91,7 @@ HITS_SQL = """, hits as (select id, must + 2.0 * coalesce(phrase, 0) + 0.1 * coa
 @query("analyze_text", f"""with {V_DOC}, toks as ({token_sql('text')})
   select id as doc_id, string_agg(tok, ' ' order by pos) as terms, count(*) as n from toks group by 1""")
 def _(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", S.analyze_text(F.col("text"), STOP).alias("t"))
+    d = S.analyze_text(spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id"), {"t": F.col("text")}, STOP)
     d = d.select("doc_id", F.array_join("t", " ").alias("terms"), F.size(F.array_compact("t")).cast("long").alias("n"))
     return d.filter("n > 0")
 

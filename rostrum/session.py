@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Large expressions are built faster without a stack trace per call.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
