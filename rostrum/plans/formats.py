@@ -70,11 +70,13 @@ def _(spark, sf):
     return R.read_metadata_tsv(spark, path).select("Date", "NameAndParty", "RawSpeakerId", "SpeechType", "Hash")
 
 
-# XML readers turn a carriage return into a line feed; the trim removes outer white space alike in both engines.
+# XML keeps no control characters and no carriage returns, so runs of white space are compared as one space.
 @query("read_wiki_dump", "select doc_id as id, source as title, regexp_replace(text, '[\\s\\x00-\\x1f]+', ' ', 'g') as content from documents")
 def _(spark, sf):
     path = scratch_path(spark, "wiki")
-    d = table(spark, sf, "documents").selectExpr("doc_id as id", "source as title", "named_struct('text', named_struct('_VALUE', text, '_xml:space', 'preserve')) as revision")
+    text = F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ")  # XML has no control characters
+    d = table(spark, sf, "documents").withColumn("text", text).selectExpr(
+        "doc_id as id", "source as title", "named_struct('text', named_struct('_VALUE', text, '_xml:space', 'preserve')) as revision")
     d.write.format("xml").option("rowTag", "page").option("rootTag", "mediawiki").save(path)
     pages = R.read_wiki_dump(spark, path)
     return pages.withColumn("content", F.regexp_replace("content", r"[\s\x00-\x1f]+", " "))
