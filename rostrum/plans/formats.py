@@ -76,7 +76,7 @@ def _(spark, sf):
     path = scratch_path(spark, "wiki")
     text = F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ")  # XML has no control characters
     d = table(spark, sf, "documents").withColumn("text", text).selectExpr(
-        "doc_id as id", "source as title", "named_struct('text', named_struct('_VALUE', text, '_xml:space', 'preserve')) as revision")
+        "doc_id as id", "source as title", "named_struct('text', named_struct('_VALUE', text, '_bytes', '1')) as revision")
     d.write.format("xml").option("rowTag", "page").option("rootTag", "mediawiki").save(path)
     pages = R.read_wiki_dump(spark, path)
     return pages.withColumn("content", F.regexp_replace("content", r"[\s\x00-\x1f]+", " "))
