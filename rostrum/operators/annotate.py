@@ -89,7 +89,7 @@ MEDIA = r"(?i)\[\[(?:file|image|fájl|kép|kategória|category):(?:[^\[\]]|\[\[[
 LINKS = [
     (r"\[\[[^\[\]|]*\|([^\[\]|]*)\]\]", "$1"), (r"\[\[([^\[\]|]*)\]\]", "$1"),
     (r"\[(?:https?|ftp)://\S+\s+([^\]]+)\]", "$1"), (r"\[(?:https?|ftp)://\S+\]", ""),
-    (r"'{2,5}", ""), (r"(?m)^=+\s*(.*?)\s*=+\s*$", "$1"), (r"(?m)^[*#:;]+\s*", ""), (r"__[A-Z]+__", ""),
+    (r"'{2,5}", ""), (r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"), (r"(?m)^[*#:;]+\s*", ""), (r"__[A-Z]+__", ""),
     (r"&nbsp;", " "), (r"&lt;", "<"), (r"&gt;", ">"), (r"&quot;", '"'), (r"&amp;", "&"),
 ]
 

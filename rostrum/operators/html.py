@@ -196,7 +196,7 @@ def parse_pages(pages: DataFrame, parse: Callable[[Node, str], list[dict]], sche
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            held = b[list(keep)].to_dict("records")
+            held = b[list(keep)].to_dict("records") if keep else [{}] * len(b)
             rows = [{**h, **row} for h, u, page in zip(held, b[url], b[html]) if isinstance(page, str) for row in parse(tree(page), u or "")]
             yield pd.DataFrame(rows, columns=names, dtype="object")
 

@@ -38,6 +38,11 @@ def vector_terms(vectors: DataFrame, vocab: list[str], doc: str = "doc_id", feat
     return rows.join(names, "idx").select(doc, "term", F.col("tf").cast("long").alias("tf"))
 
 
+def vector_lengths(vectors: DataFrame, doc: str = "doc_id", features: str = "features") -> DataFrame:
+    """Vocabulary words per document → (doc, n)."""
+    return vectors.select(doc, F.aggregate(vector_to_array(features), F.lit(0.0), lambda a, x: a + x).alias("n"))
+
+
 def vocabulary_table(spark: SparkSession, vocab: list[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(vocab)), "idx int, term string")
 

@@ -170,9 +170,7 @@ def _(spark, sf):
 @query("topic_relevance")
 def _(spark, sf):
     vocab, vectors, model = _model(spark, sf)
-    toks = token_array(spark, sf)
-    return TM.topic_relevance(model, vocab, vocabulary(spark, sf), TM.topic_distribution(model, vectors),
-                              toks.select("doc_id", F.size("toks").alias("n")))
+    return TM.topic_relevance(model, vocab, vocabulary(spark, sf), TM.topic_distribution(model, vectors), TM.vector_lengths(vectors))
 
 
 EDGES_SQL = """with t as (select vec_id as doc_id, cast(generate_subscripts(embedding, 1) - 1 as int) as topic, unnest(embedding) as prob from embeddings),
