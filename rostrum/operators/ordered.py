@@ -12,7 +12,7 @@ BLOCK = 65_536
 
 
 def _blocked(df: DataFrame, idx: str, block: int) -> DataFrame:
-    return df.withColumn("_blk", F.floor(F.col(idx) / block))
+    return df.withColumn("_blk", F.expr(f"`{idx}` div {block}"))
 
 
 def speech_index(df: DataFrame, sitting: str = "sitting_uid", order: str = "turn", out: str = "idx", block: int = BLOCK) -> DataFrame:
@@ -27,7 +27,8 @@ def speech_index(df: DataFrame, sitting: str = "sitting_uid", order: str = "turn
 
 def carry_header(df: DataFrame, sitting: str = "sitting_uid", order: str = "idx", header: str = "header") -> DataFrame:
     """The first header found in a sitting is given to all its speeches."""
-    found = df.filter(F.col(header).isNotNull()).groupBy(sitting).agg(F.min_by(header, order).alias("_h"))
+    found = df.groupBy(sitting).agg(F.min_by(header, F.when(F.col(header).isNotNull(), F.col(order))).alias("_h"))
+    found = found.filter("_h is not null")
     return df.join(found, sitting, "left").withColumn(header, F.col("_h")).drop("_h")
 
 
@@ -41,8 +42,7 @@ def carry_topic_forward(df: DataFrame, sitting: str = "sitting_uid", order: str
     address = F.coalesce(F.col(url), F.lit("")) if url else F.lit("")
     rows = _blocked(df, order, block).withColumn(
         "_t", F.when(F.col(topic).isNotNull(), F.struct(F.col(topic).alias("topic"), address.alias("url"))))
-    last = rows.filter("_t is not null").groupBy(sitting, "_blk").agg(F.max_by("_t", order).alias("_last"))
-    blocks = rows.select(sitting, "_blk").distinct().join(last, [sitting, "_blk"], "left")
+    blocks = rows.groupBy(sitting, "_blk").agg(F.max_by("_t", F.when(F.col("_t").isNotNull(), F.col(order))).alias("_last"))
     earlier = Window.partitionBy(sitting).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     carried = blocks.select(sitting, "_blk", F.last("_last", True).over(earlier).alias("_c"))
     inside = Window.partitionBy(sitting, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -16,11 +16,17 @@ def alpha_tokens(text: Column, stop: tuple[str, ...] = ()) -> Column:
     return F.filter(words(F.lower(text)), lambda t: t.rlike(r"\A\p{L}+\z") & ~t.isin(list(stop)) if stop else t.rlike(r"\A\p{L}+\z"))
 
 
-def tfidf(bag: DataFrame, doc: str = "doc_id", term: str = "term", tf: str = "tf") -> DataFrame:
-    """tf·log2(N/df), each document scaled to length one → (doc, term, tf, idf, w). Terms of every document drop out."""
-    n = bag.agg(F.count_distinct(doc).alias("n")).scalar()
-    idf = bag.groupBy(term).agg(F.count("*").alias("_df")).select(term, F.log2(n / F.col("_df")).alias("idf")).filter("idf > 0")
-    raw = bag.join(idf, term).withColumn("_w", F.col(tf) * F.col("idf"))
+def tfidf(bag: DataFrame, docs: DataFrame, doc: str = "doc_id", term: str = "term", tf: str = "tf", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """tf·log2(N/df), each document scaled to length one → (doc, term, tf, idf, w). Terms of every document drop out.
+
+    ``docs`` has one row per document, also per empty one. The term weights are written once and counted: up to
+    ``max_rows`` they are broadcast, so that a bag partitioned by document is not shuffled again; more are joined by term.
+    """
+    n = docs.agg(F.count("*").alias("n")).scalar()
+    df = bag.groupBy(term).agg(F.count("*").alias("_df"))
+    idf = cut_lineage(df.select(term, F.log2(n / F.col("_df")).alias("idf")).filter("idf > 0"))
+    small = idf.count() <= max_rows
+    raw = bag.join(F.broadcast(idf) if small else idf, term).withColumn("_w", F.col(tf) * F.col("idf"))
     return raw.withColumn("w", _unit("_w", doc)).drop("_w")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rostrum.operators import aggregates as A
 from rostrum.operators.ordered import top_topics_per_doc
+from rostrum.operators.rows import unnest
 
 # A trained model holds topics × words numbers on the driver; larger vocabularies need a higher minimum count.
 MAX_VOCABULARY = 2_000_000
@@ -32,15 +33,15 @@ def vectorize(docs: DataFrame, vocab: list[str], tokens: str = "toks", out: str
 
 def vector_terms(vectors: DataFrame, vocab: list[str], doc: str = "doc_id", features: str = "features") -> DataFrame:
     """Sparse vectors back as (doc, term, tf) rows."""
-    names = vocabulary_table(vectors.sparkSession, vocab)
-    entries = F.posexplode_outer(vector_to_array(features))
-    rows = vectors.select(doc, entries.alias("idx", "tf")).filter("tf > 0")
-    return rows.join(names, "idx").select(doc, "term", F.col("tf").cast("long").alias("tf"))
+    v = F.unwrap_udt(features)
+    rows = unnest(vectors, doc, e=F.arrays_zip(v["indices"].alias("idx"), v["values"].alias("tf")))
+    rows = rows.select(doc, "e.idx", F.col("e.tf").cast("long").alias("tf"))
+    return rows.join(vocabulary_table(vectors.sparkSession, vocab), "idx").select(doc, "term", "tf")
 
 
 def vector_lengths(vectors: DataFrame, doc: str = "doc_id", features: str = "features") -> DataFrame:
     """Vocabulary words per document → (doc, n)."""
-    return vectors.select(doc, F.aggregate(vector_to_array(features), F.lit(0.0), lambda a, x: a + x).alias("n"))
+    return vectors.select(doc, F.aggregate(F.unwrap_udt(features)["values"], F.lit(0.0), lambda a, x: a + x).alias("n"))
 
 
 def vocabulary_table(spark: SparkSession, vocab: list[str]) -> DataFrame:
@@ -49,7 +50,10 @@ def vocabulary_table(spark: SparkSession, vocab: list[str]) -> DataFrame:
 
 def fit_lda(vectors: DataFrame, k: int = 24, passes: int = 1, chunk: int = 50_000, seed: int = 7, features: str = "features",
             min_steps: int = 1) -> LDAModel:
-    """Online variational training in mini-batches of about ``chunk`` documents, document prior learnt."""
+    """Online variational training in mini-batches of about ``chunk`` documents, document prior learnt.
+
+    Each step reads the vectors; store or checkpoint them first.
+    """
     n = vectors.count()
     steps = max(min_steps, passes * math.ceil(n / chunk))
     share = min(1.0, chunk / n) if n else 1.0

@@ -145,14 +145,11 @@ def _(spark, sf):
     return spark.read.schema("id string, speaker string, text string, term int").json(path)
 
 
-@query("write_tsv", """select cast(doc_id as string) as id, lang, regexp_replace(text, '[\\s"\\\\]+', ' ', 'g') as text from documents""")
+@query("write_tsv", "select cast(doc_id as string) as id, lang, concat(' ', text, ' \"x\" ') as text from documents")
 def _(spark, sf):
     path = scratch_path(spark, "tsv")
-    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang",
-                                             F.regexp_replace("text", r'[\s"\\]+', " ").alias("text"))
-    K.write_tsv(d, path)
-    return spark.read.csv(path, sep="\t", header=True, schema="id string, lang string, text string",
-                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    K.write_tsv(table(spark, sf, "documents").selectExpr("cast(doc_id as string) as id", "lang", """concat(' ', text, ' "x" ') as text"""), path)
+    return R.read_merged_tsv(spark, path, "id string, lang string, text string")
 
 
 @query("write_by_topic", f"with {V_PROB} select doc_id, cast(arg_max(topic, prob) as int) as topic from v_prob group by 1 having max(prob) > 0.3")

@@ -12,6 +12,7 @@ from rostrum.operators.rows import spread
 from rostrum.plans.registry import query, table
 from rostrum.plans.relational import VOCAB_SQL, bench_words, vocabulary
 from rostrum.plans.views import V_TOKEN, token_array
+from rostrum.session import cut_lineage
 
 # ---- annotation
 
@@ -77,7 +78,8 @@ def _(spark, sf):
                     F.lit("x]] {{t|{{u|1}}}}note <ref name=a>r</ref>"), F.btrim(F.regexp_replace("text", "[^a-zA-Z ]", ""), F.lit(" ")),
                     F.lit("<ref name=b/>\n== end &amp; more ==\n[[Kategória:X]]"))
     plain = N.strip_markup(F.regexp_replace(wiki, r"\}\}note", "}}note"))
-    return table(spark, sf, "documents").select("doc_id", F.regexp_replace(plain, " {2,}note", " note").alias("plain"))
+    d = spread(table(spark, sf, "documents").select("doc_id", "text", "source", "lang"), "doc_id")
+    return d.select("doc_id", F.regexp_replace(plain, " {2,}note", " note").alias("plain"))
 
 
 LEMMAS_SQL = f"""select distinct lower(word) as s, substring(lower(word), 1, k) as lemma
@@ -110,14 +112,14 @@ def bag_sql(name: str, key: str) -> str:
 
 
 def tfidf_sql(name: str, key: str) -> str:
-    return f"""bag as ({bag_sql(name, key)}), idf as (select term, log2((select count(distinct {key}) from bag) / count(*)) as idf from bag group by 1),
+    return f"""bag as ({bag_sql(name, key)}), idf as (select term, log2((select count(*) from {name}) / count(*)) as idf from bag group by 1),
   raw as (select bag.*, idf, tf * idf as rw from bag join idf using (term) where idf > 0),
   tfidf as (select {key}, term, tf, idf, rw / sqrt(sum(rw * rw) over (partition by {key})) as w from raw)"""
 
 
 @query("tfidf", f"with {tfidf_sql('documents', 'doc_id')} select doc_id, term, tf, round(w, 6) as w from tfidf")
 def _(spark, sf):
-    return E.tfidf(alpha_bag(spark, sf, "documents", "doc_id")).select("doc_id", "term", "tf", F.round("w", 6).alias("w"))
+    return E.tfidf(alpha_bag(spark, sf, "documents", "doc_id"), table(spark, sf, "documents")).select("doc_id", "term", "tf", F.round("w", 6).alias("w"))
 
 
 @query("esa_top_concepts", f"""with {tfidf_sql('benchmark', 'item_id')}, d as ({bag_sql('documents', 'doc_id')}),
@@ -127,7 +129,7 @@ def _(spark, sf):
   select doc_id, item_id, round(score, 6) as score, rank from (select *, row_number() over (partition by doc_id order by round(score, 9) desc, item_id) as rank from s) r
   where rank <= 10""")
 def _(spark, sf):
-    concepts = E.tfidf(alpha_bag(spark, sf, "benchmark", "item_id"), "item_id")
+    concepts = E.tfidf(alpha_bag(spark, sf, "benchmark", "item_id"), table(spark, sf, "benchmark"), "item_id")
     top = E.esa_top_concepts(alpha_bag(spark, sf, "documents", "doc_id"), concepts)
     return top.select("doc_id", "item_id", F.round("score", 6).alias("score"), "rank")
 
@@ -138,7 +140,7 @@ def _(spark, sf):
 def _model(spark, sf: str, k: int = 24):
     """(vocabulary, vectors, fitted model) of the documents; the model queries share it."""
     vocab = TM.vocabulary_list(vocabulary(spark, sf))
-    vectors = TM.vectorize(token_array(spark, sf), vocab)
+    vectors = cut_lineage(TM.vectorize(token_array(spark, sf), vocab))  # training reads them once per step
     return vocab, vectors, TM.fit_lda(vectors, k, min_steps=10)
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from rostrum.functions import text as X
 from rostrum.operators import filters as FL, project as P
+from rostrum.operators.rows import compute_once
 from rostrum.plans.registry import query, table
-from rostrum.plans.views import V_DOC, V_LEMMA, V_SPEECH, V_TOKEN, docs, speeches, tokens
+from rostrum.plans.views import V_DOC, V_LEMMA, V_SPEECH, V_TOKEN, docs, speeches, token_array, tokens
 
 
 def nested(spark, sf) -> DataFrame:
@@ -173,11 +174,11 @@ def _(spark, sf):
 
 @query("filter_pos", f"with {V_LEMMA} select doc_id, count(*) as n from v_lemma where not lemma_pos like '%\\_verb' escape '\\' group by 1")
 def _(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", X.words(F.lower("text")).alias("toks"))
+    d = token_array(spark, sf)
     pairs = F.transform("toks", lambda t: F.struct(
         t.alias("lemma"), F.element_at(F.array(*[F.lit(p) for p in ("noun", "adj", "propn", "verb")]),
                                        (F.length(t) % 4 + 1).cast("int")).alias("pos")))
-    return d.select("doc_id", F.size(FL.keep_pos(pairs)).cast("long").alias("n")).filter("n > 0")
+    return compute_once(d, {"n": F.size(FL.keep_pos(pairs)).cast("long")}).select("doc_id", "n").filter("n > 0")
 
 
 @query("filter_vocab", f"""with {V_TOKEN} select tok as term, count(*) as freq from v_token

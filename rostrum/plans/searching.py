@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from rostrum.operators import search as S
 from rostrum.operators.project import copy_to_filters
-from rostrum.operators.rows import spread
+from rostrum.operators.rows import compute_once, spread
 from rostrum.plans.registry import query, table
 from rostrum.plans.relational import SUGGEST_SQL, suggestion_rows
 from rostrum.plans.views import V_DOC, docs
+from rostrum.session import scratch_path
 
 STOP = ("the", "of", "de", "and", "a", "la")
 
@@ -153,7 +154,8 @@ def em_sql(terms: list[str]) -> str:
   where marked <> ''""")
 def _(spark, sf):
     marks = F.array_join(S.highlight(F.col("text"), ["attion", "etait", "anea"]), " ... ")
-    return table(spark, sf, "documents").select("doc_id", marks.alias("marked")).filter("marked <> ''")
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return compute_once(d, {"marked": marks}).select("doc_id", "marked").filter("marked <> ''")
 
 
 @query("suggest_prefix", f"with {V_DOC} select input, max(weight) as weight from ({SUGGEST_SQL}) t where lower(input) like 'src%' group by 1 order by 2 desc, 1 limit 5")
@@ -181,6 +183,17 @@ def _(spark, sf):
     return S.search(indexed(spark, sf), Q_ALL, stop=STOP, **FILTERS)[1]
 
 
+@query("search_index", f"{match_sql(Q_ALL)} {HITS_SQL.format(where=WHERE)} select id, round(score, 6) as score from hits")
+def _(spark, sf):
+    """The same search over a stored inverted index."""
+    index, path = indexed(spark, sf), scratch_path(spark, "index")
+    S.write_postings(S.build_postings(index), f"{path}/postings")
+    S.field_stats(index).write.parquet(f"{path}/stats")
+    stored = index.drop(*[c for c in index.columns if c.startswith("t_")])
+    hits = S.search_postings(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/stats"), stored, Q_ALL, STOP, **FILTERS)
+    return hits.select("id", F.round("score", 6).alias("score"))
+
+
 @query("keyword_field_match", f"with {V_DOC} select doc_id, party from v_doc where lower(party) = 'p2'")
 def _(spark, sf):
     return docs(spark, sf).filter(S.keyword_field_match("p2", "party")).select("doc_id", "party")

@@ -107,6 +107,11 @@ def read_metadata_tsv(spark: SparkSession, path: str, names: Sequence[str] = sch
     return spark.read.csv(path, sep="\t", header=True, schema=schema, enforceSchema=True, escape='"').toDF(*names)
 
 
+def read_merged_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Tab-separated table whose texts may hold line breaks."""
+    return spark.read.csv(path, sep="\t", header=True, schema=schema, escape='"', multiLine=True)
+
+
 WIKI_SCHEMA = "id bigint, title string, revision struct<text:struct<_VALUE:string,`_xml:space`:string>>"
 
 

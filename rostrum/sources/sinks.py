@@ -34,7 +34,8 @@ def write_array_lines(df: DataFrame, path: str) -> None:
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.csv(path, sep="\t", header=header, escape='"')
+    """Tab-separated table; quotes are doubled, outer blanks and line breaks inside values are kept."""
+    df.write.csv(path, sep="\t", header=header, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_by_topic(docs: DataFrame, path: str, topic: str = "topic") -> None:

@@ -64,7 +64,11 @@ def test_bills(spark):
 def test_similarity_blocks_agree(spark):
     rnd = random.Random(5)
     bag = [(d, f"w{w}", rnd.randint(1, 4)) for d in range(30) for w in rnd.sample(range(60), 15)]
-    concepts = E.tfidf(spark.createDataFrame(bag, "item_id bigint, term string, tf bigint"), "item_id")
+    given = spark.createDataFrame(bag, "item_id bigint, term string, tf bigint")
+    concepts = E.tfidf(given, spark.range(30), "item_id")
+    joined = E.tfidf(given, spark.range(30), "item_id", max_rows=5)
+    assert sorted((r["item_id"], r["term"], round(r["w"], 9)) for r in concepts.collect()) == sorted(
+        (r["item_id"], r["term"], round(r["w"], 9)) for r in joined.collect())
     norms = concepts.groupBy("item_id").agg(F.sum(F.col("w") * F.col("w")).alias("n")).collect()
     assert all(abs(r["n"] - 1) < 1e-9 for r in norms)
     docs = spark.createDataFrame([(d + 100, t, n) for d, t, n in bag], "doc_id bigint, term string, tf bigint")
