@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rostrum.functions.text import words
 from rostrum.session import cut_lineage
 
 # Concept weights that are broadcast at once: about 60 MB per million rows in memory.
 BROADCAST_ROWS = 2_000_000
 
 
-def alpha_tokens(text: Column, stop: tuple[str, ...] = ()) -> Column:
-    """Lower-case words of letters only, without stop words."""
-    return F.filter(words(F.lower(text)), lambda t: t.rlike(r"\A\p{L}+\z") & ~t.isin(list(stop)) if stop else t.rlike(r"\A\p{L}+\z"))
+def alpha_tokens(text: Column, stop: Sequence[str] = ()) -> Column:
+    """Lower-case words of letters only, without stop words; a word with a digit is left out as a whole."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(r"(?<![\p{L}\p{N}])\p{L}+(?![\p{L}\p{N}])"), F.lit(0))
+    return F.filter(found, lambda t: ~t.isin(list(stop))) if stop else found
 
 
 def tfidf(bag: DataFrame, docs: DataFrame, doc: str = "doc_id", term: str = "term", tf: str = "tf", max_rows: int = BROADCAST_ROWS) -> DataFrame:
