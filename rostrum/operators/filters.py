@@ -90,7 +90,7 @@ def filter_important_pages(df: DataFrame, min_freq: int = 100, words: Sequence[s
     cond = F.col(freq) > min_freq
     for w in words:
         cond = cond & ~F.col(uri).contains(w)
-    return df.filter(cond & ~F.col(uri).rlike(r"(?d)\A.*/.*\d+.*$"))
+    return df.filter(cond & ~F.col(uri).rlike(r"(?dU)\A.*/.*\d+.*$"))
 
 
 def filter_articles(df: DataFrame, title: str = "title", content: str = "content", min_length: int | None = None) -> DataFrame:
@@ -102,9 +102,11 @@ def filter_articles(df: DataFrame, title: str = "title", content: str = "content
 GOOD_POS = ("noun", "adj", "propn")
 
 
-def keep_pos(lemmas: Column, pos: Sequence[str] = GOOD_POS) -> Column:
-    """Lemmas of an array of struct(lemma, pos) whose part of speech is wanted."""
-    return F.transform(F.filter(lemmas, lambda x: x["pos"].isin(list(pos))), lambda x: x["lemma"])
+def keep_pos(lemmatized: Column, pos: Sequence[str] = GOOD_POS) -> Column:
+    """Lower-case lemmas of a ``lemma_POS lemma_POS …`` text whose part of speech is wanted."""
+    ending = rf"_(?:{'|'.join(pos)})\z"
+    kept = F.filter(F.split(F.lower(lemmatized), r"(?U)\s+"), lambda w: w.rlike(ending))
+    return F.transform(kept, lambda w: F.regexp_replace(w, ending, ""))
 
 
 def filter_vocab(counts: DataFrame, stop: Sequence[str], min_count: int = 50, term: str = "term",

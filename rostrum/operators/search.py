@@ -20,6 +20,7 @@ from rostrum.operators.filters import search_filter
 from rostrum.operators.joins import skip_duplicate_suggestions
 from rostrum.operators.ordered import page_results
 from rostrum.operators.rows import compute_once, unnest
+from rostrum.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,7 @@ FIELDS = {
 FACETS = {"speakers": "speaker_filter", "parties": "speaker_party_filter", "bills": "bill_title_filter",
           "topics": "topic_filter", "types": "type_filter"}
 PHRASE_BOOST, CROSS_BOOST = 2.0, 0.1
+BROADCAST_HITS = 2_000_000
 K1, B = 1.2, 0.75  # published BM25 defaults
 
 
@@ -156,6 +158,11 @@ def write_postings(postings: DataFrame, path: str, id_col: str = "id", partition
     ranged.sortWithinPartitions("term", "field", id_col).write.parquet(path)
 
 
+def refresh_postings(postings: DataFrame, changed: DataFrame, id_col: str = "id") -> DataFrame:
+    """Postings after some documents changed: only those documents are analysed again (``changed`` is their index)."""
+    return postings.join(changed.select(id_col), id_col, "left_anti").unionByName(build_postings(changed, id_col))
+
+
 def field_stats(index: DataFrame) -> DataFrame:
     """Documents with words and total length per field, for scoring from postings."""
     lists = F.array(*[F.struct(F.lit(n).alias("field"), F.size(F.array_compact(f"t_{n}")).alias("dl")) for n in fields_of(index)])
@@ -353,12 +360,16 @@ def search_hits(index: DataFrame, q: str, stop: Sequence[str] = (), **filters) -
 
 def search_postings(postings: DataFrame, stats: DataFrame, docs: DataFrame, q: str, stop: Sequence[str] = (),
                     id_col: str = "id", **filters) -> DataFrame:
-    """``search_hits`` on a stored inverted index: only the query's postings and the filtered documents are read."""
+    """``search_hits`` on a stored inverted index: only the query's postings and the filtered documents are read.
+
+    Hits are (id, score) rows; they are counted, and up to a limit the documents need no shuffle to meet them.
+    """
     terms = analyze_query(docs.sparkSession, q, stop)
     fields = [n for n in FIELDS if n in docs.columns]
     matches = match_postings(postings, terms, fields, id_col)
-    scored = score_matches(matches, terms, postings_stats(matches, terms, stats))
-    return scored.join(docs.filter(search_filter(**filters)), id_col)
+    scored = cut_lineage(score_matches(matches, terms, postings_stats(matches, terms, stats)))
+    found = F.broadcast(scored) if scored.count() <= BROADCAST_HITS else scored
+    return docs.filter(search_filter(**filters)).join(found, id_col)
 
 
 def result_page(hits: DataFrame, terms: Terms, size: int = 20, from_: int = 0, id_col: str = "id") -> DataFrame:

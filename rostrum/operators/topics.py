@@ -14,7 +14,7 @@ from rostrum.operators.ordered import top_topics_per_doc
 from rostrum.operators.rows import unnest
 
 # A trained model holds topics × words numbers on the driver; larger vocabularies need a higher minimum count.
-MAX_VOCABULARY = 2_000_000
+MAX_VOCABULARY = 500_000
 
 
 def vocabulary_list(vocab: DataFrame, term: str = "term", freq: str = "freq", limit: int = MAX_VOCABULARY) -> list[str]:

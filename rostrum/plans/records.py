@@ -175,10 +175,9 @@ def _(spark, sf):
 @query("filter_pos", f"with {V_LEMMA} select doc_id, count(*) as n from v_lemma where not lemma_pos like '%\\_verb' escape '\\' group by 1")
 def _(spark, sf):
     d = token_array(spark, sf)
-    pairs = F.transform("toks", lambda t: F.struct(
-        t.alias("lemma"), F.element_at(F.array(*[F.lit(p) for p in ("noun", "adj", "propn", "verb")]),
-                                       (F.length(t) % 4 + 1).cast("int")).alias("pos")))
-    return compute_once(d, {"n": F.size(FL.keep_pos(pairs)).cast("long")}).select("doc_id", "n").filter("n > 0")
+    tags = F.array(*[F.lit(p) for p in ("NOUN", "ADJ", "PROPN", "VERB")])
+    text = F.array_join(F.transform("toks", lambda t: F.concat(t, F.lit("_"), F.element_at(tags, (F.length(t) % 4 + 1).cast("int")))), " ")
+    return compute_once(d, {"n": F.size(FL.keep_pos(text)).cast("long")}).select("doc_id", "n").filter("n > 0")
 
 
 @query("filter_vocab", f"""with {V_TOKEN} select tok as term, count(*) as freq from v_token

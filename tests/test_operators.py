@@ -160,3 +160,13 @@ def test_checkpoint_is_reliable(spark):
     df = cut_lineage(spark.range(5).withColumn("x", F.rand()))
     assert "Scan ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
     assert df.collect() == df.collect()
+
+
+def test_lemmatized_vocabulary(spark):
+    df = spark.createDataFrame([("Kutya_NOUN  fut_VERB szép_nagy_ADJ x y_noun",)], "t string")
+    assert df.select(FL.keep_pos(F.col("t")).alias("v")).first()["v"] == ["kutya", "szép_nagy", "y"]
+    docs = spark.createDataFrame([(["a"] * 9 + ["b"] * 7 + ["c"] * 6 + ["adat"] * 8 + ["d"],)], "toks array<string>")
+    from rostrum.functions.wordlists import TOPIC_STOP_WORDS
+
+    vocab = A.build_vocabulary(docs, "toks", TOPIC_STOP_WORDS, min_count=5, skip_top=1)
+    assert sorted((r["term"], r["freq"]) for r in vocab.collect()) == [("b", 7), ("c", 6)]

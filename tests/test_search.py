@@ -100,3 +100,11 @@ def test_token_analysis(spark):
     out = S.analyze_tokens(tokens, df([("az",)], "word string"), lemmas, df([("PÉTEREK",)], "word string"))
     assert sorted((r["pos"], r["term"]) for r in out.collect()) == [(1, "alma"), (2, "peterek"), (3, "korte")]
     assert len(S.hungarian_stop_words(spark)) == 199
+
+
+def test_refreshed_postings(spark, index):
+    changed = S.index_documents(copy_to_filters(spark.createDataFrame([("3", "Mégis atomerőmű.", "Sneider Tamás", "Jobbik", "Egyéb", "2018.01.01.", "kérdés")],
+                                "id string, text string, speaker string, speaker_party string, topic string, date_filter string, type string")), STOP)
+    new = S.refresh_postings(S.build_postings(index), changed)
+    assert sorted(r["id"] for r in new.filter("term = 'atomeromu'").select("id").distinct().collect()) == ["1", "2", "3", "4"]
+    assert new.filter("id = '3' and term = 'tema'").count() == 0
