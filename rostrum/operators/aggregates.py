@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from rostrum.functions.text import pad_topic
 from rostrum.operators.filters import Period, filter_vocab, period_label
-from rostrum.operators.rows import unnest
+from rostrum.operators.rows import group_in_row, unnest
 
 
 def word_count(df: DataFrame, tokens: str, term: str = "term", out: str = "freq") -> DataFrame:
@@ -17,8 +17,10 @@ def word_count(df: DataFrame, tokens: str, term: str = "term", out: str = "freq"
 
 
 def bag_of_words(df: DataFrame, doc: str, tokens: str, term: str = "term", out: str = "tf") -> DataFrame:
-    """Counts per document and term. Input partitioned by document needs no further shuffle."""
-    return unnest(df, doc, **{term: tokens}).groupBy(doc, term).agg(F.count("*").alias(out))
+    """Counts per document and term. The input has one row per document, so the words are counted inside it, unshuffled."""
+    counted = group_in_row(df.select(doc, tokens), F.array_compact(tokens), lambda t: t,
+                           lambda t, run: F.struct(t.alias(term), F.size(run).cast("long").alias(out)), "_e")
+    return unnest(counted, doc, _x="_e").select(doc, "_x.*")
 
 
 def doc_frequency(df: DataFrame, tokens: str, term: str = "term", out: str = "df") -> DataFrame:

@@ -19,7 +19,7 @@ from rostrum.operators import aggregates as A
 from rostrum.operators.filters import search_filter
 from rostrum.operators.joins import skip_duplicate_suggestions
 from rostrum.operators.ordered import page_results
-from rostrum.operators.rows import compute_once, unnest
+from rostrum.operators.rows import compute_once, group_in_row, unnest
 from rostrum.session import cut_lineage
 
 
@@ -143,12 +143,13 @@ def match_documents(index: DataFrame, terms: Terms) -> DataFrame:
 
 
 def build_postings(index: DataFrame, id_col: str = "id") -> DataFrame:
-    """Inverted index (id, field, term, tf, positions, dl); one group is one word of one field of one document."""
+    """Inverted index (id, field, term, tf, positions, dl). A document's words are grouped inside its row, unshuffled."""
     lists = F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"t_{n}").alias("toks")) for n in fields_of(index)])
     rows = unnest(index, id_col, f=lists).select(id_col, "f.field", F.size(F.array_compact("f.toks")).alias("dl"), "f.toks")
-    rows = rows.select(id_col, "field", "dl", F.posexplode_outer("toks").alias("pos", "term"))
-    grouped = rows.filter("term is not null").groupBy(id_col, "field", "term", "dl")
-    return grouped.agg(F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
+    places = F.filter(F.transform("toks", lambda t, i: F.struct(t.alias("term"), i.alias("pos"))), lambda p: p["term"].isNotNull())
+    grouped = group_in_row(rows, places, lambda p: p["term"], lambda p, run: F.struct(
+        p["term"].alias("term"), F.size(run).alias("tf"), F.transform(run, lambda r: r["pos"]).alias("positions")), "_e")
+    return unnest(grouped, id_col, "field", "dl", _x="_e").select(id_col, "field", "dl", "_x.*")
 
 
 def write_postings(postings: DataFrame, path: str, id_col: str = "id", partitions: int | None = None) -> None:
