@@ -351,9 +351,9 @@ def keyword_field_match(q: str, column: str) -> Column:
     return lc_norm(F.lit(q)) == lc_norm(column)
 
 
-def search_hits(index: DataFrame, q: str, stop: Sequence[str] = (), **filters) -> DataFrame:
+def search_hits(index: DataFrame, q: str | Terms, stop: Sequence[str] = (), **filters) -> DataFrame:
     """All matching documents with score and stored fields; statistics cover the whole index, filters only the hits."""
-    terms = analyze_query(index.sparkSession, q, stop)
+    terms = analyze_query(index.sparkSession, q, stop) if isinstance(q, str) else q
     matches = match_documents(index, terms)
     stats = term_stats(matches, terms)
     return score_matches(matches.filter(search_filter(**filters)), terms, stats)
@@ -390,8 +390,8 @@ def result_page(hits: DataFrame, terms: Terms, size: int = 20, from_: int = 0, i
 
 def search(index: DataFrame, q: str, size: int = 20, from_: int = 0, stop: Sequence[str] = (), **filters) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(page with highlights, facet counts, counts by term and date) of the filtered hits."""
-    hits = search_hits(index, q, stop, **filters)
     terms = analyze_query(index.sparkSession, q, stop)
+    hits = search_hits(index, terms, **filters)
     facets = A.facet_terms(hits, {f: c for f, c in FACETS.items() if c in hits.columns})
     return result_page(hits, terms, size, from_), facets, A.facet_term_dates(hits, "term_filter", "date")
 

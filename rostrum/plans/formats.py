@@ -8,7 +8,7 @@ from rostrum.functions.text import words
 from rostrum.operators import aggregates as A, joins as J, project as P
 from rostrum.operators.rows import unnest
 from rostrum.plans.registry import query, table
-from rostrum.plans.relational import VERSIONS
+from rostrum.plans.relational import VERSIONS, versions
 from rostrum.plans.records import TOPICS, V_PROB, nested, topic_probs
 from rostrum.plans.views import V_DOC, V_LINK, docs, links
 from rostrum.operators.ordered import dominant_topic
@@ -20,17 +20,16 @@ from rostrum.streaming import ingest
 # ---- sources
 
 @query("read_speech_lines", f"""with {V_DOC} select concat(term, '-', doc_id) as id, speaker, cast(term as string) as term,
-    case when doc_id % 2 = 0 then concat(type, '|', speaker) else type end as topic, text, null as reason, 1 as n
-  from v_doc where doc_id % 7 <> 0 and doc_id % 11 <> 0
-  union all select null, null, null, null, null, 'no JSON', count(*) from v_doc where doc_id % 11 = 0
-  union all select null, null, null, null, null, 'no speaker', count(*) from v_doc where doc_id % 11 <> 0 and doc_id % 7 = 0""")
-def _(spark, sf):
-    d = nested(spark, sf).withColumn("doc_id", F.split("id", "-")[1].cast("int"))
-    d = d.withColumn("speaker", F.when(F.col("doc_id") % 7 != 0, F.col("speaker")))
-    one = F.to_json(F.struct(*[c for c in d.columns if c not in ("topic", "doc_id")], F.col("topic")[0].alias("topic")))
-    many = F.to_json(F.struct(*[c for c in d.columns if c != "doc_id"]))
-    line = F.concat(F.when(F.col("doc_id") % 2 == 0, many).otherwise(one), F.lit(","))
-    line = F.when(F.col("doc_id") % 11 == 0, F.concat(F.substring(line, 1, 60), F.lit(","))).otherwise(line)
+    case when type = 'en' then concat(type, '|', speaker) else type end as topic, text, null as reason, 1 as n
+  from v_doc where type <> 'es' and speaker <> 'src7'
+  union all select null, null, null, null, null, 'no JSON', count(*) from v_doc where type = 'es'
+  union all select null, null, null, null, null, 'no speaker', count(*) from v_doc where type <> 'es' and speaker = 'src7'""")
+def _(spark, sf):
+    d = nested(spark, sf).withColumn("speaker", F.expr("nullif(speaker, 'src7')"))
+    one = F.to_json(F.struct(*[c for c in d.columns if c != "topic"], F.col("topic")[0].alias("topic")))
+    many = F.to_json(F.struct(*d.columns))
+    line = F.concat(F.when(F.col("type") == "en", many).otherwise(one), F.lit(","))
+    line = F.when(F.col("type") == "es", F.replace(line, F.lit("}"), F.lit(""))).otherwise(line)
     path = scratch_path(spark, "speech-lines")
     d.select(F.explode(F.array(F.lit("["), line, F.lit("]"))).alias("value")).write.text(path)
     records, rejects = R.read_speech_lines(spark, path)
@@ -50,10 +49,10 @@ def _(spark, sf):
 BODY_SQL = """concat('Ülésnap', chr(10), source, chr(10), source, ': ', text)"""
 
 
-@query("read_zip_text", "select cast(doc_id as string) as Hash, concat(' ', replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))) as Text from documents where doc_id % 10 <> 0")
+@query("read_zip_text", "select cast(doc_id as string) as Hash, concat(' ', replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))) as Text from documents where source <> 'src9'")
 def _(spark, sf):
     d = table(spark, sf, "documents").selectExpr(
-        "case when doc_id % 10 = 0 then concat('x/', doc_id, '.csv') else concat('speeches/', doc_id, '.v1.txt') end as member",
+        "case when source = 'src9' then concat('x/', doc_id, '.csv') else concat('speeches/', doc_id, '.v1.txt') end as member",
         f"{BODY_SQL} as body")
     path = scratch_path(spark, "zip-text")
     K.zip_members(d, "member", "body").write.parquet(path)
@@ -194,11 +193,9 @@ def _(spark, sf):
 def _(spark, sf):
     src, target, check = (scratch_path(spark, n) for n in ("stream-in", "stream-out", "stream-checkpoint"))
     schema = "id bigint, seq int, name string"
-    d = table(spark, sf, "documents")
-    d.selectExpr("doc_id as id", "0 as seq", "source as name").write.mode("append").json(src)
+    old, new = versions(spark, sf)
+    old.write.mode("append").json(src)
     ingest.stream_ingest(spark, src, target, check, schema).awaitTermination()
-    J.union_terms(d.filter("doc_id % 3 = 0").selectExpr("doc_id as id", "1 as seq", "concat(source, 'b') as name"),
-                  d.filter("doc_id % 9 = 0").selectExpr("doc_id as id", "2 as seq", "concat(source, 'c') as name"),
-                  d.filter("doc_id % 4 = 0").selectExpr("doc_id + 1000000 as id", "2 as seq", "'new' as name")).write.mode("append").json(src)
+    new.write.mode("append").json(src)
     ingest.stream_ingest(spark, src, target, check, schema).awaitTermination()
     return ingest.current(spark, target)

@@ -24,9 +24,9 @@ def capital_words():
 
 
 @query("annotate", """select doc_id, text, tag, count(*) as n from (
-  select doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+')) as text, 'CAP' as tag from documents where doc_id % 6 <> 0) t group by 1, 2, 3""")
+  select doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+')) as text, 'CAP' as tag from documents where lang <> 'es') t group by 1, 2, 3""")
 def _(spark, sf):
-    d = table(spark, sf, "documents").selectExpr("doc_id", "case when doc_id % 6 <> 0 then text end as text")
+    d = table(spark, sf, "documents").selectExpr("doc_id", "case when lang <> 'es' then text end as text")
     out = N.annotate(spread(d, "doc_id"), capital_words, "text", "text:string,tag:string", keep=["doc_id"])
     return N.explode_annotations(out, "annotations", "doc_id").groupBy("doc_id", "text", "tag").agg(F.count("*").alias("n"))
 
@@ -48,9 +48,9 @@ def _(spark, sf):
     return N.gazetteer_entities(token_array(spark, sf), p, "toks", ["doc_id"]).select("doc_id", "pos", "phrase", "tag")
 
 
-@query("concept_threshold", "select doc_id, (doc_id % 100) / 100.0 as confidence, n_chars as support from documents where doc_id % 100 >= 50 and n_chars >= 1000")
+@query("concept_threshold", "select doc_id, least(1.0, n_chars / 1500.0) as confidence, n_chars as support from documents where n_chars >= 1000")
 def _(spark, sf):
-    d = table(spark, sf, "documents").selectExpr("doc_id", "cast((doc_id % 100) / 100.0 as double) as confidence", "n_chars as support")
+    d = table(spark, sf, "documents").selectExpr("doc_id", "least(cast(1.0 as double), cast(n_chars as double) / 1500) as confidence", "n_chars as support")
     return N.concept_threshold(d, 0.5, 1000)
 
 

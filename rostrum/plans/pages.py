@@ -40,9 +40,9 @@ def _(spark, sf):
     return H.link_by_text(table(spark, sf, "pages"), ["la", "the", "The"], "page_id")
 
 
-@query("quarantine_blocked", "select page_id, 'parse' as state from pages where page_id % 13 <> 0 union all select page_id, 'blocked' from pages where page_id % 13 = 0")
+@query("quarantine_blocked", "select page_id, 'parse' as state from pages where not contains(url, 'spam') union all select page_id, 'blocked' from pages where contains(url, 'spam')")
 def _(spark, sf):
-    p = table(spark, sf, "pages").selectExpr("page_id", "case when page_id % 13 = 0 then concat(html, '<p>CAPTCHA') else html end as html")
+    p = table(spark, sf, "pages").selectExpr("page_id", "case when contains(url, 'spam') then concat(html, '<p>CAPTCHA') else html end as html")
     good, bad = H.quarantine_blocked(p)
     return good.select("page_id", F.lit("parse").alias("state")).unionByName(bad.select("page_id", F.lit("blocked").alias("state")))
 

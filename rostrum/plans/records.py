@@ -164,11 +164,11 @@ def _(spark, sf):
 
 
 @query("filter_articles", """select doc_id, length(text) as chars from documents
-  where doc_id % 6 <> 0 and doc_id % 7 <> 0 and length(text) > 1000""")
+  where lang <> 'de' and source <> 'src3' and length(text) > 1000""")
 def _(spark, sf):
     d = table(spark, sf, "documents").selectExpr(
-        "doc_id", "case when doc_id % 6 = 0 then concat('Cat:', source) else source end as title",
-        "case when doc_id % 7 = 0 then concat(repeat(chr(160), 2000), chr(10)) else text end as content")
+        "doc_id", "case when lang = 'de' then concat('Cat:', source) else source end as title",
+        "case when source = 'src3' then concat(repeat(chr(160), 2000), chr(10)) else text end as content")
     return FL.filter_articles(d, min_length=1000).select("doc_id", F.length("content").cast("long").alias("chars"))
 
 
@@ -202,8 +202,8 @@ def _(spark, sf):
     return FL.filter_confident_topic(topic_probs(spark, sf), 0.2)
 
 
-@query("guard_text", r"""select doc_id, case when doc_id % 4 = 0 then 0
+@query("guard_text", r"""select doc_id, case when lang = 'es' then 0
   else length(regexp_extract_all(text, '[\p{L}\p{N}]+', 0)) end as n from documents""")
 def _(spark, sf):
-    text = F.expr("case when doc_id % 4 = 0 then null else text end")
+    text = F.expr("case when lang = 'es' then null else text end")
     return table(spark, sf, "documents").select("doc_id", F.size(FL.guard_text(text, X.words(text))).cast("long").alias("n"))

@@ -61,12 +61,12 @@ def _(spark, sf):
 
 @query("join_bill_left", f"""with {V_DOC} select doc_id as id, url as bill_url, h as bill_title, html as bill_details
   from (select doc_id, case doc_id % 3 when 0 then null when 1 then '' else u end as url from v_doc
-    left join (select page_id, url as u from pages) q on doc_id % 500 = page_id) t
+    left join (select page_id, url as u from pages) q on doc_id = page_id) t
   left join (select url as bu, html, split_part(split_part(html, '<h1>', 2), '</h1>', 1) as h from pages) p on t.url = p.bu""")
 def _(spark, sf):
     pages = table(spark, sf, "pages")
     bills = pages.selectExpr("url as bill_url", "split_part(split_part(html, '<h1>', 2), '</h1>', 1) as bill_title", "html as bill_details")
-    d = docs(spark, sf).select("doc_id").join(pages.select("page_id", "url"), F.expr("doc_id % 500 = page_id"), "left")
+    d = docs(spark, sf).select("doc_id").join(pages.select("page_id", "url"), F.expr("doc_id = page_id"), "left")
     sp = d.selectExpr("cast(doc_id as string) as id", "doc_id", "case doc_id % 3 when 0 then null when 1 then '' else url end as bill_url")
     out = J.join_bill_left(sp, bills)
     return out.selectExpr("doc_id as id", "bill_url", "bill_title", "bill_details")
@@ -157,18 +157,23 @@ def _(spark, sf):
 
 
 VERSIONS = """select doc_id as id, 0 as seq, source as name from documents
-  union all select doc_id, 1, concat(source, 'b') from documents where doc_id % 3 = 0
-  union all select doc_id, 2, concat(source, 'c') from documents where doc_id % 9 = 0
-  union all select doc_id + 1000000, 2, 'new' from documents where doc_id % 4 = 0"""
+  union all select doc_id, 1, concat(source, 'b') from documents where lang = 'en'
+  union all select doc_id, 2, concat(source, 'c') from documents where source in ('src1', 'src2')
+  union all select -1 - doc_id, 2, 'new' from documents where lang = 'fr'"""
+
+
+def versions(spark, sf):
+    """(first versions, corrections and additions) of the documents."""
+    d = table(spark, sf, "documents")
+    new = J.union_terms(d.filter("lang = 'en'").selectExpr("doc_id as id", "1 as seq", "concat(source, 'b') as name"),
+                        d.filter("source in ('src1', 'src2')").selectExpr("doc_id as id", "2 as seq", "concat(source, 'c') as name"),
+                        d.filter("lang = 'fr'").selectExpr("-1 - doc_id as id", "2 as seq", "'new' as name"))
+    return d.selectExpr("doc_id as id", "0 as seq", "source as name"), new
 
 
 @query("upsert_by_id", f"select id, arg_max(name, seq) as name, max(seq) as seq from ({VERSIONS}) t group by 1")
 def _(spark, sf):
-    d = table(spark, sf, "documents")
-    new = J.union_terms(d.filter("doc_id % 3 = 0").selectExpr("doc_id as id", "1 as seq", "concat(source, 'b') as name"),
-                        d.filter("doc_id % 9 = 0").selectExpr("doc_id as id", "2 as seq", "concat(source, 'c') as name"),
-                        d.filter("doc_id % 4 = 0").selectExpr("doc_id + 1000000 as id", "2 as seq", "'new' as name"))
-    return J.upsert_by_id(d.selectExpr("doc_id as id", "0 as seq", "source as name"), new)
+    return J.upsert_by_id(*versions(spark, sf))
 
 
 # ---- aggregations

@@ -131,12 +131,10 @@ def _(spark, sf):
     return scored(spark, sf, Q_CROSS, S.match_cross_fields)
 
 
-@query("bm25_score", f"""{match_sql("was rewh anea", ("text",))} select id, round(sum(w), 6) as score from w group by 1
-  order by sum(w) desc, id limit 20""")
+@query("bm25_score", f"""{match_sql("was rewh anea", ("text",))} select id, round(sum(w), 6) as score from w group by 1""")
 def _(spark, sf):
     index = S.index_documents(spread(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), "id"), STOP)
-    hits = S.bm25_score(index, "text", "was rewh anea", STOP)
-    return S.page_results(hits, 20).select("id", F.round("score", 6).alias("score"))
+    return S.bm25_score(index, "text", "was rewh anea", STOP).select("id", F.round("score", 6).alias("score"))
 
 
 SENTENCES_SQL = r"list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), '\n+'), lambda x: len(x) > 0)"
