@@ -38,12 +38,12 @@ def _(spark, sf):
     return J.union_terms(flat, rejects.groupBy("reason").agg(F.count("*").alias("n")))
 
 
-@query("read_json_array", "select cast(conv_id as string) as id, role as speaker, text, [role, 't'] as topic from conversations")
+@query("read_json_array", "select cast(conv_id as string) as id, role as speaker, text, concat(role, '|t') as topic from conversations")
 def _(spark, sf):
     path = scratch_path(spark, "json-array")
     K.write_array_lines(table(spark, sf, "conversations").selectExpr(
         "cast(conv_id as string) as id", "role as speaker", "text", "array(role, 't') as topic"), path)
-    return R.read_json_array(spark, path).select("id", "speaker", "text", "topic")
+    return R.read_json_array(spark, path).select("id", "speaker", "text", F.array_join("topic", "|").alias("topic"))
 
 
 BODY_SQL = """concat('Ülésnap', chr(10), source, chr(10), source, ': ', text)"""
@@ -112,11 +112,11 @@ def _(spark, sf):
     return R.read_pages(spark, f"{sf}/pages.parquet")
 
 
-@query("read_topic_tsv", f"select cast(doc_id as string) as id, [cast(doc_id % 7 as string), cast(doc_id % 11 as string), cast(doc_id % 24 as string)] as topics from documents")
+@query("read_topic_tsv", f"select cast(doc_id as string) as id, concat(doc_id % 7, '/', doc_id % 11, '/', doc_id % 24) as topics from documents")
 def _(spark, sf):
     path = scratch_path(spark, "doc-topics")
     K.write_tsv(table(spark, sf, "documents").selectExpr("cast(doc_id as string) as id", TOPICS), path, header=False)
-    return R.read_topic_tsv(spark, path)
+    return R.read_topic_tsv(spark, path).select("id", F.array_join("topics", "/").alias("topics"))
 
 
 @query("read_word_list", r"select distinct unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) as word from benchmark")

@@ -126,7 +126,7 @@ def _(spark, sf):
   v as (select doc_id, term, tf * idf as dw from d join (select distinct term, idf from tfidf) i using (term)),
   u as (select doc_id, term, dw / sqrt(sum(dw * dw) over (partition by doc_id)) as dw from v),
   s as (select doc_id, item_id, sum(dw * w) as score from u join tfidf using (term) group by 1, 2)
-  select doc_id, item_id, round(score, 6) as score, rank from (select *, row_number() over (partition by doc_id order by round(score, 9) desc, item_id) as rank from s) r
+  select doc_id, item_id, round(score, 6) as score, rank from (select *, cast(row_number() over (partition by doc_id order by round(score, 9) desc, item_id) as int) as rank from s) r
   where rank <= 10""")
 def _(spark, sf):
     concepts = E.tfidf(alpha_bag(spark, sf, "benchmark", "item_id"), table(spark, sf, "benchmark"), "item_id")

@@ -297,7 +297,7 @@ def _(spark, sf):
     return O.prev_next_speech(speeches(spark, sf), value="id", block=3).select("id", "prev_speech_url", "next_speech_url")
 
 
-@query("top_topics_per_doc", f"""with {V_PROB} select * from (select *, row_number() over (partition by doc_id order by prob desc, topic) as rank
+@query("top_topics_per_doc", f"""with {V_PROB} select * from (select *, cast(row_number() over (partition by doc_id order by prob desc, topic) as int) as rank
   from v_prob) t where rank <= 3""")
 def _(spark, sf):
     return O.top_topics_per_doc(topic_probs(spark, sf))
@@ -309,7 +309,7 @@ def _(spark, sf):
 
 
 @query("topk_per_period", f"""with {V_DOC}, c as (select {PERIOD_SQL} as period, speaker, count(*) as count from v_doc where {PERIOD_SQL} is not null group by 1, 2)
-  select * from (select *, row_number() over (partition by period order by count desc, speaker) as rank from c) t where rank <= 10""")
+  select * from (select *, cast(row_number() over (partition by period order by count desc, speaker) as int) as rank from c) t where rank <= 10""")
 def _(spark, sf):
     return A.topk_per_period(A.period_top_list(docs(spark, sf), PERIODS, "speaker", "date"), "speaker")
 

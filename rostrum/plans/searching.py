@@ -97,7 +97,7 @@ def _(spark, sf):
     return d.filter("n > 0")
 
 
-@query("build_postings", f"""{postings_sql()} select id, field, tok as term, dl, count(*) as tf, string_agg(pos, ' ' order by pos) as positions
+@query("build_postings", f"""{postings_sql()} select id, field, tok as term, cast(dl as int) as dl, cast(count(*) as int) as tf, string_agg(pos, ' ' order by pos) as positions
   from toks join len using (id, field) group by 1, 2, 3, 4""")
 def _(spark, sf):
     p = S.build_postings(indexed(spark, sf))
