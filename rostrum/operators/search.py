@@ -46,8 +46,8 @@ K1, B = 1.2, 0.75  # published BM25 defaults
 def analyze_text(df: DataFrame, columns: Mapping[str, Column], stop: Sequence[str] = ()) -> DataFrame:
     """Add word arrays in lower case with accents folded; stop words become NULL so that positions stay true.
 
-    Folding maps letters to letters, hence the folded text has the same word borders and both can be zipped.
-    Each step is computed once per row.
+    Folding maps letters to letters, hence the folded text has the same word borders and both can be zipped; a text
+    without accents is split only once. Each step is computed once per row.
     """
     df = compute_once(df, {f"_p_{n}": F.lower(fix_accents(c)) for n, c in columns.items()})
     df = compute_once(df, {f"_f_{n}": ascii_fold(f"_p_{n}") for n in columns})
@@ -55,7 +55,9 @@ def analyze_text(df: DataFrame, columns: Mapping[str, Column], stop: Sequence[st
     def toks(n: str) -> Column:
         if not stop:
             return words(f"_f_{n}")
-        return F.zip_with(words(f"_p_{n}"), words(f"_f_{n}"), lambda t, f: F.when(~t.isin(list(stop)), f))
+        same = F.transform(words(f"_p_{n}"), lambda t: F.when(~t.isin(list(stop)), t))
+        both = F.zip_with(words(f"_p_{n}"), words(f"_f_{n}"), lambda t, f: F.when(~t.isin(list(stop)), f))
+        return F.when(F.col(f"_p_{n}") == F.col(f"_f_{n}"), same).otherwise(both)
 
     return compute_once(df, {n: toks(n) for n in columns}).drop(*[f"_{s}_{n}" for n in columns for s in "pf"])
 

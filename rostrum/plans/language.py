@@ -141,7 +141,7 @@ def _model(spark, sf: str, k: int = 24):
     """(vocabulary, vectors, fitted model) of the documents; the model queries share it."""
     vocab = TM.vocabulary_list(vocabulary(spark, sf))
     vectors = cut_lineage(TM.vectorize(token_array(spark, sf), vocab))  # training reads them once per step
-    return vocab, vectors, TM.fit_lda(vectors, k, min_steps=4)
+    return vocab, vectors, TM.fit_lda(vectors, k)
 
 
 @query("vectorize", f"""with {V_TOKEN} select doc_id, tok as term, count(*) as tf from v_token
