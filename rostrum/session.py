@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,9 +30,15 @@ def get_spark(app: str = "rostrum", **conf: str) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:  # only local runs and tests leave it unset
+    """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
+
+    Without it, a directory given by ``SparkContext.setCheckpointDir`` is used. A temporary folder is made for a local master only; on a
+    cluster each machine would have its own, so a missing setting is an error there.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root is None:
+        if re.match(r"local(\[|$)", spark.sparkContext.master) is None:
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="rostrum-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
