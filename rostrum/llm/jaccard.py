@@ -64,10 +64,16 @@ def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
     return vector_sum(docs, kernel, COUNTERS)
 
 
+EXTRA = 24
+
+
 def prefix(s: np.ndarray, counters: np.ndarray, percent: int) -> np.ndarray:
-    """The n - ceil(t n) + 1 rarest shingles: two sets with a Jaccard index of t or more share one of these."""
+    """The n - ceil(t n) + k rarest shingles, k = max(1, n // EXTRA).
+
+    Two sets with a Jaccard index of t or more share at least the smaller k of both in these.
+    """
     n = len(s)
-    p = n - (percent * n + 99) // 100 + 1
+    p = n - (percent * n + 99) // 100 + max(1, n // EXTRA)
     if p >= n:
         return s
     order = np.argsort(counters[_place(s)], kind="stable")  # ties in the order of the hashes
@@ -153,6 +159,18 @@ def verify(pairs: DataFrame, arrays: DataFrame, percent: int, block: int = 256)
     return both.repartition("hub", "part").sortWithinPartitions("hub", "part", "role").mapInArrow(kernel, "a long, b long").distinct()
 
 
+def shared_postings(postings: DataFrame, percent: int) -> DataFrame:
+    """Postings whose shingle another class has too, of the classes that have enough of them.
+
+    A partner has at least t n shingles, so the pair shares the k of that size or more; classes with fewer shared shingles have no partner.
+    """
+    joint = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
+    found = saved(postings.join(joint, "key"), "postings")
+    least = F.greatest(F.lit(1), F.floor(F.ceil(F.max("n") * percent / 100) / EXTRA))
+    enough = found.groupBy("node").agg(F.count("*").alias("found"), least.alias("least")).filter("found >= least").select("node")
+    return found.join(enough, "node")
+
+
 # ---- bitmaps
 
 
@@ -247,8 +265,9 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     some = sets.filter("fp is not null")
     classes = saved(some.groupBy("fp").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
     postings = classes.filter("node is not null").select("node", "n", F.explode("keys").alias("key"))
-    joint = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
-    postings = saved(postings.join(joint, "key"), "postings")
+    for _ in range(2):  # the second time among the classes left by the first
+        postings = shared_postings(postings, percent)
+    postings = saved(postings, "postings")
 
     arrays = saved(_arrays(docs, postings.select("node").distinct(), size), "arrays")
     degree = postings.groupBy("node").agg((F.count("*") / F.max("n")).alias("degree"))

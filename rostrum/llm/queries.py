@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rostrum.llm import jaccard, quality_rules as rules
+from rostrum.llm import jaccard, packing, quality_rules as rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +72,13 @@ RULES_SQL = f"""with t as (select doc_id, coalesce(source, '') as host, coalesce
 @query("op2_line_frequency_rules", RULES_SQL)
 def _(spark, sf):
     return rules.quality_rules(table(spark, sf, "documents"))
+
+
+@query("op3_token_counts")
+def _(spark, sf):
+    return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op4_sum_of_squares_packing")
+def _(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
