@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rostrum.llm import jaccard, packing, quality_rules as rules, token_counts
+from rostrum.llm import importance, jaccard, packing, quality_rules as rules, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,3 +82,13 @@ def _(spark, sf):
 @query("op4_sum_of_squares_packing")
 def _(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op7_subword_toxicity")
+def _(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op9_importance_resampling")
+def _(spark, sf):
+    return importance.importance_sample(table(spark, sf, "documents"), table(spark, sf, "labels"))
