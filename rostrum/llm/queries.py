@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rostrum.llm import importance, jaccard, packing, quality_rules as rules, token_counts, toxicity
+from rostrum.llm import covertree, importance, jaccard, licenses, nbest, packing, preference, quality_rules as rules, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,3 +92,66 @@ def _(spark, sf):
 @query("op9_importance_resampling")
 def _(spark, sf):
     return importance.importance_sample(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def _side(start: str, end: str) -> str:
+    """SQL for the assistant's spans in the rendered turns start..end of one side (list ``d``)."""
+    size = "22 + length(s.r) + length(s.x) + 2"
+    return f"""array_to_string(list_filter(list_transform(range(1, len(d) + 1), lambda i: case when d[i].r = 'assistant' then
+      cast(coalesce(list_sum(list_transform(d[1:i - 1], lambda s: {size})), 0) + 13 + length(d[i].r) as bigint) || '-' ||
+      cast(list_sum(list_transform(d[1:i], lambda s: {size})) as bigint) end), lambda v: v is not null), ',')"""
+
+
+def _rendered(d: str) -> str:
+    return f"coalesce(array_to_string(list_transform({d}, lambda s: '<|im_start|>' || s.r || chr(10) || s.x || '<|im_end|>' || chr(10)), ''), '')"
+
+
+PREFERENCE_SQL = f"""with t as (select conv_id, list(struct_pack(r := replace(coalesce(role, ''), '<|', '< |'), x := replace(coalesce(text, ''), '<|', '< |'))
+      order by turn, role, text) as c from conversations group by conv_id),
+  p as (select conv_id, c, list_filter(range(1, len(c) + 1), lambda i: c[i].r = 'assistant') as a from t),
+  q as (select conv_id, c, list_transform(range(1, len(c) + 1), lambda i: case when len(a) > 0 and i = a[len(a)]
+      then struct_pack(r := c[i].r, x := case when a[1] < a[len(a)] then c[a[1]].x else '' end) else c[i] end) as b from p),
+  n as (select *, coalesce(list_filter(range(1, len(c) + 1), lambda i: c[i] <> b[i])[1], len(c) + 1) - 1 as n from q)
+  select conv_id, cast(n as int) as n_prompt_turns, {_rendered('c[1:n]')} as prompt, {_rendered('c[n + 1:]')} as chosen_completion,
+    {_rendered('b[n + 1:]')} as rejected_completion, {_side('', '').replace('d[', 'c[n + 1:][').replace('len(d)', 'len(c[n + 1:])')} as chosen_mask,
+    {_side('', '').replace('d[', 'b[n + 1:][').replace('len(d)', 'len(b[n + 1:])')} as rejected_mask, n < len(c) as usable from n"""
+
+
+def _spans_text(c: str):
+    return F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias(c)
+
+
+@query("op6_preference_pairs", PREFERENCE_SQL)
+def _(spark, sf):
+    pairs = preference.stale_answers(preference.conversations(table(spark, sf, "conversations")))
+    return preference.preference(pairs).select("conv_id", "n_prompt_turns", "prompt", "chosen_completion", "rejected_completion",
+                                               _spans_text("chosen_mask"), _spans_text("rejected_mask"), "usable")
+
+
+COVER_SQL = """with recursive v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(embedding) > 0),
+  u as (select vec_id, v, sqrt(list_dot_product(v, v)) as n from v where list_dot_product(v, v) > 0),
+  links as (select x.vec_id as a, y.vec_id as b from u x join u y on x.vec_id <> y.vec_id and len(x.v) = len(y.v)
+    where list_dot_product(x.v, y.v) / (x.n * y.n) >= 0.95),
+  reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+  c as (select a, min(b) as b from reach group by 1), k as (select a, count(*) as k from links group by 1)
+  select e.vec_id, coalesce(k.k, 0) as n_links, least(e.vec_id, coalesce(c.b, e.vec_id)) as component_id, e.vec_id <= coalesce(c.b, e.vec_id) as kept
+  from embeddings e left join c on c.a = e.vec_id left join k on k.a = e.vec_id"""
+
+
+@query("op8_cover_tree_duplicates", COVER_SQL)
+def _(spark, sf):
+    return covertree.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query("op10_license_compression")
+def _(spark, sf):
+    found = licenses.license_scan(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_blocks", F.size("notices").cast("long").alias("n_notices"), "restricted",
+                        F.array_join(F.array_sort(F.array_distinct(F.transform("notices", lambda n: n["license"]))), "|").alias("licenses"),
+                        F.aggregate("notices", F.lit(0), lambda a, n: a + n["changed"]).cast("long").alias("n_changed"))
+
+
+@query("op5_nbest_pieces")
+def _(spark, sf):
+    return nbest.nbest(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
