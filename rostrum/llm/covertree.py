@@ -41,23 +41,31 @@ def unit_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return named.mapInArrow(kernel, "vec_id long, unit binary")
 
 
-def net(points: np.ndarray, radius: float) -> np.ndarray:
-    """Greedy net: points that lie farther than ``radius`` from all earlier ones of the net; each point's nearest net member."""
+def net(points: np.ndarray, radius: float, step: int = 256) -> np.ndarray:
+    """Greedy net: points that lie farther than ``radius`` from all earlier ones of the net; for each point a net member that covers it.
+
+    Points are taken in steps: one matrix product with the net so far, then a greedy choice among those left uncovered.
+    """
     close = 1 - radius * radius / 2
-    chosen: list[int] = []
-    owner = np.full(len(points), -1)
-    best = np.full(len(points), -2.0)
-    for a in range(0, len(points), 256):
-        part = np.arange(a, min(a + 256, len(points)))
-        while len(part := part[best[part] < close]):
-            c = int(part[0])
-            g = points @ points[c] if a == 0 and len(chosen) < 8 else None
-            at = np.arange(len(points)) if g is not None else np.arange(a, len(points))
-            g = g if g is not None else points[a:] @ points[c]
-            better = g > best[at]
-            owner[at[better]], best[at[better]] = c, g[better]
-            owner[c], best[c] = c, 2.0
-            chosen.append(c)
+    chosen, kept = np.empty(len(points), np.int64), np.empty_like(points)
+    owner, n = np.empty(len(points), np.int64), 0
+    for a in range(0, len(points), step):
+        part = points[a: a + step]
+        best, who = np.full(len(part), -2.0), np.zeros(len(part), np.int64)
+        if n:
+            g = part @ kept[:n].T
+            at = np.argmax(g, axis=1)
+            best, who = g[np.arange(len(part)), at], chosen[at]
+        inner = part @ part.T
+        for i in range(len(part)):
+            if best[i] < close:
+                chosen[n], kept[n] = a + i, part[i]
+                n += 1
+                better = inner[i] > best
+                better[:i] &= best[:i] < close
+                best[better], who[better] = inner[i][better], a + i
+                best[i], who[i] = 2.0, a + i
+        owner[a: a + step] = who
     return owner
 
 
@@ -81,7 +89,7 @@ class Tree:
 
     def __init__(self, points: np.ndarray, owners: list[np.ndarray]):
         self.points = points
-        self.nodes, self.radius, self.children = [], [], []
+        self.nodes, self.radius, self.count, self.children = [], [], [], []
         for owner in owners:
             far = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", points, points[owner])))
             far[owner == np.arange(len(points))] = 0
@@ -90,8 +98,10 @@ class Tree:
             node = np.unique(owner)
             self.nodes.append(node)
             self.radius.append(radius[node])
+            self.count.append(np.bincount(owner, minlength=len(points))[node])
         self.nodes.append(np.arange(len(points)))
         self.radius.append(np.zeros(len(points)))
+        self.count.append(np.ones(len(points), np.int64))
         for k, owner in enumerate(owners):
             below = owner[self.nodes[k + 1]]
             order = np.argsort(below, kind="stable")
@@ -116,6 +126,11 @@ def pairs(a: Tree, b: Tree, threshold: float):
                 continue
             most = a.radius[k][i][:, None] + b.radius[k][y][None, :] + reach
             near = np.nonzero(g >= 1 - most * most / 2 - SLACK)
+            lone = (a.count[k][i][near[0]] == 1) & (b.count[k][y][near[1]] == 1)  # two nodes of one vector each need no deeper level
+            hit = np.flatnonzero(lone & (g[near] >= threshold))
+            if len(hit):
+                yield a.nodes[k][i[near[0][hit]]], b.nodes[k][y[near[1][hit]]]
+            near = near[0][~lone], near[1][~lone]
             # one step down per node of a with all its partners
             cut = np.flatnonzero(np.diff(near[0], prepend=-1))
             for p, q in zip(cut, [*cut[1:], len(near[0])]):
@@ -174,26 +189,41 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
             apart = float(np.linalg.norm(centres[c] - centres[d])) if len(centres) else 0.0
             if apart <= far + other + reach:
                 meets.append((c, blocks[c], d, blocks[d]))
-    plan = spark.createDataFrame(meets, "cell int, own int, other int, others int")
-    # A block is (cell, part); a tile is a pair of blocks, the smaller first. Each row goes to the tiles of its block.
-    dealt = placed.join(F.broadcast(plan), "cell").withColumn("part", F.expr("cast(pmod(xxhash64(class), own) as int)"))
-    dealt = dealt.select("class", "unit", "weight", "cell", "part", "other", F.explode(F.expr("sequence(0, others - 1)")).alias("other_part"))
+    plan = spark.createDataFrame([(c, d, n) for c, _, d, n in meets], "cell int, other int, others int")
+    # A block is (cell, part). Its tree is built once; the rows carry the class of their node at each level.
+    radii, parts = sorted(radii, reverse=True), spark.createDataFrame([(c, k) for c, k in blocks.items()], "cell int, own int")
+
+    def grow(batches):
+        for g in groups(batches, "cell", "part"):
+            for size in {len(u) for u in g["unit"]}:
+                own = [i for i, u in enumerate(g["unit"]) if len(u) == size]
+                name = np.array([g["class"][i] for i in own])
+                over = levels(np.stack([np.frombuffer(g["unit"][i], np.float64) for i in own]), radii)
+                cols = {c: [g[c][i] for i in own] for c in ("class", "unit", "weight", "cell", "part")}
+                yield pa.RecordBatch.from_pydict({
+                    "class": pa.array(name), "unit": pa.array(cols["unit"], pa.binary()), "weight": pa.array(cols["weight"], pa.int64()),
+                    "cell": pa.array(cols["cell"], pa.int32()), "part": pa.array(cols["part"], pa.int32()),
+                    "over": pa.array(np.stack([name[o] for o in over], axis=1).tolist(), pa.list_(pa.int64()))})
+
+    block_of = placed.join(F.broadcast(parts), "cell").withColumn("part", F.expr("cast(pmod(xxhash64(class), own) as int)"))
+    grown = block_of.select("class", "unit", "weight", "cell", "part").repartition("cell", "part").sortWithinPartitions("cell", "part", "class")
+    grown = saved(grown.mapInArrow(grow, "class long, unit binary, weight long, cell int, part int, over array<long>"), "trees")
+    # A tile is a pair of blocks, the smaller first. Each row goes to the tiles of its block.
+    dealt = grown.join(F.broadcast(plan), "cell").select(
+        "class", "unit", "weight", "over", "cell", "part", "other", F.explode(F.expr("sequence(0, others - 1)")).alias("other_part"))
     mine, theirs = F.struct("cell", "part"), F.struct(F.col("other"), F.col("other_part"))
     tiles = dealt.select(
         F.when(mine <= theirs, F.concat_ws(".", "cell", "part", "other", "other_part")).otherwise(F.concat_ws(".", "other", "other_part", "cell", "part")).alias("tile"),
-        (mine <= theirs).alias("first"), (mine == theirs).alias("same"), "class", "unit", "weight")
-    radii = list(radii)
+        (mine <= theirs).alias("first"), (mine == theirs).alias("same"), "class", "unit", "weight", "over")
 
     def kernel(batches):
         for g in groups(batches, "tile"):
-            sizes = {len(u) for u in g["unit"]}
-            for size in sizes:
+            for size in {len(u) for u in g["unit"]}:
                 own = [i for i, u in enumerate(g["unit"]) if len(u) == size]
                 left = [i for i in own if g["first"][i]]
                 right = left if g["same"][own[0]] else [i for i in own if not g["first"][i]]
                 if left and right:
-                    yield from _tile(*[(np.stack([np.frombuffer(g["unit"][i], np.float64) for i in side]), np.array([g["class"][i] for i in side]),
-                                        np.array([g["weight"][i] for i in side])) for side in (left, right)], right is left, threshold, radii)
+                    yield from _tile(*[_side(g, side) for side in (left, right)], right is left, threshold)
 
     links = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(kernel, "class long, n long, mate long")
     links = saved(links, "mates")
@@ -210,11 +240,21 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                         F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
-def _tile(left, right, same: bool, threshold: float, radii: list[float]):
-    """Links of one tile: per class the weight of its partners and one smaller class of the same group, by the group's smallest."""
-    (x, cx, wx), (y, cy, wy) = left, right
-    a = Tree(x, levels(x, radii))
-    b = a if same else Tree(y, levels(y, radii))
+def _side(g: dict[str, list], rows: list[int]) -> tuple[Tree, np.ndarray, np.ndarray]:
+    """Tree, classes and weights of one block from its rows."""
+    name = np.array([g["class"][i] for i in rows])
+    order = np.argsort(name)
+    over = np.array([g["over"][i] for i in rows])
+    owners = [order[np.searchsorted(name, over[:, k], sorter=order)] for k in range(over.shape[1])]
+    return Tree(np.stack([np.frombuffer(g["unit"][i], np.float64) for i in rows]), owners), name, np.array([g["weight"][i] for i in rows])
+
+
+def _tile(left, right, same: bool, threshold: float):
+    """Links of one tile: per class the weight of its partners and one class of the same group, the first of its rows."""
+    (a, cx, wx), (b, cy, wy) = left, right
+    x, y = a.points, b.points
+    if same:
+        b = a
     n = len(x) if same else len(x) + len(y)
     shift = 0 if same else len(x)
     count, group = np.zeros(n, np.int64), np.arange(n)
