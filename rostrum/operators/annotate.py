@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
@@ -83,9 +84,8 @@ MARKUP = [
     (r"(?is)<ref\b[^>/]*/>", ""), (r"(?is)<ref\b[^>]*>.*?</ref>", ""),
     (r"<[^<>]+>", ""),
 ]
-TEMPLATE = r"\{\{[^{}]*\}\}"
-TABLE = r"(?s)\{\|(?:(?!\{\||\|\}).)*\|\}"
-MEDIA = r"(?i)\[\[(?:file|image|fájl|kép|kategória|category):(?:[^\[\]]|\[\[[^\[\]]*\]\])*\]\]"
+# Name spaces of media and categories.
+MEDIA = re.compile(r"(?:file|image|fájl|kép|kategória|category):", re.IGNORECASE)
 LINKS = [
     (r"\[\[[^\[\]|]*\|([^\[\]|]*)\]\]", "$1"), (r"\[\[([^\[\]|]*)\]\]", "$1"),
     (r"\[(?:https?|ftp)://\S+\s+([^\]]+)\]", "$1"), (r"\[(?:https?|ftp)://\S+\]", ""),
@@ -100,15 +100,43 @@ def drop_table_rows(c: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
-def strip_markup(c: Column, nesting: int = 4, table_lines: bool = False) -> Column:
-    """Wiki mark-up → plain text. ``nesting`` is how deep templates and tables may be nested."""
+def cut_nested(text: str, opening: str, closing: str, only: re.Pattern | None = None) -> str:
+    """Text without its balanced brackets of any depth; with ``only``, without those whose content starts with the pattern."""
+    stack: list[int] = []
+    cuts: list[tuple[int, int]] = []
+    for m in re.finditer(re.escape(opening) + "|" + re.escape(closing), text):
+        if m.group() == opening:
+            stack.append(m.start())
+        elif stack:
+            start = stack.pop()
+            if only is None or only.match(text, start + len(opening)):
+                while cuts and cuts[-1][0] >= start:
+                    cuts.pop()
+                cuts.append((start, m.end()))
+    at, kept = 0, []
+    for start, end in cuts:
+        kept.append(text[at:start])
+        at = end
+    return "".join([*kept, text[at:]])
+
+
+def _drop_brackets(c: Column) -> Column:
+    """Templates, tables and media links, by a scan with a stack: patterns alone cannot match any depth."""
+    def clean(t: str) -> str:
+        return cut_nested(cut_nested(cut_nested(t, "{{", "}}"), "{|", "|}"), "[[", "]]", MEDIA)
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(clean, na_action="ignore")
+
+    return F.pandas_udf(run, "string")(c)
+
+
+def strip_markup(c: Column, table_lines: bool = False) -> Column:
+    """Wiki mark-up → plain text. Templates, tables and media links go at any depth; brackets that do not close stay as text."""
     c = drop_table_rows(c) if table_lines else c
     for pattern, stays in MARKUP:
         c = F.regexp_replace(c, pattern, stays)
-    for pattern in (TEMPLATE, TABLE):
-        for _ in range(nesting):
-            c = F.regexp_replace(c, pattern, "")
-    c = F.regexp_replace(c, MEDIA, "")
+    c = _drop_brackets(c)
     for pattern, stays in LINKS:
         c = F.regexp_replace(c, pattern, stays)
     return F.btrim(F.regexp_replace(c, r"\n{3,}", "\n\n"), F.lit(" \n"))

@@ -7,7 +7,9 @@ in, its rows out, nothing kept between pages.
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from html.entities import name2codepoint
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -15,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rostrum.functions.text import SPEECH_URL, expand_id_range, topic_or_pair
-from rostrum.operators.rows import unnest
+from rostrum.operators.rows import compute_once, unnest
 from rostrum.schemas import SITTING_FIELDS
 
 # Link labels, the id of the speech table, the marker of a blocked page, the contents page of a sitting.
@@ -30,30 +32,48 @@ TOC_URL = "https://www.parlament.hu/internet/cplsql/ogy_naplo.ulnap_felszo?p_lis
 
 # ---- links, in the JVM
 
-ANCHOR = r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>'
+HREF = r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+ANCHOR = r"(?is)<a\b[^>]*?" + HREF + r"[^>]*>(.*?)</a\s*>"
+REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});"
 
 
 def unescape(c: Column) -> Column:
-    """The five predefined entities and the hard space."""
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """Character references: decimal, hexadecimal, and the names of HTML 4 and ``&apos;``; unknown ones stay."""
+    names = F.create_map(*[F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items() for x in (name, chr(code))])
+
+    def one(ref: Column) -> Column:
+        body = F.substr(ref, F.lit(2), F.length(ref) - 2)
+        number = F.when(body.startswith("#x") | body.startswith("#X"), F.conv(F.substr(body, F.lit(3)), 16, 10)).otherwise(F.substr(body, F.lit(2)))
+        code = number.try_cast("int")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.coalesce(F.when(body.startswith("#"), char).otherwise(F.element_at(names, body)), ref)
+
+    # Pieces between the references and the references themselves, in turn: what one gives is not read again.
+    plain = F.split(c, REFERENCE, -1)
+    refs = F.transform(F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(0)), one)
+    joined = F.array_join(F.transform(plain, lambda p, i: F.concat(p, F.coalesce(F.get(refs, i), F.lit("")))), "")
+    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
+
+
+def _anchors(html: Column) -> Column:
+    c = F.regexp_replace(html, r"(?s)<!--.*?-->|(?i)<script\b.*?</script\s*>", "")
+    found = F.regexp_extract_all(c, F.lit(ANCHOR), F.lit(0))
+    return F.transform(found, lambda a, i: F.struct(
+        i.alias("pos"), unescape(F.concat(*[F.regexp_extract(a, ANCHOR, k) for k in (1, 2, 3)])).alias("href"),
+        unescape(F.regexp_replace(F.regexp_extract(a, ANCHOR, 4), "<[^>]*>", "")).alias("anchor")))
 
 
 def extract_links(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
-    """One row per link: position, address, plain anchor text."""
-    c = F.regexp_replace(F.col(html), r"(?s)<!--.*?-->|(?i)<script\b.*?</script\s*>", "")
-    anchors = F.transform(F.regexp_extract_all(c, F.lit(ANCHOR), F.lit(0)), lambda a, i: F.struct(
-        i.alias("pos"), unescape(F.regexp_extract(a, ANCHOR, 1)).alias("href"),
-        unescape(F.regexp_replace(F.regexp_extract(a, ANCHOR, 2), "<[^>]*>", "")).alias("anchor")))
-    return unnest(pages, *keep, a=anchors).select(*keep, "a.pos", "a.href", "a.anchor")
+    """One row per link: position, address (in any quoting or none), plain anchor text."""
+    return unnest(pages, *keep, a=_anchors(F.col(html))).select(*keep, "a.pos", "a.href", "a.anchor")
 
 
 def link_by_text(pages: DataFrame, label: str | Sequence[str], *keep: str, html: str = "html") -> DataFrame:
-    """Address of the first link of each page whose text is the label."""
+    """Address of the first link of each page whose text is the label, found inside the row."""
     labels = [label] if isinstance(label, str) else list(label)
-    found = extract_links(pages, *keep, html=html).filter(F.col("anchor").isin(labels))
-    return found.groupBy(*keep).agg(F.min_by("href", "pos").alias("href"))
+    found = compute_once(pages.select(*keep, html), {"_hit": F.get(F.filter(_anchors(F.col(html)), lambda a: a["anchor"].isin(labels)), F.lit(0))})
+    return found.filter(F.col("_hit").isNotNull()).select(*keep, F.col("_hit")["href"].alias("href"))
 
 
 def term_label(start: int, current: bool = False) -> str:
@@ -89,11 +109,13 @@ class Node:
         return [k for k in self.kids if isinstance(k, Node) and k.tag == tag]
 
     def walk(self, *tags: str) -> Iterator["Node"]:
-        for k in self.kids:
+        todo = self.kids[::-1]
+        while todo:
+            k = todo.pop()
             if isinstance(k, Node):
                 if k.tag in tags:
                     yield k
-                yield from k.walk(*tags)
+                todo += k.kids[::-1]
 
     def own(self) -> list[str]:
         return [k for k in self.kids if isinstance(k, str)]
@@ -102,11 +124,13 @@ class Node:
         return next(iter(self.own()), None)
 
     def texts(self) -> Iterator[str]:
-        for k in self.kids:
+        todo = self.kids[::-1]
+        while todo:
+            k = todo.pop()
             if isinstance(k, str):
                 yield k
             elif k.tag not in ("script", "style"):
-                yield from k.texts()
+                todo += k.kids[::-1]
 
     def text_after(self, kid: "Node") -> str | None:
         seen = False
@@ -122,27 +146,34 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("")
         self.open = [self.root]
+        self.depth: Counter[str] = Counter()  # open elements by tag
         self.feed(html)
         self.close()
 
     def handle_starttag(self, tag, attrs):
         ends, border = CLOSES.get(tag, ((), ()))
         at = len(self.open)
-        for i in range(len(self.open) - 1, 0, -1):
+        for i in range(len(self.open) - 1, 0, -1) if ends else ():
             if self.open[i].tag in border:
                 break
             if self.open[i].tag in ends:
                 at = i
-        del self.open[at:]
+        self._shut(at)
         node = Node(tag, attrs)
         self.open[-1].kids.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.depth[tag] += 1
+
+    def _shut(self, at: int) -> None:
+        for node in self.open[at:]:
+            self.depth[node.tag] -= 1
+        del self.open[at:]
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
+        for i in range(len(self.open) - 1, 0, -1) if self.depth[tag] else ():
             if self.open[i].tag == tag:
-                del self.open[i:]
+                self._shut(i)
                 return
 
     def handle_data(self, data):

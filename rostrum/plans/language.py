@@ -69,17 +69,25 @@ def _(spark, sf):
     return N.split_sentences(d, "text", "doc_id").groupBy("doc_id", "sentence").agg(F.count("*").alias("n"))
 
 
-LETTERS = r"regexp_replace(text, '[^a-zA-Z ]', '', 'g')"
+def _steps(c: str, *steps: tuple[str, str]) -> str:
+    for pattern, stays in steps:
+        c = f"regexp_replace({c}, '{pattern}', '{stays}', 'g')"
+    return c
 
 
-@query("strip_markup", f"select doc_id, concat(source, ' ', lang, 'x note ', trim({LETTERS}), chr(10), 'end & more') as plain from documents")
+STRIPPED = _steps(
+    "concat(chr(10), source, ' ', lang, 'x note ', chr(10), text, chr(10), chr(10), '== end &amp; more ==', chr(10))",
+    ("<[^<>]+>", ""), (r"\[(?:https?|ftp)://\S+\s+([^\]]+)\]", r"\1"), (r"\[(?:https?|ftp)://\S+\]", ""), ("''{2,5}", ""),
+    (r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", r"\1"), (r"(?m)^[*#:;]+\s*", ""), ("__[A-Z]+__", ""),
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
+
+
+@query("strip_markup", f"select doc_id, trim(regexp_replace({STRIPPED}, '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10)) as plain from documents")
 def _(spark, sf):
     wiki = F.concat(F.lit("{| class=w\n| a || {{b}}\n|}\n<!-- c -->'''"), "source", F.lit("''' [["), "lang", F.lit("|"), "lang",
-                    F.lit("x]] {{t|{{u|1}}}}note <ref name=a>r</ref>"), F.btrim(F.regexp_replace("text", "[^a-zA-Z ]", ""), F.lit(" ")),
-                    F.lit("<ref name=b/>\n== end &amp; more ==\n[[Kategória:X]]"))
-    plain = N.strip_markup(F.regexp_replace(wiki, r"\}\}note", "}}note"))
+                    F.lit("x]] {{t|{{u|1}}}}note <ref name=a>r</ref>\n"), "text", F.lit("\n<ref name=b/>\n== end &amp; more ==\n[[Kategória:X]]"))
     d = spread(table(spark, sf, "documents").select("doc_id", "text", "source", "lang"), "doc_id")
-    return d.select("doc_id", F.regexp_replace(plain, " {2,}note", " note").alias("plain"))
+    return d.select("doc_id", N.strip_markup(wiki).alias("plain"))
 
 
 LEMMAS_SQL = f"""select distinct lower(word) as s, substring(lower(word), 1, k) as lemma

@@ -55,7 +55,12 @@ def unzip(archives: DataFrame, suffix: str, name: str = "path", content: str = "
         for b in batches:
             for path, data in zip(b[name], b[content]):
                 rows = []
-                with zipfile.ZipFile(io.BytesIO(data)) as z:
+                try:
+                    archive = zipfile.ZipFile(io.BytesIO(data))
+                except Exception as e:  # an unreadable archive is one row with its error
+                    yield pd.DataFrame([(path, None, None, None, f"{type(e).__name__}: {e}")], columns=columns, dtype="object")
+                    continue
+                with archive as z:
                     for pos, member in enumerate(z.namelist()):
                         if not member.endswith(suffix):
                             continue
@@ -77,7 +82,7 @@ def zip_texts(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
     The hash is the second path part up to its first dot; of members with the same hash the last one counts.
     """
     members = unzip(archives, ".txt").withColumn("Hash", F.regexp_extract("member", r"\A[^/]*/([^/.]*)", 1))
-    good = F.col("error").isNull() & F.col("member").contains("/")
+    good = F.col("error").isNull() & F.coalesce(F.col("member").contains("/"), F.lit(False))
     texts = rank_one(members.filter(good), "Hash", F.col("archive").desc(), F.col("pos").desc())
     return texts.select("Hash", speech_body("text").alias("Text")), members.filter(~good).select("archive", "member", "error")
 
@@ -121,7 +126,8 @@ def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
     return pages.select("id", "title", F.col("revision.text._VALUE").alias("content"))
 
 
-TRIPLE = r'\A\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"\S*)\s*\.\s*\z'
+# The literal ends at the last quote of the line: no group is repeated, so its length costs no stack.
+TRIPLE = r'\A\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"(.*)"[^\s"]*)\s*\.\s*\z'
 
 
 def parse_triples(lines: DataFrame, column: str = "value") -> DataFrame:
