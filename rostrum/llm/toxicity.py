@@ -42,12 +42,13 @@ def subwords(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """What scoring needs: one number per n-gram bucket, the bias, and the line that makes a window's value a probability."""
+    """What scoring needs: one number per n-gram bucket, the bias, the line that makes a window's value a probability, the value of no window."""
     value: np.ndarray
     bias: float
     slope: float = 1.0
     shift: float = 0.0
     window: int = 12
+    nothing: float = 0.0
 
     def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         flat, lens = subwords(words, len(self.value))
@@ -55,7 +56,7 @@ class Model:
         return per_row(self.value[flat].astype(np.float64), ptr) / lens, np.ones(len(words), np.int64)
 
     def worst(self, values: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Largest window mean of each row and the window's first word; rows without a word have the bias alone."""
+        """Largest window mean of each row and the window's first word; rows without a word have the value of none."""
         total = np.concatenate([[0.0], np.cumsum(values)])
         n = np.diff(ptr)
         size = np.minimum(n, self.window)
@@ -70,7 +71,7 @@ class Model:
             best[some] = np.maximum.reduceat(means, cuts)
             hit = np.flatnonzero(means == np.repeat(best[some], count[some]))
             at[some] = first[hit[np.searchsorted(hit, cuts)]]
-        return best + self.bias, at
+        return np.where(n > 0, best + self.bias, self.nothing), at
 
     def probability(self, z: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -60, 60)))
@@ -145,6 +146,9 @@ def train(texts: list[bytes], labels: list[int], negatives_per_positive: float =
     out = model()
     values = (per_row(out.value[flat].astype(np.float64), np.concatenate([[0], np.cumsum(count)])) / count)[ids] if len(ids) else np.empty(0)
     z = out.worst(values, ptr)[0][held]
+    clean = z[(y[held] == 0) & (n[held] > 0)]
+    out.nothing = float(np.median(clean)) if len(clean) else -10.0  # an empty text is scored as a middling clean one
+    z[n[held] == 0] = out.nothing
     out.slope, out.shift = _line(z, y[held], np.where(y[held] == 0, negatives_per_positive, 1.0))
     return out
 
