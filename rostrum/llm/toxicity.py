@@ -177,7 +177,7 @@ def labelled_ids(labels: DataFrame, doc_id: str, label: str, value: int, rows: i
     return [r["i"] for r in found.orderBy(F.xxhash64("i"), "i").limit(rows).collect()]
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = 1500, max_words: int = 800,
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = 1700, max_words: int = 1500,
         **training) -> Model | None:
     """Train on at most ``rows`` labelled documents of each class of at most ``max_words`` words; None where a class has none."""
     bounded_batches(docs.sparkSession)
