@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from rostrum.functions.text import pad_topic
-from rostrum.operators.filters import Period, filter_vocab, period_label
+from rostrum.operators.filters import Period, filter_vocab, keep_pos, period_label
 from rostrum.operators.rows import group_in_row, unnest
 
 
@@ -75,10 +75,11 @@ def hit_histogram(df: DataFrame, date: str = "date", unit: str = "month") -> Dat
     return df.groupBy(F.trunc(date, unit).alias("bucket")).agg(F.count("*").alias("count"))
 
 
-def indexed_sittings(df: DataFrame, term: int | str, term_col: str = "term", nr: str = "sitting_nr", size: int = 9999) -> DataFrame:
-    """Sitting numbers of a term, in textual order."""
+def indexed_sittings(df: DataFrame, term: int | str, term_col: str = "term", nr: str = "sitting_nr", size: int | None = None) -> DataFrame:
+    """Sitting numbers of a term, in textual order; all of them, or the first ``size``."""
     of_term = df.filter(F.col(term_col).cast("string") == str(term)).filter(F.col(nr).isNotNull())
-    return of_term.select(F.col(nr).cast("string").alias(nr)).distinct().orderBy(nr).limit(size)
+    found = of_term.select(F.col(nr).cast("string").alias(nr)).distinct().orderBy(nr)
+    return found if size is None else found.limit(size)
 
 
 def topic_cooccurrence(doc_topics: DataFrame, k: int, topics: str = "topics") -> DataFrame:
@@ -120,6 +121,12 @@ def drop_most_frequent(counts: DataFrame, skip: int = 25, term: str = "term", fr
     return counts.join(F.broadcast(top), term, "left_anti")  # at most ``skip`` rows
 
 
-def build_vocabulary(tokens: DataFrame, column: str, stop: Sequence[str] = (), min_count: int = 50, skip_top: int = 25) -> DataFrame:
-    """Topic-model vocabulary: frequent words without stop words and without the most frequent ones → (term, freq)."""
+def build_vocabulary(tokens: DataFrame, column: str, stop: Sequence[str] = (), min_count: int = 50, skip_top: int = 25,
+                     pos: Sequence[str] = ()) -> DataFrame:
+    """Topic-model vocabulary: frequent words without stop words and without the most frequent ones → (term, freq).
+
+    With ``pos`` the column is a ``lemma_POS lemma_POS …`` text, of which only lemmas of these parts of speech count.
+    """
+    if pos:
+        tokens = tokens.select(keep_pos(F.col(column), pos).alias(column))
     return drop_most_frequent(filter_vocab(word_count(tokens, column), stop, min_count), skip_top)

@@ -7,18 +7,16 @@ import math
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rostrum.operators import aggregates as A
 from rostrum.operators.ordered import top_topics_per_doc
 from rostrum.operators.rows import unnest
+from rostrum.session import cut_lineage
 
-# A trained model holds topics × words numbers on the driver; larger vocabularies need a higher minimum count.
-MAX_VOCABULARY = 500_000
 
-
-def vocabulary_list(vocab: DataFrame, term: str = "term", freq: str = "freq", limit: int = MAX_VOCABULARY) -> list[str]:
-    """Vocabulary in model order. Its size is checked, since it becomes part of the model."""
+def vocabulary_list(vocab: DataFrame, term: str = "term", freq: str = "freq", limit: int = 500_000) -> list[str]:
+    """Vocabulary of a model in its order. A trained model holds topics × words numbers on the driver, so at most ``limit`` words."""
     words = [r[0] for r in vocab.orderBy(F.col(freq).desc(), term).select(term).limit(limit + 1).toLocalIterator()]
     if len(words) > limit:
         raise ValueError(f"vocabulary has more than {limit} words; raise the minimum count")
@@ -31,6 +29,24 @@ def vectorize(docs: DataFrame, vocab: list[str], tokens: str = "toks", out: str
     return model.transform(docs).drop(tokens)
 
 
+def index_vocabulary(vocab: DataFrame, term: str = "term", freq: str = "freq") -> DataFrame:
+    """(idx, term) of a vocabulary of any size, most frequent words first.
+
+    Words are sorted by range; the index is the place in the partition plus the sizes of the partitions before.
+    """
+    ordered = cut_lineage(vocab.orderBy(F.col(freq).desc(), term).select(term, F.monotonically_increasing_id().alias("_id")))
+    part = F.shiftright("_id", 33)
+    sizes = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))  # one row per partition of the sort
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.join(F.broadcast(before), part == F.col("_part")).select((F.col("_before") + place).alias("idx"), term)
+
+
+def term_vectors(docs: DataFrame, index: DataFrame, doc: str = "doc_id", tokens: str = "toks") -> DataFrame:
+    """Sparse word counts over an indexed vocabulary of any size as rows → (doc, idx, term, tf)."""
+    return A.bag_of_words(docs, doc, tokens).join(index, "term").select(doc, "idx", "term", "tf")
+
+
 def vector_terms(vectors: DataFrame, vocab: list[str], doc: str = "doc_id", features: str = "features") -> DataFrame:
     """Sparse vectors back as (doc, term, tf) rows."""
     v = F.unwrap_udt(features)
@@ -49,16 +65,17 @@ def vocabulary_table(spark: SparkSession, vocab: list[str]) -> DataFrame:
 
 
 def fit_lda(vectors: DataFrame, k: int = 24, passes: int = 1, chunk: int = 50_000, seed: int = 7, features: str = "features",
-            min_steps: int = 1) -> LDAModel:
+            min_steps: int = 10, offset: float = 1.0, decay: float = 0.51) -> LDAModel:
     """Online variational training in mini-batches of about ``chunk`` documents, document prior learnt.
 
-    Each step reads the vectors; store or checkpoint them first.
+    Step n moves the model by the share (offset + n)^-decay, so that few steps suffice. Each step reads the vectors; store or checkpoint
+    them first.
     """
     n = vectors.count()
     steps = max(min_steps, passes * math.ceil(n / chunk))
     share = min(1.0, chunk / n) if n else 1.0
     return LDA(k=k, maxIter=steps, seed=seed, optimizer="online", subsamplingRate=share, optimizeDocConcentration=True,
-               featuresCol=features).fit(vectors)
+               learningOffset=offset, learningDecay=decay, featuresCol=features).fit(vectors)
 
 
 def topic_distribution(model: LDAModel, vectors: DataFrame, doc: str = "doc_id", min_prob: float = 0.01) -> DataFrame:

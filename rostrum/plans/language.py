@@ -152,14 +152,14 @@ def _model(spark, sf: str, k: int = 24):
     return vocab, vectors, TM.fit_lda(vectors, k)
 
 
-@query("vectorize", f"""with {V_TOKEN} select doc_id, tok as term, count(*) as tf from v_token
-  where tok in (select term from ({VOCAB_SQL}) v) group by 1, 2""")
+@query("vectorize", f"""with {V_TOKEN}, v as (select term, row_number() over (order by freq desc, term) - 1 as idx from ({VOCAB_SQL}) f)
+  select doc_id, idx, tok as term, count(*) as tf from v_token join v on tok = term group by 1, 2, 3""")
 def _(spark, sf):
-    vocab = TM.vocabulary_list(vocabulary(spark, sf))
-    return TM.vector_terms(TM.vectorize(token_array(spark, sf), vocab), vocab)
+    return TM.term_vectors(token_array(spark, sf), TM.index_vocabulary(vocabulary(spark, sf)))
 
 
-@query("fit_lda")
+@query("fit_lda", f"""with {V_TOKEN} select cast(range as int) as topic, (select count(*) from ({VOCAB_SQL}) v) as words, 1.0::double as weight
+  from range(24)""")
 def _(spark, sf):
     vocab, _, model = _model(spark, sf)
     return TM.topic_words(model, vocab).groupBy("topic").agg(F.count("*").alias("words"), F.round(F.sum("weight"), 6).alias("weight"))
@@ -171,6 +171,15 @@ def _(spark, sf):
     return TM.topic_distribution(model, vectors)
 
 
+@query("topic_distribution_sums", f"""with {V_TOKEN}, d as (select distinct doc_id from v_token where tok in (select term from ({VOCAB_SQL}) v))
+  select doc_id, cast(24 as bigint) as topics, case when doc_id in (select doc_id from d) then 1.0 else 0.0 end::double as prob
+  from documents where text is not null""")
+def _(spark, sf):
+    _, vectors, model = _model(spark, sf)
+    every = TM.topic_distribution(model, vectors, min_prob=0)
+    return every.groupBy("doc_id").agg(F.count("*").alias("topics"), F.round(F.sum("prob"), 6).alias("prob"))
+
+
 @query("topic_top_words")
 def _(spark, sf):
     vocab, _, model = _model(spark, sf)

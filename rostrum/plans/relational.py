@@ -224,8 +224,7 @@ def _(spark, sf):
     return A.topic_cooccurrence(d.select(F.split("topics", r"\|").alias("topics")), 24)
 
 
-@query("indexed_sittings", f"""with {V_DOC} select distinct cast(doc_id % 300 as string) as sitting_nr from v_doc where term = 37
-  order by 1 limit 9999""")
+@query("indexed_sittings", f"""with {V_DOC} select distinct cast(doc_id % 300 as string) as sitting_nr from v_doc where term = 37""")
 def _(spark, sf):
     return A.indexed_sittings(docs(spark, sf).withColumn("sitting_nr", F.col("doc_id") % 300), 37)
 
@@ -339,3 +338,12 @@ def _(spark, sf):
 @query("build_vocabulary", f"with {V_TOKEN} {VOCAB_SQL}")
 def _(spark, sf):
     return vocabulary(spark, sf)
+
+
+@query("build_vocabulary_pos", f"""with {V_TOKEN}, c as (select tok as term, count(*) as freq from v_token
+    where length(tok) % 4 < 3 and tok not in {STOP} group by 1 having count(*) > 50)
+  select term, freq from (select *, row_number() over (order by freq desc, term) as rn from c) r where rn > 25""")
+def _(spark, sf):
+    tagged = F.transform("toks", lambda t: F.concat(t, F.lit("_"), F.element_at(
+        F.array(*[F.lit(p) for p in ("NOUN", "ADJ", "PROPN", "VERB")]), (F.length(t) % 4 + 1).cast("int"))))
+    return A.build_vocabulary(token_array(spark, sf).select(F.array_join(tagged, " ").alias("text")), "text", STOP, pos=FL.GOOD_POS)

@@ -99,6 +99,27 @@ def test_topic_model(spark):
         TM.vocabulary_list(A.word_count(docs, "toks"), limit=3)
 
 
+def test_word_groups_become_topics(spark):
+    groups = [["alma", "körte", "szilva", "meggy"], ["busz", "vonat", "villamos", "hajó"]]
+    docs = spark.createDataFrame([(i, [groups[i % 2][(i * 7 + j * j) % 4] for j in range(30)]) for i in range(200)], "doc_id bigint, toks array<string>")
+    vocab = TM.vocabulary_list(A.word_count(docs, "toks"))
+    vectors = cut_lineage(TM.vectorize(docs, vocab))
+    top = TM.topic_distribution(TM.fit_lda(vectors, k=2), vectors).filter("prob > 0.95").collect()
+    assert len(top) == 200 and len({(r["doc_id"] % 2, r["topic"]) for r in top}) == 2
+
+
+def test_vocabulary_table(spark):
+    counts = spark.range(1000).select(F.concat(F.lit("w"), "id").alias("term"), (F.col("id") % 7).alias("freq"))
+    index = TM.index_vocabulary(counts.repartition(5))
+    assert [r["term"] for r in index.orderBy("idx").collect()] == TM.vocabulary_list(counts)
+    assert sorted(r["idx"] for r in index.collect()) == list(range(1000))
+    docs = spark.createDataFrame([(1, ["w3", "w3", "w9", "x"]), (2, ["x"]), (3, [])], "doc_id bigint, toks array<string>")
+    key = lambda rows: sorted((r["doc_id"], r["term"], r["tf"]) for r in rows)
+    rows = key(TM.term_vectors(docs, index).collect())
+    assert rows == [(1, "w3", 2), (1, "w9", 1)] == key(TM.vector_terms(TM.vectorize(docs, vocab := TM.vocabulary_list(counts)), vocab).collect())
+    assert TM.index_vocabulary(counts.limit(0)).count() == 0
+
+
 def test_annotator_errors(spark):
     def factory():
         def tag(text):
@@ -170,3 +191,5 @@ def test_lemmatized_vocabulary(spark):
 
     vocab = A.build_vocabulary(docs, "toks", TOPIC_STOP_WORDS, min_count=5, skip_top=1)
     assert sorted((r["term"], r["freq"]) for r in vocab.collect()) == [("b", 7), ("c", 6)]
+    tagged = spark.createDataFrame([("Kutya_NOUN fut_VERB kutya_NOUN fut_VERB szép_ADJ",)], "t string")
+    assert [tuple(r) for r in A.build_vocabulary(tagged, "t", min_count=1, skip_top=0, pos=FL.GOOD_POS).collect()] == [("kutya", 2)]
