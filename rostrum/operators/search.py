@@ -7,8 +7,8 @@ inside each row, so ranking needs no join and no shuffle, only one global aggreg
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add, or_
 
@@ -101,29 +101,74 @@ def index_documents(docs: DataFrame, stop: Sequence[str] = ()) -> DataFrame:
 
 @dataclass(frozen=True)
 class Terms:
-    """Analysed query: per analyzer the terms with their positions."""
+    """Analysed query: per analyzer the terms with their positions; ``forms`` has the written forms of stemmed terms."""
     folded: tuple[tuple[str, int], ...]
     standard: tuple[tuple[str, int], ...]
     keyword: tuple[tuple[str, int], ...]
+    forms: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
-    def of(self, field: str) -> tuple[tuple[str, int], ...]:
-        return getattr(self, FIELDS[field].analyzer)
+    def of(self, name: str) -> tuple[tuple[str, int], ...]:
+        return getattr(self, FIELDS[name].analyzer)
 
+    def spellings(self, name: str) -> list[tuple[str, ...]]:
+        """The words of a field that count as each term."""
+        stemmed = FIELDS[name].analyzer == "folded"
+        return [self.forms.get(t, (t,)) if stemmed else (t,) for t, _ in self.of(name)]
 
-def analyze_query(spark: SparkSession, q: str, stop: Sequence[str] = ()) -> Terms:
-    """The query goes through the same expressions as the documents (one literal row, no job on data)."""
+    def marked(self, name: str) -> list[str]:
+        return sorted({w for words in self.spellings(name) for w in words})
+
+
+def stem_table(lemmas: DataFrame, protected: DataFrame | None = None, surface: str = "surface", lemma: str = "lemma", word: str = "word") -> DataFrame:
+    """Dictionary for searches → (form, stem), folded; of several lemmas the longest counts, protected words have none.
+
+    Forms that differ in accents only share an entry. Store it for repeated searches.
+    """
+    def folded(c: str) -> Column:
+        return ascii_fold(lc_norm(c))
+
+    best = lemmas.groupBy(folded(surface).alias("form")).agg(F.max_by(folded(lemma), F.struct(F.length(lemma), lemma)).alias("stem"))
+    return best if protected is None else best.join(protected.select(folded(word).alias("form")).distinct(), "form", "left_anti")
+
+
+def _forms(stems: DataFrame, words: Sequence[str]) -> tuple[dict[str, str], dict[str, tuple[str, ...]]]:
+    """(word → stem, stem → all its forms) for the few words of a query."""
+    own = dict(stems.filter(F.col("form").isin(list(words))).select("form", "stem").collect())
+    wanted = sorted({own.get(w, w) for w in words})
+    rows = stems.filter(F.col("stem").isin(wanted) | F.col("form").isin(wanted)).select("form", "stem").collect()
+    entry = dict(rows)
+    return own, {t: tuple(sorted({f for f, stem in rows if stem == t} | ({t} if entry.get(t, t) == t else set()))) for t in wanted}
+
+
+def analyze_query(spark: SparkSession, q: str, stop: Sequence[str] = (), stems: DataFrame | None = None) -> Terms:
+    """The query goes through the same expressions as the documents (one literal row, no job on data).
+
+    With ``stems`` (see ``stem_table``) each folded term becomes its stem and matches every form of it. This gives the scores of an index
+    of stems, but the index keeps the written words: a changed dictionary needs no new analysis.
+    """
     kinds = ("folded", "standard", "keyword")
     row = _analyze(spark.range(1), {a: (F.lit(q), a) for a in kinds}, stop).first()
-    return Terms(*[tuple((t, i) for i, t in enumerate(row[a]) if t is not None) for a in kinds])
+    folded, standard, keyword = [tuple((t, i) for i, t in enumerate(row[a]) if t is not None) for a in kinds]
+    if stems is None or not folded:
+        return Terms(folded, standard, keyword)
+    own, forms = _forms(stems, [t for t, _ in folded])
+    return Terms(tuple((own.get(t, t), i) for t, i in folded), standard, keyword, forms)
+
 
+def _positions(toks: Column, spellings: Sequence[Sequence[str]]) -> Column:
+    """Positions of each term, in any of its spellings, in a word array."""
+    none = F.array().cast("array<int>")
 
-def _positions(toks: Column, terms: Sequence[str]) -> Column:
-    """Positions of each term in a word array."""
-    def of(term: Column) -> Column:
-        found = F.filter(F.transform(toks, lambda t, i: F.when(t == term, i)), lambda i: i.isNotNull())
-        return F.when(F.array_contains(toks, term), found).otherwise(F.array().cast("array<int>"))
+    def places(same: Callable[[Column], Column]) -> Column:
+        return F.filter(F.transform(toks, lambda t, i: F.when(same(t), i)), lambda i: i.isNotNull())
 
-    return F.transform(_literals(terms), of) if terms else F.array().cast("array<array<int>>")
+    if not spellings:
+        return F.array().cast("array<array<int>>")
+    if all(len(words) == 1 for words in spellings):
+        return F.transform(_literals([w for w, in spellings]),
+                           lambda term: F.when(F.array_contains(toks, term), places(lambda t: t == term)).otherwise(none))
+    return F.array(*[F.when(F.arrays_overlap(toks, _literals(words)), places(lambda t, words=words: t.isin(list(words)))).otherwise(none)
+                     for words in spellings])
 
 
 def _literals(values: Sequence[str]) -> Column:
@@ -139,7 +184,7 @@ def match_documents(index: DataFrame, terms: Terms) -> DataFrame:
     new = {}
     for n in fields_of(index):
         toks = F.coalesce(F.col(f"t_{n}"), F.array().cast("array<string>"))
-        new[f"p_{n}"] = _positions(toks, [t for t, _ in terms.of(n)])
+        new[f"p_{n}"] = _positions(toks, terms.spellings(n))
         new[f"n_{n}"] = F.size(F.array_compact(toks))
     return compute_once(index, new).drop(*[f"t_{n}" for n in fields_of(index)])
 
@@ -175,12 +220,12 @@ def field_stats(index: DataFrame) -> DataFrame:
 
 def match_postings(postings: DataFrame, terms: Terms, fields: Sequence[str], id_col: str = "id") -> DataFrame:
     """The same columns as ``match_documents``, from the postings of the query's terms only."""
-    wanted = _any([(F.col("field") == n) & (F.col("term") == t) for n in fields for t, _ in terms.of(n)])
-    hits = postings.filter(F.col("term").isin(sorted({t for n in fields for t, _ in terms.of(n)})) & wanted)
+    wanted = _any([(F.col("field") == n) & F.col("term").isin(terms.marked(n)) for n in fields if terms.of(n)])
+    hits = postings.filter(F.col("term").isin(sorted({w for n in fields for w in terms.marked(n)})) & wanted)
     aggs = []
     for n in fields:
-        here = [F.coalesce(F.first(F.when((F.col("field") == n) & (F.col("term") == t), F.col("positions")), True),
-                           F.array().cast("array<int>")) for t, _ in terms.of(n)]
+        here = [F.flatten(F.collect_list(F.when((F.col("field") == n) & F.col("term").isin(list(words)), F.col("positions"))))
+                for words in terms.spellings(n)]
         aggs.append((F.array(*here) if here else F.array().cast("array<array<int>>")).alias(f"p_{n}"))
         aggs.append(F.coalesce(F.max(F.when(F.col("field") == n, F.col("dl"))), F.lit(0)).alias(f"n_{n}"))
     return hits.groupBy(id_col).agg(*aggs)
@@ -353,21 +398,21 @@ def keyword_field_match(q: str, column: str) -> Column:
     return lc_norm(F.lit(q)) == lc_norm(column)
 
 
-def search_hits(index: DataFrame, q: str | Terms, stop: Sequence[str] = (), **filters) -> DataFrame:
+def search_hits(index: DataFrame, q: str | Terms, stop: Sequence[str] = (), stems: DataFrame | None = None, **filters) -> DataFrame:
     """All matching documents with score and stored fields; statistics cover the whole index, filters only the hits."""
-    terms = analyze_query(index.sparkSession, q, stop) if isinstance(q, str) else q
+    terms = analyze_query(index.sparkSession, q, stop, stems) if isinstance(q, str) else q
     matches = match_documents(index, terms)
     stats = term_stats(matches, terms)
     return score_matches(matches.filter(search_filter(**filters)), terms, stats)
 
 
 def search_postings(postings: DataFrame, stats: DataFrame, docs: DataFrame, q: str, stop: Sequence[str] = (),
-                    id_col: str = "id", **filters) -> DataFrame:
+                    id_col: str = "id", stems: DataFrame | None = None, **filters) -> DataFrame:
     """``search_hits`` on a stored inverted index: only the query's postings and the filtered documents are read.
 
     Hits are (id, score) rows; they are counted, and up to a limit the documents need no shuffle to meet them.
     """
-    terms = analyze_query(docs.sparkSession, q, stop)
+    terms = analyze_query(docs.sparkSession, q, stop, stems)
     fields = [n for n in FIELDS if n in docs.columns]
     matches = match_postings(postings, terms, fields, id_col)
     scored = cut_lineage(score_matches(matches, terms, postings_stats(matches, terms, stats)))
@@ -377,7 +422,10 @@ def search_postings(postings: DataFrame, stats: DataFrame, docs: DataFrame, q: s
 
 def result_page(hits: DataFrame, terms: Terms, size: int = 20, from_: int = 0, id_col: str = "id") -> DataFrame:
     """One page of hits with highlights ``h_<field>``."""
-    page = page_results(hits, size, from_, key=id_col)
+    return _highlighted(page_results(hits, size, from_, key=id_col), terms)
+
+
+def _highlighted(page: DataFrame, terms: Terms) -> DataFrame:
     marks = {}
     for n, f in FIELDS.items():
         if n in page.columns:
@@ -386,16 +434,30 @@ def result_page(hits: DataFrame, terms: Terms, size: int = 20, from_: int = 0, i
                 whole = F.array(F.concat(F.lit("<em>"), c, F.lit("</em>")))
                 marks[f"h_{n}"] = F.when(lc_norm(c).isin([t for t, _ in terms.of(n)]), whole).otherwise(F.array().cast("array<string>"))
             else:
-                marks[f"h_{n}"] = highlight(c, [t for t, _ in terms.of(n)], analyzer=f.analyzer)
+                marks[f"h_{n}"] = highlight(c, terms.marked(n), analyzer=f.analyzer)
     return page.withColumns(marks)
 
 
-def search(index: DataFrame, q: str, size: int = 20, from_: int = 0, stop: Sequence[str] = (), **filters) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(page with highlights, facet counts, counts by term and date) of the filtered hits."""
-    terms = analyze_query(index.sparkSession, q, stop)
-    hits = search_hits(index, terms, **filters)
+def search(index: DataFrame, q: str, size: int = 20, from_: int = 0, stop: Sequence[str] = (), stems: DataFrame | None = None,
+           stats: DataFrame | None = None, id_col: str = "id", **filters) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(page with highlights, facet counts, counts by term and date) of the filtered hits.
+
+    The matches are written once, without the texts, and all three results read them; the texts of one page are fetched at the end.
+    ``stats`` are the stored ``field_stats`` of the index; without them they are counted here.
+    """
+    terms = analyze_query(index.sparkSession, q, stop, stems)
+    kept = [c for c in index.columns if c not in FIELDS]
+    matches = match_documents(index.select(*kept), terms)
+    fields = fields_of(matches)
+    some = _any([F.size(F.flatten(f"p_{n}")) > 0 for n in fields if terms.of(n)])
+    found = cut_lineage(matches.filter(some))
+    totals = postings_stats(found, terms, field_stats(index) if stats is None else stats)
+    hits = score_matches(found.filter(search_filter(**filters)), terms, totals)
     facets = A.facet_terms(hits, {f: c for f, c in FACETS.items() if c in hits.columns})
-    return result_page(hits, terms, size, from_), facets, A.facet_term_dates(hits, "term_filter", "date")
+    top = page_results(hits.select(id_col, "score"), size, from_, key=id_col)
+    stored = index.drop(*[f"t_{n}" for n in fields])
+    page = stored.join(F.broadcast(top), id_col).orderBy(F.col("score").desc(), id_col)  # at most ``size`` rows
+    return _highlighted(page, terms), facets, A.facet_term_dates(hits, "term_filter", "date")
 
 
 def normal_prefix(c: Column, max_length: int = 250) -> Column:

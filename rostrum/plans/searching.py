@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from rostrum.operators import search as S
 from rostrum.operators.project import copy_to_filters
-from rostrum.operators.rows import compute_once, spread
+from rostrum.operators.rows import compute_once, spread, unnest
 from rostrum.plans.registry import query, table
 from rostrum.plans.relational import SUGGEST_SQL, suggestion_rows
 from rostrum.plans.views import V_DOC, docs
-from rostrum.session import scratch_path
+from rostrum.session import cut_lineage, scratch_path
 
 STOP = ("the", "of", "de", "and", "a", "la")
 
@@ -165,11 +165,18 @@ FILTERS = {"date_from": "1999.01.01.", "date_to": "2015.12.31.", "types": ["en",
 WHERE = "date_filter between '1999.01.01.' and '2015.12.31.' and type in ('en', 'fr') and party in ('P0', 'P1', 'P2')"
 
 
+def searched(spark, sf, q: str = Q_ALL, **more):
+    """The search on an index that is analysed and stored once."""
+    path = scratch_path(spark, "search")
+    indexed(spark, sf).write.parquet(path)
+    return S.search(spark.read.parquet(path), q, stop=STOP, **FILTERS, **more)
+
+
 @query("search", f"""{match_sql(Q_ALL)} {HITS_SQL.format(where=WHERE)}
   select id, round(score, 6) as score, speaker, {em_sql(Q_ALL.split())} as h_text from hits join v_doc on doc_id = id
   order by score desc, id limit 20""")
 def _(spark, sf):
-    page, _, _ = S.search(indexed(spark, sf), Q_ALL, stop=STOP, **FILTERS)
+    page, _, _ = searched(spark, sf)
     return page.select("id", F.round("score", 6).alias("score"), "speaker", F.array_join("h_text", " ... ").alias("h_text"))
 
 
@@ -178,7 +185,35 @@ def _(spark, sf):
     from hits join v_doc on doc_id = id), c as (select facet, value, count(*) as count from e group by 1, 2)
   select facet, value, count from (select *, row_number() over (partition by facet order by count desc, value) as rn from c) t where rn <= 25""")
 def _(spark, sf):
-    return S.search(indexed(spark, sf), Q_ALL, stop=STOP, **FILTERS)[1]
+    return searched(spark, sf)[1]
+
+
+@query("search_dates", f"""{match_sql(Q_ALL)} {HITS_SQL.format(where=WHERE)}, e as (select cast(term as varchar) as term_filter, date from hits join v_doc on doc_id = id),
+    t as (select term_filter, count(*) as term_count from e group by 1 order by 1 limit 10)
+  select term_filter, term_count, date, count(*) as count from t join e using (term_filter) group by 1, 2, 3""")
+def _(spark, sf):
+    return searched(spark, sf)[2]
+
+
+Q_STEM = "attion thanedble"
+
+
+@query("search_stems", f"""with v as (select distinct unnest(regexp_extract_all({fold('lower(text)')}, '[\\p{{L}}\\p{{N}}]+')) as form from documents),
+    s as (select form, substring(form, 1, 4) as stem from v where length(form) > 5),
+    q as (select term, coalesce(stem, term) as stem from (values ('attion'), ('thanedble')) x(term) left join s on form = term),
+    f as (select distinct q.term, q.stem, v.form from q join v on v.form = q.stem or v.form in (select form from s where s.stem = q.stem)),
+    t as (select doc_id, unnest(regexp_extract_all({fold('lower(text)')}, '[\\p{{L}}\\p{{N}}]+')) as form from documents)
+  select doc_id as id, count(*) as n from t where form in (select form from f) group by 1
+    having count(distinct case when form in (select form from f where term = 'attion') then 1 end)
+      + count(distinct case when form in (select form from f where term = 'thanedble') then 1 end) = 2""")
+def _(spark, sf):
+    """Documents that hold some form of every query word, with the number of places."""
+    d = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), "id")
+    index = S.index_documents(d)
+    forms = unnest(index, form="t_text").distinct().filter("length(form) > 5").selectExpr("form as surface", "substring(form, 1, 4) as lemma")
+    terms = S.analyze_query(spark, Q_STEM, stems=cut_lineage(S.stem_table(forms)))
+    found = S.match_documents(index, terms).filter(F.forall("p_text", lambda p: F.size(p) > 0))
+    return found.select("id", F.size(F.array_distinct(F.flatten("p_text"))).cast("long").alias("n"))
 
 
 @query("search_index", f"{match_sql(Q_ALL)} {HITS_SQL.format(where=WHERE)} select id, round(score, 6) as score from hits")

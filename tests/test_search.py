@@ -108,3 +108,29 @@ def test_refreshed_postings(spark, index):
     new = S.refresh_postings(S.build_postings(index), changed)
     assert sorted(r["id"] for r in new.filter("term = 'atomeromu'").select("id").distinct().collect()) == ["1", "2", "3", "4"]
     assert new.filter("id = '3' and term = 'tema'").count() == 0
+
+
+def test_stems(spark, index, tmp_path):
+    def df(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    lemmas = df([("ügyének", "ügy"), ("ügyek", "ügy"), ("bővítése", "bővít"), ("bővítése", "bő"), ("Évának", "Éva")], "surface string, lemma string")
+    stems = S.stem_table(lemmas, df([("évának",)], "word string"))
+    assert {r["form"]: r["stem"] for r in stems.collect()} == {"ugyenek": "ugy", "ugyek": "ugy", "bovitese": "bovit"}
+    terms = S.analyze_query(spark, "Ügyek bővít", STOP, stems)
+    assert terms.folded == (("ugy", 0), ("bovit", 1)) and terms.forms == {"ugy": ("ugy", "ugyek", "ugyenek"), "bovit": ("bovit", "bovitese")}
+    assert ids(S.search_hits(index, "ügy", STOP)) == []
+    page = S.search(index, "ügyek bővít", stop=STOP, stems=stems)[0].collect()
+    assert [r["id"] for r in page] == ["4"] and page[0]["h_text"] == ["<em>Bővítése</em> az atomerőmű <em>ügyének</em>."]
+    S.write_postings(S.build_postings(index), str(tmp_path / "p"))
+    docs = index.drop(*[c for c in index.columns if c.startswith("t_")])
+    stored = S.search_postings(spark.read.parquet(str(tmp_path / "p")), S.field_stats(index), docs, "bővít", STOP, stems=stems)
+    want = {r["id"]: round(r["score"], 9) for r in S.search_hits(index, "bővít", STOP, stems=stems).collect()}
+    assert {r["id"]: round(r["score"], 9) for r in stored.collect()} == want and sorted(want) == ["1", "4"]
+
+
+def test_one_evaluation(index):
+    whole = {r["id"]: round(r["score"], 9) for r in S.search_hits(index, "atomerőmű", STOP).collect()}
+    page, _, dates = S.search(index, "atomerőmű", stop=STOP)
+    assert {r["id"]: round(r["score"], 9) for r in page.collect()} == whole
+    assert "regexp" not in dates._jdf.queryExecution().optimizedPlan().toString()  # reads the stored hits
