@@ -52,11 +52,16 @@ def ngrams(toks: Column, n_max: int = 3) -> Column:
 def gazetteer_entities(df: DataFrame, phrases: DataFrame, toks: str, keep: Sequence[str], n_max: int = 3) -> DataFrame:
     """Dictionary tagger: phrases (phrase, tag) found in word arrays → (keep…, pos, phrase, tag).
 
-    Only runs that start with the first word of some phrase can match, but the dictionary may be large, so runs and
-    phrases meet in a join; the dictionary holds each phrase once and hot phrases are split by adaptive execution.
+    Only places that hold the first word of some phrase are expanded, to runs of the lengths that its phrases have. The dictionary may be large, so
+    both steps are joins; the dictionary holds each phrase once and hot words are split by adaptive execution.
     """
-    grams = unnest(df, *keep, g=ngrams(F.col(toks), n_max)).select(*keep, "g.phrase", "g.pos")
-    return grams.join(phrases.dropDuplicates(["phrase", "tag"]), "phrase")
+    each = phrases.dropDuplicates(["phrase", "tag"])
+    parts = F.split("phrase", " ")
+    firsts = each.groupBy(parts[0].alias("_first")).agg(F.collect_set(F.when(F.size(parts) <= n_max, F.size(parts))).alias("_sizes"))  # at most n_max sizes
+    places = F.transform(toks, lambda t, i: F.struct(t.alias("first"), i.alias("pos"), F.slice(toks, i + 1, n_max).alias("run")))
+    found = unnest(df, *keep, g=places).select(*keep, "g.*").join(firsts, F.col("first") == F.col("_first"))
+    runs = F.transform(F.filter("_sizes", lambda n: n <= F.size("run")), lambda n: F.array_join(F.slice("run", 1, n), " "))
+    return unnest(found, *keep, "pos", phrase=runs).join(each, "phrase").select(*keep, "pos", "phrase", "tag")
 
 
 def concept_threshold(df: DataFrame, confidence: float = 0.5, support: int = 100) -> DataFrame:

@@ -151,10 +151,12 @@ def _(spark, sf):
     return R.read_merged_tsv(spark, path, "id string, lang string, text string")
 
 
-@query("write_by_topic", f"with {V_PROB} select doc_id, cast(arg_max(topic, prob) as int) as topic from v_prob group by 1 having max(prob) > 0.3")
+@query("write_by_topic", f"""with {V_PROB} select doc_id, text, topic from documents join
+  (select doc_id, cast(arg_max(topic, prob) as int) as topic from v_prob group by 1 having max(prob) > 0.3) t using (doc_id)""")
 def _(spark, sf):
     path = scratch_path(spark, "by-topic")
-    K.write_by_topic(dominant_topic(topic_probs(spark, sf), 0.3).select("doc_id", "topic"), path)
+    topics = dominant_topic(topic_probs(spark, sf), 0.3).select("doc_id", "topic")
+    K.write_by_topic(table(spark, sf, "documents").select("doc_id", "text").join(topics, "doc_id"), path)
     return spark.read.parquet(path)
 
 
@@ -170,13 +172,15 @@ def _(spark, sf):
 @query("write_topic_graph", f"""with t as (select doc_id, unnest([doc_id % 7, doc_id % 11, doc_id % 24]) as topic, unnest([1, 2, 3]) as pos from documents),
   p as (select least(a.topic, b.topic) as s, greatest(a.topic, b.topic) as t, count(*) as n from t a
     join t b on a.doc_id = b.doc_id and a.pos < b.pos and a.topic <> b.topic group by 1, 2)
-  select concat('Topic ', lpad(cast(s as string), 2, '0')) as source_name, lpad(cast(t as string), 2, '0') as target, n as weight from p""")
+  select concat('Topic ', lpad(cast(a.i as string), 2, '0')) as source_name, lpad(cast(b.i as string), 2, '0') as target,
+    case when b.i is null then null else coalesce(n, 0) end as weight
+  from range(24) a(i) left join range(24) b(i) on a.i < b.i left join p on s = a.i and t = b.i""")
 def _(spark, sf):
     path = scratch_path(spark, "graph")
     d = table(spark, sf, "documents").selectExpr(TOPICS).select(F.split("topics", r"\|").alias("topics"))
     K.write_topic_graph(A.topic_cooccurrence(d, 24), 24, path)
     nodes = spark.read.parquet(f"{path}/nodes").selectExpr("id as source", "name as source_name")
-    return spark.read.parquet(f"{path}/edges").filter("weight > 0").join(nodes, "source").drop("source")
+    return nodes.join(spark.read.parquet(f"{path}/edges"), "source", "left").drop("source")
 
 
 @query("publish_version", "select doc_id as id, lang as type from documents where length(text) > 500")

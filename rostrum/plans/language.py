@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from rostrum.operators import aggregates as A, annotate as N, similarity as E, topics as TM
-from rostrum.operators.rows import spread
+from rostrum.operators.rows import spread, unnest
 from rostrum.plans.registry import query, table
 from rostrum.plans.relational import VOCAB_SQL, bench_words, vocabulary
 from rostrum.plans.views import V_TOKEN, token_array
@@ -24,16 +24,20 @@ def capital_words():
 
 
 @query("annotate", """select doc_id, text, tag, count(*) as n from (
-  select doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+')) as text, 'CAP' as tag from documents where lang <> 'es') t group by 1, 2, 3""")
+  select doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+')) as text, 'CAP' as tag from documents) t group by 1, 2, 3""")
 def _(spark, sf):
-    d = table(spark, sf, "documents").selectExpr("doc_id", "case when lang <> 'es' then text end as text")
+    d = table(spark, sf, "documents").select("doc_id", "text")
     out = N.annotate(spread(d, "doc_id"), capital_words, "text", "text:string,tag:string", keep=["doc_id"])
     return N.explode_annotations(out, "annotations", "doc_id").groupBy("doc_id", "text", "tag").agg(F.count("*").alias("n"))
 
 
-PHRASES = r"""select array_to_string(w[1:2], ' ') as phrase, 'B2' as tag from (select regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from benchmark) b
-  union select array_to_string(w[3:5], ' '), 'B3' from (select regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from benchmark) b
-  union select w[6], 'B1' from (select regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from benchmark) b"""
+# Every text is cut into runs of two, three and one words in turn.
+PHRASES = r"""select distinct phrase, tag from (select unnest(list_transform(range(1, len(w) - 4, 6), lambda i: array_to_string(w[i:i + 1], ' '))) as phrase, 'B2' as tag
+    from (select regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from benchmark) b
+  union all select unnest(list_transform(range(1, len(w) - 4, 6), lambda i: array_to_string(w[i + 2:i + 4], ' '))), 'B3'
+    from (select regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from benchmark) b
+  union all select unnest(list_transform(range(1, len(w) - 4, 6), lambda i: w[i + 5])), 'B1'
+    from (select regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from benchmark) b) u"""
 
 
 @query("gazetteer_entities", rf"""with p as ({PHRASES}), t as (select doc_id, unnest(w) as w1, unnest(w[2:]) as w2, unnest(w[3:]) as w3,
@@ -43,8 +47,10 @@ PHRASES = r"""select array_to_string(w[1:2], ' ') as phrase, 'B2' as tag from (s
   select doc_id, cast(pos as int) as pos, phrase, tag from g join p using (phrase)""")
 def _(spark, sf):
     w = table(spark, sf, "benchmark").select(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("w"))
-    p = w.select(F.explode(F.array(*[F.struct(F.array_join(F.slice("w", a, n), " ").alias("phrase"), F.lit(t).alias("tag"))
-                                     for a, n, t in ((1, 2, "B2"), (3, 3, "B3"), (6, 1, "B1"))])).alias("p")).select("p.*")
+    starts = F.filter(F.transform("w", lambda _, i: i + 1), lambda i: (i % 6 == 1) & (i + 5 <= F.size("w")))
+    runs = F.flatten(F.transform(starts, lambda i: F.array(*[F.struct(F.array_join(F.slice("w", i + a, n), " ").alias("phrase"), F.lit(t).alias("tag"))
+                                                             for a, n, t in ((0, 2, "B2"), (2, 3, "B3"), (5, 1, "B1"))])))
+    p = unnest(w, p=runs).select("p.*")
     return N.gazetteer_entities(token_array(spark, sf), p, "toks", ["doc_id"]).select("doc_id", "pos", "phrase", "tag")
 
 
@@ -180,6 +186,28 @@ def _(spark, sf):
     return every.groupBy("doc_id").agg(F.count("*").alias("topics"), F.round(F.sum("prob"), 6).alias("prob"))
 
 
+@query("topic_top_words_facts", f"""with {V_TOKEN} select cast(range as int) as topic, least(40, (select count(*) from ({VOCAB_SQL}) v)) as words,
+    least(40, (select count(*) from ({VOCAB_SQL}) v)) as known, 0::bigint as rising from range(24)""")
+def _(spark, sf):
+    """Per topic: words, those of the vocabulary, and ranks that weigh more than the rank before."""
+    vocab, _, model = _model(spark, sf)
+    top = TM.topic_top_words(model, vocab).join(vocabulary(spark, sf), "term", "left")
+    rise = F.col("weight") > F.lag("weight").over(Window.partitionBy("topic").orderBy("rank"))  # 40 rows a topic
+    return top.withColumn("up", rise).groupBy("topic").agg(F.count("*").alias("words"), F.count("freq").alias("known"), F.count_if("up").alias("rising"))
+
+
+@query("topic_relevance_facts", f"""with {V_TOKEN} select (select count(*) from ({VOCAB_SQL}) v) * 24 as rows, 24::bigint as topics, 1.0::double as prevalence, 0::bigint as wrong""")
+def _(spark, sf):
+    """All words of all topics; prevalences sum to one; the formula computed anew from the returned weights and the counts."""
+    vocab, vectors, model = _model(spark, sf)
+    counts = vocabulary(spark, sf)
+    rows = TM.topic_relevance(model, vocab, counts, TM.topic_distribution(model, vectors, min_prob=0), TM.vector_lengths(vectors))
+    again = rows.join(counts, "term").withColumn("p", F.col("freq") / counts.agg(F.sum("freq")).scalar())
+    off = F.abs(F.col("relevance") - F.log("weight") + 0.4 * F.log("p")) > 1e-6
+    per = again.groupBy("topic").agg(F.count("*").alias("n"), F.max("prevalence").alias("share"), F.count_if(off).alias("off"))
+    return per.agg(F.sum("n").alias("rows"), F.count("*").alias("topics"), F.round(F.sum("share"), 6).alias("prevalence"), F.sum("off").alias("wrong"))
+
+
 @query("topic_top_words")
 def _(spark, sf):
     vocab, _, model = _model(spark, sf)

@@ -202,8 +202,12 @@ def _(spark, sf):
     return FL.filter_confident_topic(topic_probs(spark, sf), 0.2)
 
 
-@query("guard_text", r"""select doc_id, case when lang = 'es' then 0
-  else length(regexp_extract_all(text, '[\p{L}\p{N}]+', 0)) end as n from documents""")
-def _(spark, sf):
-    text = F.expr("case when lang = 'es' then null else text end")
-    return table(spark, sf, "documents").select("doc_id", F.size(FL.guard_text(text, X.words(text))).cast("long").alias("n"))
+@query("guard_text", r"""select vec_id as doc_id, coalesce(length(regexp_extract_all(text, '[\p{L}\p{N}]+', 0)), 0) as n
+  from documents full join (select vec_id from embeddings) e on doc_id = vec_id where vec_id is not null
+  union all select doc_id, coalesce(length(regexp_extract_all(text, '[\p{L}\p{N}]+', 0)), 0) from documents where doc_id not in (select vec_id from embeddings)""")
+def _(spark, sf):
+    """All texts; vectors without a document have none."""
+    vecs = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"))
+    every = table(spark, sf, "documents").select("doc_id", "text").join(vecs, "doc_id", "full")
+    text = F.col("text")
+    return every.select("doc_id", F.size(FL.guard_text(text, X.words(text))).cast("long").alias("n"))

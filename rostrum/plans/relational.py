@@ -13,10 +13,13 @@ from rostrum.plans.views import (V_DOC, V_LINK, V_SPEECH, V_TOKEN, docs, links,
 # ---- joins and set operations
 
 
-@query("join_text_left", "select l.doc_id, l.quality, d.text from labels l left join (select * from documents where lang = 'en') d using (doc_id)")
+@query("join_text_left", """select r.doc_id, r.kind, d.text from (select doc_id, 'label' as kind from labels
+    union all select vec_id, 'vector' from embeddings union all select page_id, 'page' from pages) r left join documents d using (doc_id)""")
 def _(spark, sf):
-    return J.join_text_left(table(spark, sf, "labels").select("doc_id", "quality"),
-                            table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", "text"), "doc_id")
+    """Records of three tables, some without a text of their id."""
+    parts = [("labels", "doc_id", "label"), ("embeddings", "vec_id", "vector"), ("pages", "page_id", "page")]
+    records = J.union_terms(*[table(spark, sf, n).select(F.col(key).alias("doc_id"), F.lit(kind).alias("kind")) for n, key, kind in parts])
+    return J.join_text_left(records, table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
 @query("join_annotations_left", f"""with {V_DOC} select v_doc.doc_id, speaker, concept from v_doc left join (
