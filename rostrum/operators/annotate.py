@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rostrum.functions.text import WORD, lc_norm
+from rostrum.operators.filters import filter_articles
 from rostrum.operators.joins import join_protected_words
 from rostrum.operators.rows import unnest
 
@@ -73,13 +74,17 @@ def explode_annotations(df: DataFrame, column: str, *keep: str) -> DataFrame:
     return unnest(df, *keep, _a=column).select(*keep, "_a.*")
 
 
-def split_sentences(df: DataFrame, text: str, *keep: str) -> DataFrame:
-    """Words and signs joined by spaces, one row per sentence: lines are split after ``.``, ``!`` and ``?``."""
-    tokens = F.transform(F.split(text, "\n"), lambda line: F.array_join(
+def sentences(c: Column | str) -> Column:
+    """Words and signs joined by spaces, as array of sentences: lines are split after ``.``, ``!`` and ``?``."""
+    tokens = F.transform(F.split(c, "\n"), lambda line: F.array_join(
         F.regexp_extract_all(line, F.lit(WORD + r"|[^\p{L}\p{N}\s]"), F.lit(0)), " "))
-    sentences = F.flatten(F.transform(tokens, lambda line: F.split(F.regexp_replace(line, r"([.!?]) ", "$1\n"), "\n")))
-    kept = F.filter(sentences, lambda s: s != "")
-    return df.select(*keep, F.posexplode_outer(kept).alias("nr", "sentence")).filter("nr is not null")
+    pieces = F.flatten(F.transform(tokens, lambda line: F.split(F.regexp_replace(line, r"([.!?]) ", "$1\n"), "\n")))
+    return F.filter(pieces, lambda s: s != "")
+
+
+def split_sentences(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """One row per sentence."""
+    return df.select(*keep, F.posexplode_outer(sentences(text)).alias("nr", "sentence")).filter("nr is not null")
 
 
 # Mark-up removal steps of wiki pages, in order: pattern and what stays of it.
@@ -153,3 +158,9 @@ def lemmatize_lookup(tokens: DataFrame, lemmas: DataFrame, protected: DataFrame,
     marked = join_protected_words(tokens, protected, token, out="_p")
     joined = marked.join(best, lc_norm(marked[token]) == best["_s"], "left")
     return joined.withColumn(out, F.when(F.col("_p"), F.col(token)).otherwise(F.coalesce("_l", token))).drop("_p", "_s", "_l")
+
+
+def plain_articles(pages: DataFrame, content: str = "content") -> DataFrame:
+    """Article pages with their content as plain text, one sentence a line; other pages drop out."""
+    plain = filter_articles(pages, content=content).withColumn(content, strip_markup(F.col(content)))
+    return plain.withColumn(content, F.array_join(sentences(content), "\n"))

@@ -6,7 +6,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rostrum.functions.text import NBSP, smart_truncate, strip_chars
+from rostrum.functions.text import (NBSP, chair_from_header, clean_speaker, clean_text, smart_truncate, strip_bill_titles, strip_chars,
+                                    titlecase_upper)
+from rostrum.operators.rows import compute_once
 from rostrum.schemas import INDEX_RENAMED, INDEX_SITTING, INDEX_SPEECH
 
 # Which column feeds which facet or filter column.
@@ -73,6 +75,25 @@ def normalize_record(df: DataFrame) -> DataFrame:
     return df.select(*[_normal(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
+def clean_speech(df: DataFrame, header: str = "header") -> DataFrame:
+    """A raw speech record in its final form.
+
+    In this order: the speaker is split from title and party; a chair without a bracket is named from the sitting header, if that column exists;
+    names in capitals get title case; text and bill titles are cleaned; empty values become NULL. Titles and parties given before stay where
+    the speaker holds none.
+    """
+    has = set(df.columns)
+    head = F.col(header) if header in has else F.lit(None).cast("string")
+    df = compute_once(df, {"_s": clean_speaker("speaker")})
+    df = compute_once(df, {"_c": chair_from_header(F.when(~F.col("_s.bracketed"), F.col("_s.speaker")), head)})
+    new = {"speaker": titlecase_upper(F.when(F.col("_s.bracketed"), F.col("_s.speaker")).otherwise(F.col("_c.speaker"))),
+           "speaker_title": F.coalesce("_s.title", "_c.title", *["speaker_title"] * ("speaker_title" in has)),
+           "speaker_party": F.coalesce("_s.party", *["speaker_party"] * ("speaker_party" in has)), "text": clean_text("text")}
+    if isinstance(dict((f.name, f.dataType) for f in df.schema.fields).get("bill_title"), T.ArrayType):
+        new["bill_title"] = strip_bill_titles("bill_title")
+    return normalize_record(df.withColumns(new).drop("_s", "_c"))
+
+
 def speech_key(df: DataFrame, term: str = "term", nr: str = "sitting_nr", idx: str = "idx") -> DataFrame:
     """Add ``sitting_uid`` (term-number) and ``id`` (term-number-index)."""
     uid = F.concat_ws("-", F.col(term).cast("string"), F.col(nr).cast("string"))

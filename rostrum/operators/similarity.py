@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rostrum.session import cut_lineage
@@ -38,29 +41,66 @@ def _unit(weight: str, doc: str) -> Column:
 
 
 def esa_top_concepts(docs: DataFrame, concepts: DataFrame, k: int = 10, doc: str = "doc_id", concept: str = "item_id",
-                     term: str = "term", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                     term: str = "term", max_rows: int = 1_000_000) -> DataFrame:
     """The ``k`` most similar concepts of each document by cosine → (doc, concept, score, rank).
 
-    ``docs`` holds (doc, term, tf) and ``concepts`` the output of ``tfidf``. Concepts are written once, counted, and split
-    by hash into blocks of at most about ``max_rows`` weights. Each block is broadcast, so the products are summed where
-    the documents lie and only ``k`` rows per document and block are kept; the union of the blocks gives the exact result.
+    ``docs`` holds (doc, term, tf) and ``concepts`` the output of ``tfidf``. Ids are not null. Both are written once and counted. Documents are hashed into groups
+    and concepts into blocks of about ``max_rows`` weights each; every group meets every block in one tile, which adds up the products in
+    memory and returns ``k`` rows per document only. The best of all tiles are the exact result. The products themselves are never shuffled.
     """
     model = cut_lineage(concepts.select(concept, term, "idf", F.col("w").alias("_cw")))
-    size = model.count()
-    blocks = -(-size // max_rows) or 1
     idf = model.select(term, "idf").distinct()
-    vectors = docs.join(F.broadcast(idf) if size <= max_rows else idf, term).withColumn("_w", F.col("tf") * F.col("idf"))
-    vectors = vectors.withColumn("_dw", _unit("_w", doc)).select(doc, term, "_dw")
-    if blocks > 1:
-        vectors = cut_lineage(vectors).repartition(doc)
-    parts = None
-    for b in range(blocks):
-        block = model.filter(F.pmod(F.hash(concept), F.lit(blocks)) == b) if blocks > 1 else model
-        sums = vectors.join(F.broadcast(block.select(concept, term, "_cw")), term).groupBy(doc, concept).agg(
-            F.sum(F.col("_dw") * F.col("_cw")).alias("score"))
-        best = _top(sums, k, doc, concept)
-        parts = best if parts is None else parts.unionByName(best)
-    return parts if blocks == 1 else _top(parts.drop("rank"), k, doc, concept)
+    vectors = docs.join(idf, term).withColumn("_w", F.col("tf") * F.col("idf")).withColumn("_dw", _unit("_w", doc))
+    vectors = cut_lineage(vectors.select(doc, term, "_dw"))
+    groups, blocks = (max(1, math.ceil(side.count() / max_rows)) for side in (vectors, model))
+
+    def part(key: str, n: int) -> Column:
+        return F.pmod(F.hash(key), F.lit(n))
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = vectors.withColumn("_g", part(doc, groups)).withColumn("_b", every(blocks))
+    right = model.select(concept, term, "_cw").withColumn("_b", part(concept, blocks)).withColumn("_g", every(groups))
+
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        return _tile(x, y, k, doc, concept, term)
+
+    types = dict(docs.dtypes) | dict(concepts.dtypes)
+    schema = f"`{doc}` {types[doc]}, `{concept}` {types[concept]}, score double"
+    return _top(left.groupBy("_g", "_b").cogroup(right.groupBy("_g", "_b")).applyInPandas(run, schema), k, doc, concept)
+
+
+def _tile(x: pd.DataFrame, y: pd.DataFrame, k: int, doc: str, concept: str, term: str, pairs: int = 4_000_000) -> pd.DataFrame:
+    """The ``k`` best concepts of each document of a tile; about ``pairs`` products are held at once."""
+    terms = pd.Index(y[term].unique())
+    y = y.assign(_t=terms.get_indexer(y[term])).sort_values("_t")
+    x = x.assign(_t=terms.get_indexer(x[term])).query("_t >= 0").sort_values(doc)
+    if x.empty or y.empty:
+        return pd.DataFrame({doc: x[doc][:0], concept: y[concept][:0], "score": np.zeros(0)})
+    d, docs = pd.factorize(x[doc])
+    c, concepts = pd.factorize(y[concept], sort=True)
+    per_term = np.bincount(y["_t"], minlength=len(terms))
+    first = np.cumsum(per_term) - per_term
+    t, dw, cw = x["_t"].to_numpy(), x["_dw"].to_numpy(), y["_cw"].to_numpy()
+    n = per_term[t]
+    begins = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])  # a document stays in one piece; its products are at most the rows of ``y``
+    piece = (np.cumsum(n) - n)[begins] // pairs
+    cuts = begins[np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])]
+    out = []
+    for a, b in zip(cuts, [*cuts[1:], len(d)]):
+        row = np.repeat(np.arange(a, b), n[a:b])
+        before = np.cumsum(n[a:b]) - n[a:b]
+        place = np.arange(len(row)) - before[row - a] + first[t[row]]
+        pair, at = np.unique(d[row] * len(concepts) + c[place], return_inverse=True)
+        score = np.bincount(at, dw[row] * cw[place])
+        of, with_ = np.divmod(pair, len(concepts))
+        order = np.lexsort((with_, -np.round(score, 9), of))
+        of, with_, score = of[order], with_[order], score[order]
+        rank = np.arange(len(of)) - np.searchsorted(of, of)
+        keep = rank < k
+        out.append(pd.DataFrame({doc: docs[of[keep]], concept: concepts[with_[keep]], "score": score[keep]}))
+    return pd.concat(out)
 
 
 def _top(sums: DataFrame, k: int, doc: str, concept: str) -> DataFrame:

@@ -12,7 +12,9 @@ from rostrum.operators.rows import spread, unnest
 from rostrum.plans.registry import query, table
 from rostrum.plans.relational import VOCAB_SQL, bench_words, vocabulary
 from rostrum.plans.views import V_TOKEN, token_array
-from rostrum.session import cut_lineage
+from rostrum.session import cut_lineage, scratch_path
+from rostrum.sources.files import read_wiki_dump
+from rostrum.sources.sinks import write_wiki_json
 
 # ---- annotation
 
@@ -232,3 +234,27 @@ def _(spark, sf):
     from rostrum.plans.records import topic_probs
 
     return TM.topic_edges(topic_probs(spark, sf), 64)
+
+
+ARTICLE = _steps(
+    r"regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[\x00-\x08\x0b\x0c\x0e-\x1f]', ' ', 'g')",
+    ("<[^<>]+>", ""), (r"\[(?:https?|ftp)://\S+\s+([^\]]+)\]", r"\1"), (r"\[(?:https?|ftp)://\S+\]", ""), ("''{2,5}", ""),
+    (r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", r"\1"), (r"(?m)^[*#:;]+\s*", ""), ("__[A-Z]+__", ""),
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
+
+
+@query("wiki_articles", rf"""with p as (select doc_id, source, text from documents where not contains(source, ':') and length(trim(text)) > 0),
+  l as (select doc_id, unnest(string_split({ARTICLE}, chr(10))) as line, generate_subscripts(string_split({ARTICLE}, chr(10)), 1) as no from p),
+  s as (select doc_id, no, string_split(regexp_replace(array_to_string(regexp_extract_all(line, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}\s]'), ' '), '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) as part from l),
+  u as (select doc_id, no, unnest(part) as sentence, generate_subscripts(part, 1) as i from s),
+  t as (select doc_id, string_agg(sentence, chr(10) order by no, i) as content from u where sentence <> '' group by 1)
+  select doc_id as id, source as title, coalesce(content, '') as content from p left join t using (doc_id)""")
+def _(spark, sf):
+    """Dump → articles → plain sentences → JSON."""
+    dump, out = scratch_path(spark, "dump"), scratch_path(spark, "articles")
+    text = F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ")  # XML has no control characters
+    d = table(spark, sf, "documents").withColumn("text", text).selectExpr(
+        "doc_id as id", "source as title", "named_struct('text', named_struct('_VALUE', text, '_bytes', '1')) as revision")
+    d.write.format("xml").option("rowTag", "page").option("rootTag", "mediawiki").save(dump)
+    write_wiki_json(N.plain_articles(read_wiki_dump(spark, dump)), out)
+    return spark.read.schema("id bigint, title string, content string").json(out)

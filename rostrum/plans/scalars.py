@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rostrum.functions import text as X
+from rostrum.operators.project import clean_speech
 from rostrum.plans.registry import query, table
 from rostrum.plans.views import V_DOC, V_LEMMA, V_LINK, docs, lemmas, links
 
@@ -238,3 +239,20 @@ def _(spark, sf):
         F.array(F.concat(F.lit(" "), "source"), F.concat(F.lit('\r\n "'), "lang"), F.concat(head, F.lit('" \n'))))
     topic = X.topic_or_pair(texts, F.col("doc_id") % 2 == 0)
     return table(spark, sf, "documents").select("doc_id", F.array_join(topic, "|").alias("topic"))
+
+
+SPEAKER_RAW = """case doc_id % 5 when 0 then ' Elnök:' when 1 then concat('ELNÖK (', source, ') :') when 2 then upper(source)
+  when 3 then concat(source, ' ( P', cast(doc_id % 4 as string), ' ):') else concat(' ', source, ' : ') end"""
+HEADER_RAW = "case doc_id % 2 when 0 then concat('Ülés - Elnök: ', source, 'x - jegyzők') else concat('Az elnöki széket ', source, 'y foglalja el') end"
+
+
+@query("clean_speech", rf"""select doc_id, case doc_id % 5 when 0 then concat(source, case doc_id % 2 when 0 then 'x' else 'y' end)
+    when 2 then concat(upper(source[1]), lower(source[2:])) else source end as speaker, case when doc_id % 5 < 2 then 'Elnök' end as speaker_title,
+    case when doc_id % 5 = 3 then concat('P', doc_id % 4) end as speaker_party,
+    nullif(trim(regexp_replace(replace(replace({CLEAN_TEXT}, 'A felszólalás szövege:', ''), chr(160), ' '), '[\s\p{{Z}}]*[\r\n]+', chr(10), 'g'),
+      concat(' ', chr(10))), '') as text, concat(source, '|', lang) as bills from documents""")
+def _(spark, sf):
+    """The whole chain from a raw record to the stored one."""
+    raw = table(spark, sf, "documents").selectExpr("doc_id", f"{SPEAKER_RAW} as speaker", f"{HEADER_RAW} as header", f"{CLEAN_TEXT} as text",
+                                                   "array(concat(' ', source, ' \n'), concat(lang, ' ')) as bill_title")
+    return clean_speech(raw).select("doc_id", "speaker", "speaker_title", "speaker_party", "text", F.array_join("bill_title", "|").alias("bills"))

@@ -70,9 +70,27 @@ def write_topic_graph(edges: DataFrame, k: int, path: str) -> None:
 
 
 def publish_version(spark: SparkSession, df: DataFrame, path: str, version: int, alias: str = "speeches") -> DataFrame:
-    """Write a new version beside the old ones, then point the alias at it; readers see the old one until then."""
-    target = f"{path}/v{version}"
-    df.write.parquet(target)
-    spark.read.parquet(target).createOrReplaceTempView(alias)
+    """Write a new version beside the old ones, then point the alias at it; readers see the old one until then.
+
+    The pointer is a table beside the versions, so that other sessions find it by ``current_version``; here it also becomes a view.
+    """
+    df.write.parquet(f"{path}/v{version}")
+    point_alias(spark, path, version, alias)
+    current_version(spark, path, alias).createOrReplaceTempView(alias)
     return spark.table(alias)
 
+
+def point_alias(spark: SparkSession, path: str, version: int, alias: str = "speeches") -> None:
+    """Let the alias name a version that is written already, also an older one."""
+    row = spark.range(1).select(F.lit(alias).alias("alias"), F.lit(version).alias("version"), F.current_timestamp().alias("since"))
+    row.write.mode("append").parquet(f"{path}/aliases")
+
+
+def current_version(spark: SparkSession, path: str, alias: str = "speeches") -> DataFrame:
+    """The version that the alias names now."""
+    pointers = spark.read.schema("alias string, version int, since timestamp").parquet(f"{path}/aliases")
+    version = pointers.filter(F.col("alias") == alias).agg(F.max_by("version", "since")).first()[0]
+    if version is None:
+        raise ValueError(f"no version is published as {alias!r}")
+    return spark.read.parquet(f"{path}/v{version}")
+

@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from rostrum.operators import aggregates as A, annotate as N, filters as FL, joins as J, ordered as O, similarity as E, topics as TM
+from rostrum.operators import project as P
 from rostrum.plans.records import PERIODS
 from rostrum.session import cut_lineage
+from rostrum.sources import sinks as K
 from rostrum.streaming import ingest
 
 
@@ -193,3 +195,31 @@ def test_lemmatized_vocabulary(spark):
     assert sorted((r["term"], r["freq"]) for r in vocab.collect()) == [("b", 7), ("c", 6)]
     tagged = spark.createDataFrame([("Kutya_NOUN fut_VERB kutya_NOUN fut_VERB szép_ADJ",)], "t string")
     assert [tuple(r) for r in A.build_vocabulary(tagged, "t", min_count=1, skip_top=0, pos=FL.GOOD_POS).collect()] == [("kutya", 2)]
+
+
+def test_clean_speech(spark):
+    rows = [("Elnök: ", "Ülés - Elnök: Szili Katalin - jegyzők", "A felszólalás szövege: Köszönöm.\r\n\r\nKezdjük! ", ["  T/1 ", "T/2\n"]),
+            ("ELNÖK (Kövér László)", "Az elnöki széket Más Valaki foglalja el", "\u00a0", None), ("KISS PÁL", None, None, []), (None, "x", "y", ["z"])]
+    df = spark.createDataFrame(rows, "speaker string, header string, text string, bill_title array<string>").withColumn("n", F.monotonically_increasing_id())
+    got = [(r["speaker"], r["speaker_title"], r["speaker_party"], r["text"], r["bill_title"]) for r in P.clean_speech(df).orderBy("n").collect()]
+    assert got == [("Szili Katalin", "Elnök", None, "Köszönöm.\nKezdjük!", ["T/1", "T/2"]), ("Kövér László", "Elnök", None, None, None),
+                   ("Kiss Pál", None, None, None, None), (None, None, None, "y", ["z"])]
+
+
+def test_alias_of_other_sessions(spark, tmp_path):
+    path = str(tmp_path)
+    for v in (1, 2):
+        K.publish_version(spark, spark.range(v), path, v, "talks")
+    other = spark.newSession()
+    assert K.current_version(other, path, "talks").count() == 2
+    K.point_alias(other, path, 1, "talks")
+    assert K.current_version(spark, path, "talks").count() == 1
+    with pytest.raises(ValueError):
+        K.current_version(spark, path, "none")
+
+
+def test_gazetteer_lengths(spark):
+    docs = spark.createDataFrame([(1, ["a", "b", "c"]), (2, None), (3, []), (4, ["c", None, "a"])], "doc int, toks array<string>")
+    phrases = spark.createDataFrame([("a", "X"), ("a b c", "Y"), ("b c d", "Z"), ("c", "X"), ("c", "X")], "phrase string, tag string")
+    got = sorted(tuple(r) for r in N.gazetteer_entities(docs, phrases, "toks", ["doc"]).collect())
+    assert got == [(1, 0, "a", "X"), (1, 0, "a b c", "Y"), (1, 2, "c", "X"), (4, 0, "c", "X"), (4, 2, "a", "X")]
