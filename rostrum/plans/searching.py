@@ -140,11 +140,11 @@ def _(spark, sf):
 SENTENCES_SQL = r"list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), '\n+'), lambda x: len(x) > 0)"
 
 
-def em_sql(terms: list[str]) -> str:
+def em_sql(terms: list[str], column: str = "text") -> str:
     inside = f"lambda p: {fold('lower(p)')} in ({', '.join(repr(t) for t in terms)})"
     marked = (rf"array_to_string(list_transform(regexp_extract_all(s, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+'), lambda p: "
               rf"case when {fold('lower(p)')} in ({', '.join(repr(t) for t in terms)}) then concat('<em>', p, '</em>') else p end), '')")
-    found = rf"list_filter({SENTENCES_SQL}, lambda s: len(list_filter({words('s')}, {inside})) > 0)"
+    found = rf"list_filter({SENTENCES_SQL.replace('text', column)}, lambda s: len(list_filter({words('s')}, {inside})) > 0)"
     return f"array_to_string(list_transform({found}[:3], lambda s: {marked}), ' ... ')"
 
 
@@ -195,6 +195,20 @@ def _(spark, sf):
     return searched(spark, sf)[2]
 
 
+Q_NAME = "src1"
+
+
+@query("search_highlights", f"""{match_sql(Q_NAME)} {HITS_SQL.format(where=WHERE)}, titled as (select *, regexp_extract(v_doc.text, '^[^.\n]*') as topic from v_doc)
+  select id, round(score, 6) as score, {em_sql([Q_NAME])} as h_text, {em_sql([Q_NAME], "speaker")} as h_speaker, {em_sql([Q_NAME], "topic")} as h_topic,
+    {em_sql([Q_NAME], "speaker")} as h_committee, case when lower(party) = '{Q_NAME}' then concat('<em>', party, '</em>') else '' end as h_speaker_party
+  from hits join titled on doc_id = id order by score desc, id limit 20""")
+def _(spark, sf):
+    """The marks in all fields of one page."""
+    page = searched(spark, sf, Q_NAME)[0]
+    marks = [F.array_join(c, " ... ").alias(c) for c in ("h_text", "h_speaker", "h_topic", "h_committee", "h_speaker_party")]
+    return page.select("id", F.round("score", 6).alias("score"), *marks)
+
+
 Q_STEM = "attion thanedble"
 
 
