@@ -1,7 +1,7 @@
 """Operator 2: quality rules, with lines that many documents of one host share removed.
 
 A line is normalised (lower case, white space to single blanks) and hashed. Per host, the distinct documents of every line are counted;
-copies of one document count once, as they agree on the smallest hash among their *other* lines. Lines above the limits are boilerplate;
+copies of one document count once, as they agree on the hash of all their normalised lines in order. Lines above the limits are boilerplate;
 a document that loses too large a part of its words with them is rejected.
 """
 
@@ -19,7 +19,7 @@ from rostrum.llm.words import chain, distinct, hash_spans, per_row, texts_of, wo
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 BASE = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " \
-       "lines array<struct<line:long,family:long,words:long>>"
+       "copy long, lines array<struct<line:long,words:long>>"
 
 
 def line_hash(normal: bytes) -> int:
@@ -27,10 +27,10 @@ def line_hash(normal: bytes) -> int:
     return int(hashlib.md5(normal).hexdigest()[:15], 16)
 
 
-def _lines(text: bytes) -> tuple[int, list[dict]]:
-    """Number of lines equal to an earlier one, and per distinct normalised line its hash, the document's hash without it, its words."""
+def _lines(text: bytes) -> tuple[int, int, list[dict]]:
+    """Number of lines equal to an earlier one, the hash of all normalised lines, and per distinct normalised line its hash and its words."""
     seen: set[bytes] = set()
-    again, count = 0, {}
+    again, count, whole = 0, {}, hashlib.md5()
     for raw in text.split(b"\n"):
         parts = raw.lower().split()
         if not parts:
@@ -40,9 +40,8 @@ def _lines(text: bytes) -> tuple[int, list[dict]]:
         seen.add(raw)
         normal = b" ".join(parts)
         count[normal] = count.get(normal, 0) + len(parts)
-    hashed = [(line_hash(k), n) for k, n in count.items()]
-    low = sorted(h for h, _ in hashed)[:2]
-    return again, [{"line": h, "family": (low[1] if len(low) > 1 else h) if h == low[0] else low[0], "words": n} for h, n in hashed]
+        whole.update(normal + b"\n")
+    return again, int(whole.hexdigest()[:15], 16), [{"line": line_hash(k), "words": n} for k, n in count.items()]
 
 
 def _measure(batches):
@@ -58,7 +57,7 @@ def _measure(batches):
         np.cumsum(SYMBOLS[buf[:n]], out=marks[1:])
         symbols = marks[offsets[1:]] - marks[offsets[:-1]]
         grams = chain(h[:-2], h[1:-1], h[2:]) if len(h) > 2 else h[:0]
-        repeats, dups, lines = [], [], []
+        repeats, dups, copies, lines = [], [], [], []
         data = buf[:n].tobytes()
         for i, (a, b) in enumerate(zip(ptr[:-1].tolist(), ptr[1:].tolist())):
             covered = 0
@@ -70,21 +69,22 @@ def _measure(batches):
                     mark[k: k + len(twice)] |= twice
                 covered = int(mark.sum())
             repeats.append(covered)
-            again, found = _lines(data[offsets[i]: offsets[i + 1]])
+            again, copy, found = _lines(data[offsets[i]: offsets[i + 1]])
             dups.append(again)
+            copies.append(copy)
             lines.append(found)
-        kind = pa.list_(pa.struct([("line", pa.int64()), ("family", pa.int64()), ("words", pa.int64())]))
+        kind = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("host"), pa.array(np.diff(ptr), pa.int64()), pa.array(chars, pa.int64()), pa.array(symbols, pa.int64()),
-             pa.array(dups, pa.int64()), pa.array(repeats, pa.int64()), pa.array(lines, kind)],
-            names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"])
+             pa.array(dups, pa.int64()), pa.array(repeats, pa.int64()), pa.array(copies, pa.int64()), pa.array(lines, kind)],
+            names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "copy", "lines"])
 
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_words: int = 50, max_repeat: int = 50,
                   min_documents: int = 20, max_share: float = 0.01, max_removed: float = 0.5) -> DataFrame:
     """Per row its counts, ``base_failed``, the words left without boilerplate lines (``n_left``) and ``kept``.
 
-    A line is boilerplate in a host if more than ``min_documents`` documents there hold it and more than ``max_share`` of all its documents.
+    A line is boilerplate in a host if more than ``min_documents`` distinct documents there hold it and more than ``max_share`` of all its documents.
     ``kept`` is false for rows that fail the base rules and for rows that lose more than ``max_removed`` of their words.
     Null texts have no words, rows without a host form one host of their own; rows with equal ids are judged one by one.
     """
@@ -92,12 +92,12 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", h
     base = binary_text(docs, doc_id, text, F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host")).mapInArrow(_measure, BASE)
     base = saved(base.withColumn("row", F.monotonically_increasing_id()), "quality")
     sizes = base.groupBy("host").agg(F.count("*").alias("documents"))
-    lines = base.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.*")
-    # A line in few documents is in few families: distinct families first, then the count, both combined before their shuffle.
-    counts = lines.select("host", "line", "family").distinct().groupBy("host", "line").agg(F.count("*").alias("found"))
+    lines = base.select("row", "host", "copy", F.explode("lines").alias("l")).select("row", "host", "copy", "l.*")
+    # Distinct documents of a line first, then their count, both combined before their shuffle.
+    counts = lines.select("host", "line", "copy").distinct().groupBy("host", "line").agg(F.count("*").alias("found"))
     common = counts.filter(F.col("found") > min_documents).join(sizes, "host").filter(F.col("found") > max_share * F.col("documents"))
     lost = lines.join(common.select("host", "line"), ["host", "line"]).groupBy("row").agg(F.sum("words").alias("lost"))
-    out = base.drop("lines", "host").join(lost, "row", "left").fillna(0, ["lost"])
+    out = base.drop("lines", "copy", "host").join(lost, "row", "left").fillna(0, ["lost"])
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     kept = ~failed & (F.col("lost") <= max_removed * F.col("n_words"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),

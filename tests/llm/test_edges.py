@@ -94,6 +94,19 @@ def test_rules(spark, odd):
     assert quality_rules.quality_rules(odd.limit(0)).count() == 0
 
 
+def test_rules_count_documents_that_share_several_lines(spark):
+    """A block of lines that all documents hold, and copies, which count once."""
+    for shared in (2, 5, 30):
+        block = [f"Shared  line {k} of the navigation block" for k in range(shared)]
+        own = [[f"own{i}x{k} and more" for k in range(2)] for i in range(21)]
+        docs = [(i, "\n".join([*block, *own[i]]), "h") for i in range(21)]
+        docs += [(100 + i, "\n".join(b.upper() for b in [*block[:1], "one page in many copies"]), "g") for i in range(60)]
+        docs += [(200 + i, "\n".join([*block, *own[i]]), "i") for i in range(20)]
+        got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+        assert {got[i].n_left for i in range(21)} == {6}
+        assert all(got[i].n_left == got[i].n_words for i in got if i >= 100)
+
+
 def test_packing_of_odd_rows(spark, odd):
     rows = packing.pack(odd, __import__("public_tokenizers").path("word_bpe_49k.json")).collect()
     assert sum(r.length for r in rows if r.doc_id == 3) == 1 and sum(r.length for r in rows if r.doc_id == 4) == 1
