@@ -199,3 +199,24 @@ def test_licenses(spark, odd):
     assert got == {0: (["MIT"], False), 1: (["CC-BY-4.0"], False), 2: (["CC-BY-NC-4.0"], True), 3: ([], False), 4: (["GPL-2.0"], True), 5: (["reserved"], True),
                    6: (["MIT-text"], False), 7: ([], False), 8: ([], False), 9: ([], False)}
     assert licenses.license_scan(odd).count() == odd.count() and licenses.license_scan(odd.limit(0)).count() == 0
+
+
+def test_wrapped_and_long_license_notices():
+    scanner = licenses.Scanner()
+    wrapped = {"MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"),\n"
+                           "to deal in the Software without\nrestriction",
+               "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following\nconditions are met:",
+               "GPL-2.0": "This work is licensed under the GNU\nGeneral Public License,\nversion 2.", "Apache-2.0": "Licensed under the Apache License,\nVersion 2.0.",
+               "reserved": "All\nrights\nreserved."}
+    for name, text in wrapped.items():
+        for prefix in ("", "# ", " * ", "// ", ";; ", "-- ", "> > "):
+            marked = "".join(prefix + line + "\n" for line in text.split("\n"))
+            for before, after in (("", ""), ("import os\n\n", "\nint main()"), ("word and copyright law " * 9, " in the software, of the public " * 9)):
+                assert [n[0] for n in scanner.scan((before + marked + after).encode())[1]] == [name], (name, prefix, before)
+    # a long stretch of notices: each counts once, wherever a window ends
+    for lead in range(0, 60, 7):
+        names = [n for k in range(40) for n in wrapped] + ["GPL-3.0"]
+        texts = [wrapped.get(n, licenses.TEMPLATES[n]) for n in names]
+        assert [n[0] for n in scanner.scan(("license " * lead + "\n".join(texts)).encode())[1]] == names
+    # words around a confirmed notice do not make another one
+    assert [n[0] for n in scanner.scan(b"all Released under the MIT License. rights reserved")[1]] == ["MIT"]
