@@ -5,6 +5,9 @@ crosses a place (before a run of blanks marks), the lattice falls into units. Al
 backward Viterbi scores together, as arrays; the gap between the best path and the best path through any edge off it tells how little a second
 choice costs. Only the n - 1 units of a text with the smallest gaps can differ in one of its n best paths. Each of those is searched by A-star from its end
 backwards; the forward score of a place is the exact cost still to come, so every path that is taken out is the next best.
+
+The scores of a BPE vocabulary are ranks of merges, whose sum the lattice makes largest; its best path is not the model's encoding there. That is given
+beside the paths: merges do not cross units either, so the library encodes every distinct unit of a batch once.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ class Pieces:
     def __init__(self, path: str):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model
         size = model.vocab_size()
         ordinary = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         text = {i: model.id_to_piece(i) for i in ordinary}
@@ -172,6 +176,14 @@ class Pieces:
                                 for j in ([i] if i >= 0 else [self.byte[b] for b in texts[k][e - 1].encode()])], np.int64)
             out[rows[k]] = np.concatenate([[best[k], best[k] - second[k]], own])
 
+    def encodings(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The model's own ids per unit, as one flat array, and their numbers. The library puts one blank before what it encodes."""
+        texts = [u.decode("utf-8", "replace") for u in units]
+        blank = self.score[BLANK][1] if BLANK in self.score else self.model.unk_id()
+        found = [own if t != " " else [blank] for t, own in zip(texts, self.model.encode([t[1:] for t in texts], num_threads=1))]
+        lens = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for own in found for i in own), np.int32, int(lens.sum())), lens
+
     # ---- texts
 
     def merge(self, units: list[str], n: int) -> list[tuple[float, tuple[tuple[int, ...], ...]]]:
@@ -203,22 +215,24 @@ def unit_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 @lru_cache(maxsize=2)
-def pieces_of(path: str) -> tuple[Pieces, UnitCache]:
-    """One vocabulary and cache per worker process."""
+def pieces_of(path: str) -> tuple[Pieces, UnitCache, UnitCache]:
+    """One vocabulary and its caches of paths and of encodings per worker process."""
     pieces = Pieces(path)
-    return pieces, UnitCache(lambda units: pieces.compute([u.replace(b" ", _BLANK) for u in units]), 400_000)
+    return pieces, UnitCache(lambda units: pieces.compute([u.replace(b" ", _BLANK) for u in units]), 400_000), UnitCache(pieces.encodings, 400_000)
 
 
 def nbest(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", n: int = 3, with_ids: bool = False) -> DataFrame:
-    """(doc_id, rank, score, n_pieces, ids_crc32, round_trip) per row and rank from 1 to at most n; ``with_ids`` adds the ids.
+    """(doc_id, rank, score, n_pieces, ids_crc32, round_trip, model_pieces, model_crc32) per row and rank from 1 to at most n.
 
+    ``with_ids`` adds the ids of the path and ``model_ids``. The model columns tell of the vocabulary's own encoding of the text, as the library gives it,
+    and are the same on all ranks; the path of rank 1 is that encoding where the scores are log-probabilities, and need not be it for BPE.
     Texts are taken as they are, with one blank put before them as the vocabulary expects. A null or empty text has one empty
     segmentation. ``round_trip`` tells whether the decoded ids are the text. Paths of equal score come in a fixed order.
     """
     bounded_batches(docs.sparkSession)
 
     def kernel(batches: Iterator[pa.RecordBatch]):
-        pieces, cache = pieces_of(path)
+        pieces, cache, encoded = pieces_of(path)
         for batch in batches:
             raw, offsets = texts_of(batch)
             data = raw.tobytes()
@@ -230,23 +244,39 @@ def nbest(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
             cuts = np.concatenate([[0], np.cumsum([len(t) for t in marked])]).astype(np.int64)
             starts, ends, ptr = unit_spans(buf, cuts)
             pool, off, length = cache.lookup(buf, starts, ends)
-            cols: dict[str, list] = {c: [] for c in ("doc_id", "rank", "score", "n_pieces", "ids_crc32", "round_trip", "ids")}
+            own_pool, own_off, own_length = encoded.lookup(buf, starts, ends)
+            cols: dict[str, list] = {c: [] for c in ("doc_id", "rank", "score", "n_pieces", "ids_crc32", "round_trip", "model_pieces", "model_crc32", "ids",
+                                                     "model_ids")}
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 a, b = int(ptr[i]), int(ptr[i + 1])
                 found = _of_text(joined, pool, off[a:b], length[a:b], starts[a:b], ends[a:b], pieces, n) if b > a else [(0.0, np.empty(0, np.int32))]
                 whole = texts[i].decode("utf-8", "replace")
+                if BLANK in whole:  # the library takes it for a blank, so units do not part there
+                    own = np.array(pieces.model.encode(whole), np.int32)
+                else:
+                    own = _joined(own_pool, own_off[a:b], own_length[a:b])
+                model = (len(own), zlib.crc32(own.astype("<u4").tobytes()))
                 for rank, (score, ids) in enumerate(found, 1):
-                    values = (doc, rank, score, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), pieces.decode(ids.tolist()) == whole,
-                              ids.tolist() if with_ids else None)
+                    values = (doc, rank, score, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), pieces.decode(ids.tolist()) == whole, *model,
+                              ids.tolist() if with_ids else None, own.tolist() if with_ids else None)
                     for c, v in zip(cols, values):
                         cols[c].append(v)
             if not with_ids:
-                del cols["ids"]
-            kinds = {"score": pa.float64(), "rank": pa.int32(), "round_trip": pa.bool_(), "ids": pa.list_(pa.int32())}
+                del cols["ids"], cols["model_ids"]
+            kinds = {"score": pa.float64(), "rank": pa.int32(), "round_trip": pa.bool_(), "ids": pa.list_(pa.int32()), "model_ids": pa.list_(pa.int32())}
             yield pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.int64())) for c, v in cols.items()})
 
     return binary_text(docs, doc_id, text).mapInArrow(
-        kernel, "doc_id long, rank int, score double, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else ""))
+        kernel, "doc_id long, rank int, score double, n_pieces long, ids_crc32 long, round_trip boolean, model_pieces long, model_crc32 long"
+        + (", ids array<int>, model_ids array<int>" if with_ids else ""))
+
+
+def _joined(pool, off, length) -> np.ndarray:
+    """The pieces of the units of one text one after the other."""
+    if not len(off):
+        return np.empty(0, np.int32)
+    stop = np.cumsum(length)
+    return pool[np.repeat(off - stop + length, length) + np.arange(int(stop[-1]))].astype(np.int32)
 
 
 def _of_text(data: bytes, pool, off, length, starts, ends, pieces: Pieces, n: int) -> list[tuple[float, np.ndarray]]:

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -69,3 +70,16 @@ def test_round_trip_and_library_decoder(spark):
         if len(scores) == 3:
             assert scores == sorted(scores, reverse=True)
     assert N.nbest(docs.limit(0), PATH).count() == 0
+
+
+def test_model_encoding_equals_the_library(spark):
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    t = [x for x in pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"])["text"].to_pylist() if x]
+    texts = t + ["thinking", "internationalization", "  two  blanks ", "a ", "a  ", " ", "   ", "a\u2581 b", "\u2581", "\t\n x\r\n", "😀\x01\t", "漢 é", "a" * 3000, "<s> </s>", ""]
+    docs = spark.createDataFrame([*enumerate(texts), (-1, None)], "doc_id long, text string")
+    rows = N.nbest(docs, PATH, with_ids=True).collect()
+    assert {r.doc_id for r in rows} == {-1, *range(len(texts))}
+    for r in rows:
+        want = model.encode(texts[r.doc_id]) if r.doc_id >= 0 else []
+        assert r.model_ids == want and r.model_pieces == len(want), texts[r.doc_id]
+        assert r.model_crc32 == zlib.crc32(np.array(want, "<u4").tobytes())
