@@ -71,7 +71,7 @@ RULES_SQL = f"""with t as (select doc_id, coalesce(source, '') as host, coalesce
 
 @query("op2_line_frequency_rules", RULES_SQL)
 def _(spark, sf):
-    return rules.quality_rules(table(spark, sf, "documents"))
+    return rules.quality_rules(table(spark, sf, "documents")).drop("cleaned")  # the SQL states the digest columns
 
 
 @query("op3_token_counts")

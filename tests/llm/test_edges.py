@@ -107,6 +107,13 @@ def test_rules_count_documents_that_share_several_lines(spark):
         assert all(got[i].n_left == got[i].n_words for i in got if i >= 100)
 
 
+def test_rules_return_the_text_without_common_lines(spark):
+    docs = [(i, f"Own {i}\n\n  HOME  page \n x{i}\tÉ \nhome page", "h") for i in range(21)] + [(100, "Home page\nb", "g"), (101, None, "h"), (102, "home page", "h")]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+    assert all(got[i].cleaned == f"Own {i}\n\n x{i}\tÉ " and got[i].n_left == 4 for i in range(21))
+    assert got[100].cleaned == "Home page\nb" and got[101].cleaned is None and got[102].cleaned == "" and got[102].n_left == 0
+
+
 def test_packing_of_odd_rows(spark, odd):
     rows = packing.pack(odd, __import__("public_tokenizers").path("word_bpe_49k.json")).collect()
     assert sum(r.length for r in rows if r.doc_id == 3) == 1 and sum(r.length for r in rows if r.doc_id == 4) == 1
