@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rostrum.llm import covertree, importance, jaccard, licenses, nbest, packing, preference, quality_rules as rules, token_counts, toxicity
+from rostrum.llm import covertree, divergence, importance, jaccard, licenses, nbest, packing, preference, quality_rules as rules, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,7 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
-LOWER_WORDS = WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+LOWER_TEXT = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+LOWER_WORDS = WORDS.format(LOWER_TEXT)
 
 JACCARD_SQL = f"""with recursive w as (select doc_id, {LOWER_WORDS} as w from documents),
   s as (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
@@ -155,3 +156,28 @@ def _(spark, sf):
 @query("op5_nbest_pieces")
 def _(spark, sf):
     return nbest.nbest(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+DIVERGENCE_SQL = f"""with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all({LOWER_TEXT}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w from documents),
+  occ as (select r, lang, source, unnest(w) as term from d),
+  kept as (select lang, term, count(*) as total from occ group by 1, 2 having count(distinct r) >= 3),
+  langs as (select lang, count(*) as v, sum(total) as n from kept group by 1),
+  cnt as (select lang, source, term, count(*) as c from occ join kept using (lang, term) group by 1, 2, 3),
+  g as (select lang, source, coalesce(v, 0) as v, coalesce(sum(c), 0) as n from (select distinct lang, source from d) x
+    left join cnt using (lang, source) left join langs using (lang) group by 1, 2, 3),
+  p as (select g.lang, g.source, kept.term, coalesce(c, 0) as c, cast(1 + cast(1000000000 as hugeint) * (coalesce(c, 0) + 1) // (g.n + g.v) as bigint) as p
+    from g join kept on kept.lang = g.lang left join cnt on cnt.lang = g.lang and cnt.source = g.source and cnt.term = kept.term),
+  q as (select kept.lang, term, cast(1 + cast(1000000000 as hugeint) * (total + 1) // (n + v) as bigint) as q from kept join langs using (lang)),
+  diff as (select a.lang, a.source, b.source as other, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+    from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+  pairs as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value
+    from g a join g b on a.lang = b.lang and a.source <> b.source left join diff on diff.lang = a.lang and diff.source = a.source and diff.other = b.source),
+  terms as (select lang, source, 'term' as part, term as item, cast((p - q) * (p - q) // q as bigint) as value from p join q using (lang, term) where c > 0 and p > q),
+  ranked as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank from (from pairs union all from terms) u)
+  select * from ranked where part = 'pair' or rank <= 200"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def _(spark, sf):
+    return divergence.source_divergence(table(spark, sf, "documents"))
