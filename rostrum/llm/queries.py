@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rostrum.llm import covertree, divergence, importance, jaccard, licenses, nbest, packing, preference, quality_rules as rules, token_counts, toxicity
+from rostrum.llm import covertree, divergence, importance, jaccard, licenses, nbest, packing, preference, quality_rules as rules, token_counts, toxicity, trie_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -181,3 +181,29 @@ DIVERGENCE_SQL = f"""with d as (select row_number() over () as r, coalesce(lang,
 @query("op11_source_divergence", DIVERGENCE_SQL)
 def _(spark, sf):
     return divergence.source_divergence(table(spark, sf, "documents"))
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds written one after the other, every distance by the definition."""
+    each = lambda form, sep=", ": sep.join(form.format(k=k) for k in range(parts))
+    sql = f"""with v as (select row_number() over (order by vec_id, embedding) as r, vec_id, label,
+        list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as x from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+      p as (select r, k, x[k * (len(x) // {parts}) + 1:(k + 1) * (len(x) // {parts})] as x from v cross join (select unnest(range({parts})) as k) s),
+      b0 as (select k, r - 1 as e, x as y from p where r <= {entries})"""
+    near = """select r, k, arg_min(e, (d, e)) as e, min(d) as d, any_value(x) as x from (select r, p.k, e, x,
+        list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as d from p join {book} b on b.k = p.k) t group by 1, 2"""
+    for n in range(rounds):
+        sql += f""", a{n} as ({near.format(book=f"b{n}")}),
+      m{n} as (select k, e, list(m order by i) as y from (select k, e, i, cast((s - ((s % c) + c) % c) // c as bigint) as m from
+        (select k, e, i, sum(x[i]) as s, count(*) as c from (select k, e, x, unnest(range(1, len(x) + 1)) as i from a{n}) t group by 1, 2, 3) u) w group by 1, 2),
+      b{n + 1} as (select b.k, b.e, coalesce(m.y, b.y) as y from b{n} b left join m{n} m on m.k = b.k and m.e = b.e)"""
+    return sql + f""", f as ({near.format(book=f"b{rounds}")}),
+      codes as (select r, string_agg(printf('%02x', e), '' order by k) as code, cast(sum(d) as bigint) as error from f group by 1),
+      digest as (select sha256(string_agg(array_to_string(y, ','), ',' order by k, e)) as codebooks_sha256 from b{rounds})
+      select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256 from v join codes using (r) cross join digest"""
+
+
+@query("op12_trie_codes", _codes_sql())
+def _(spark, sf):
+    return trie_codes.trie_codes(table(spark, sf, "embeddings"))
