@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rostrum.llm import covertree, divergence, importance, jaccard, licenses, nbest, packing, preference, quality_rules as rules, token_counts, toxicity, trie_codes
+from rostrum.llm import covertree, divergence, importance, jaccard, licenses, main_text, nbest, packing, preference, quality_rules as rules, token_counts, toxicity, trie_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -207,3 +207,8 @@ def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
 @query("op12_trie_codes", _codes_sql())
 def _(spark, sf):
     return trie_codes.trie_codes(table(spark, sf, "embeddings"))
+
+
+@query("op13_main_text")
+def _(spark, sf):
+    return main_text.extract(table(spark, sf, "pages"))
