@@ -54,13 +54,14 @@ RULES_SQL = f"""with t as (select doc_id, coalesce(source, '') as host, coalesce
   l as (select doc_id, host, unnest(string_split(text, chr(10))) as line from t),
   lw as (select doc_id, host, line, {LOWER_WORDS.replace("text", "line")} as lw from l),
   dup as (select doc_id, sum(c - 1) as c from (select doc_id, line, count(*) as c from lw where len(lw) > 0 group by 1, 2) d group by 1),
-  ln as (select doc_id, host, md5(array_to_string(lw, ' ')) as line, sum(len(lw)) as words from lw where len(lw) > 0 group by 1, 2, 3),
-  low as (select doc_id, list_sort(list(line)) as low from ln group by 1),
-  fam as (select doc_id, host, line, words, case when line <> low[1] then low[1] else coalesce(low[2], line) end as family from ln join low using (doc_id)),
+  ln as (select doc_id, host, array_to_string(lw, ' ') as line, sum(len(lw)) as words from lw where len(lw) > 0 group by 1, 2, 3),
+  whole as (select doc_id, host, list_filter(list_transform(string_split(text, chr(10)), lambda x: array_to_string({LOWER_WORDS.replace("text", "x")}, ' ')),
+      lambda x: x <> '') as lines from t),
+  held as (select host, array_to_string(lines, chr(10)) as copy, unnest(list_distinct(lines)) as line from whole),
   sizes as (select host, count(*) as documents from t group by 1),
-  common as (select host, line from (select host, line, count(distinct family) as found from fam group by 1, 2) c join sizes using (host)
+  common as (select host, line from (select host, line, count(distinct copy) as found from held group by 1, 2) c join sizes using (host)
     where found > 20 and found > 0.01 * documents),
-  lost as (select doc_id, sum(words) as lost from fam join common using (host, line) group by 1),
+  lost as (select doc_id, sum(words) as lost from ln join common using (host, line) group by 1),
   base as (select doc_id, len(w) as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as word_chars,
       len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, coalesce(dup.c, 0) as n_dup_lines, coalesce(covered.c, 0) as n_repeat_words,
       coalesce(lost.lost, 0) as lost from t left join dup using (doc_id) left join covered using (doc_id) left join lost using (doc_id))
