@@ -197,9 +197,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                     "doc_id": part.column("doc_id").filter(pa.array(short)),
                     "text": pa.array([data[a:b] for a, b, s in zip(offsets[:-1], offsets[1:], short) if s], pa.binary())})
 
-    sample = {r["doc_id"]: bytes(r["text"]) for r in binary_text(docs, doc_id, text).mapInArrow(kernel, "doc_id long, text binary").limit(2 * len(known) + 1).collect()}
+    # Of rows that repeat an id the smallest text counts, so at most one row per chosen id comes here.
+    found = binary_text(docs, doc_id, text).mapInArrow(kernel, "doc_id long, text binary").groupBy("doc_id").agg(F.min("text").alias("text"))
+    sample = {r["doc_id"]: bytes(r["text"]) for r in found.collect()}
     chosen = sorted(sample)
-    share = {r[0]: r[1] for r in labels.filter(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
+    share = {r[0]: r[1] for r in labels.filter(F.col(label).isin(0, 1) & ~held_out(doc_id)).groupBy(label).count().collect()}
     if len({known[i] for i in chosen}) < 2:
         return None
     ratio = share[0] / share[1] * sum(known[i] for i in chosen) / sum(1 - known[i] for i in chosen)
