@@ -2,7 +2,8 @@
 
 Two generative models over hashed unigrams and bigrams of tokens are counted: one over the target documents (label 1), one over all. A
 document's weight is the log ratio of its likelihoods. Gumbel noise added to the log weights turns the largest k into a sample without
-replacement in proportion to the weights; k is a share of all documents, and its threshold is found exactly by histograms.
+replacement in proportion to the weights. k is the number of documents whose weight reaches that of all but a small part of the target documents
+in the same input, so that a clean input keeps its rows and a poor one does not; both thresholds are found exactly by histograms.
 """
 
 from __future__ import annotations
@@ -82,21 +83,25 @@ def weigh(docs: DataFrame, ratio: np.ndarray, doc_id: str, text: str, seed: int,
 
 
 def importance_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", share: float | None = None,
-                      margin: float = 0.02, rows: int = 20_000, buckets: int = 1 << 16, seed: int = 11, whole_rows: bool = False) -> DataFrame:
+                      loss: float = 0.005, rows: int = 20_000, buckets: int = 1 << 16, seed: int = 11, whole_rows: bool = False) -> DataFrame:
     """(doc_id, log_weight, key, kept) per row; ``kept`` marks the k rows with the largest key = log_weight + Gumbel noise.
 
-    The target model learns from at most ``rows`` documents with label 1, all other counts cover all rows. ``share`` of the rows is kept, by
-    default the share of label 1 among the labelled rows plus ``margin``. Noise depends on the id alone; rows with equal keys at the
-    threshold are all kept. A null or empty text has weight 0. Without labels every row is kept. With ``whole_rows`` the result is the kept
-    rows of ``docs`` themselves, weighed once more rather than shuffled to a join.
+    The target model learns from at most ``rows`` documents with label 1, all other counts cover all rows. k is the number of rows that weigh at
+    least as much as all but a part ``loss`` of those documents, or ``share`` of the rows where it is given. Noise depends on the id alone; rows
+    with equal keys at the threshold are all kept. A null or empty text has weight 0. Without a labelled document in the input every row is kept.
+    With ``whole_rows`` the result is the kept rows of ``docs`` themselves, weighed once more rather than shuffled to a join.
     """
-    bounded_batches(docs.sparkSession)
-    if share is None:
-        n = {r[0]: r[1] for r in labels.filter(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
-        share = min(1.0, n.get(1, 0) / sum(n.values()) + margin) if n.get(1) else 1.0
-    ratio = ratios(binary_text(docs, doc_id, text), labelled_ids(labels, doc_id, label, 1, rows), buckets)
+    spark = bounded_batches(docs.sparkSession)
+    target = labelled_ids(labels, doc_id, label, 1, rows)
+    ratio = ratios(binary_text(docs, doc_id, text), target, buckets)
     weighed = saved(weigh(docs, ratio, doc_id, text, seed), "weights")
-    least = kth_largest(weighed, "key", math.ceil(share * weighed.count()))
+    if share is None:
+        chosen = weighed.join(F.broadcast(spark.createDataFrame([(i,) for i in target], "doc_id long")), "doc_id")  # at most ``rows`` ids
+        least = kth_largest(chosen, "log_weight", math.ceil((1 - loss) * chosen.count()))
+        k = weighed.filter(F.col("log_weight") >= F.lit(-math.inf if least is None else least)).count()
+    else:
+        k = math.ceil(share * weighed.count())
+    least = kth_largest(weighed, "key", k)
     kept = F.col("key") >= F.lit(-math.inf if least is None else least)
     if whole_rows:
         return weigh(docs, ratio, doc_id, text, seed, F.struct(*docs.columns).alias("row")).filter(kept).select("row.*")
