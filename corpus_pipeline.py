@@ -1,7 +1,7 @@
 """From raw documents to packed sequences: toxic and poor documents go, one document of every group of near copies stays, the rest is packed.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read back as the next stage's input. All but
-the last return the columns of their input. Rows without an id stay; of rows that repeat an id the first text stays in the third stage.
+the last return the columns of their input. Of rows that repeat an id the first text stays in the third stage, of rows without one those that no other row is linked with.
 """
 
 from __future__ import annotations
@@ -26,12 +26,16 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: of each group of linked documents the one with the smallest id stays."""
-    linked = jaccard.jaccard_components(docs)
-    kept = saved(linked.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    rows = docs.join(kept, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").select(*docs.columns)
-    return rows.union(docs.filter("doc_id is null"))
+    """Operator 1 with five words and 80 %: of each group of linked documents the one with the smallest id stays.
+
+    A row without an id gets a number from its text above all ids, so that it stays only where no row with an id is linked with it.
+    """
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61)))
+    rows = docs.select(number.alias("number"), "text", F.struct(*docs.columns).alias("row"))
+    linked = jaccard.jaccard_components(rows.select("number", "text"), "number", size=5, percent=80)
+    kept = saved(linked.filter("doc_id = component_id").select(F.col("doc_id").alias("number")).distinct(), "kept")
+    first = Window.partitionBy("number").orderBy(F.col("text").asc_nulls_last())
+    return rows.join(kept, "number", "left_semi").withColumn("nth", F.row_number().over(first)).filter("nth = 1").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
