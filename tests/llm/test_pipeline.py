@@ -33,7 +33,7 @@ def _first_of_groups(rows):
     sets = {}
     for i, r in rows.items():
         w = "".join(c.lower() if "A" <= c <= "Z" else c for c in r.text or "").encode().split()
-        sets[i] = {tuple(w[k: k + 3]) for k in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} - {()}
+        sets[i] = {tuple(w[k: k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()}
     group = {i: i for i in sets}
 
     def find(i):
@@ -44,7 +44,30 @@ def _first_of_groups(rows):
     for n, a in enumerate(ids):
         for b in ids[n + 1:]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 90 * len(sets[a] | sets[b]):
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 group[y] = x
     return {i for i in ids if find(i) == i}
+
+
+def test_near_copies_without_ids_and_odd_columns(spark):
+    """Five words and 80 %: a changed word in a text of 60 links; rows without an id are compared like all others."""
+    words = [f"w{i}" for i in range(60)]
+    near, other = list(words), [f"v{i}" for i in range(60)]
+    near[30] = "changed"
+    far = [w if i % 7 else f"x{i}" for i, w in enumerate(words)]
+    rows = [(5, " ".join(words)), (3, " ".join(near)), (None, " ".join(words)), (7, " ".join(far)), (None, " ".join(other)), (None, " ".join(other) + " end"),
+            (None, " ".join(other)), (None, None), (8, None), (9, ""), (9, "again")]
+    docs = spark.createDataFrame([r + ("n", 1, 2.0) for r in rows], "doc_id long, text string, _nth string, row int, score double")
+    got = P.drop_near_copies(spark, docs, FOLDER)
+    assert got.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert sorted(i for i, _ in kept if i is not None) == [3, 7, 8, 9] and (9, "") in kept
+    loose = [t for i, t in kept if i is None]
+    assert len(loose) == 2 and None in loose and {t for t in loose if t} <= {" ".join(other), " ".join(other) + " end"}
+    for _, stage in P.STAGES:
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0
+    blank = spark.createDataFrame([(1, None), (2, None), (None, "")], "doc_id long, text string")
+    for _, stage in P.STAGES[:-1]:
+        blank = stage(spark, blank, FOLDER)
+    assert blank.count() >= 2
