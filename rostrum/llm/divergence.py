@@ -1,8 +1,9 @@
 """Operator 11: divergence of sources within a language, by exact sparse counts.
 
 Spark's CountVectorizer, with the least number of documents and the largest possible vocabulary, is fitted once on terms that carry their
-language, so that its document frequencies are those of each language. Its sparse document vectors are added up per source, entry by entry.
-Pairs of sources are compared over the entries that either of them has: terms that neither has add one constant each.
+language, so that its document frequencies are those of each language. The sparse vectors of the documents over its vocabulary are added up per
+source, entry by entry; as the model's own transform takes far longer than everything else, they are counted by the 64-bit hash of (language,
+term), which is joined with the vocabulary. Pairs of sources are compared over the entries that either of them has: terms that neither has add one constant each.
 
 For sources s and t with probabilities p, and p0 for a term without occurrences, the sum of f over the V terms of the language is
 
@@ -19,24 +20,101 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rostrum.llm.fixed import saved
-from rostrum.operators.rows import unnest
+from rostrum.llm.fixed import bounded_batches, saved
+from rostrum.llm.words import PAD, chain, distinct, hash_spans, ragged, runs, texts_of
 from rostrum.session import scratch_path
 
 SCALE = 1_000_000_000
-BREAKS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MARK = "\x1f"  # no term holds it, so the last one in an entry ends the language
+LETTER = np.zeros(256, bool)  # bytes of [^\x00-\x40\x5B-\x60\x7B-\x7F]
+LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
+MARK = b"\x1f"  # no term holds it, so the last one in an entry ends the language
 STEP = 1 << 21
+HELD = 1 << 21
 
 
-def terms_of(text: Column) -> Column:
-    """Runs of letters A-Z in lower case and of characters beyond ASCII, in their order."""
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), BREAKS), lambda w: w != "")
+def _tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.DictionaryArray]:
+    """Bytes, token spans and each row's first token: runs of letters A-Z in lower case and of bytes beyond ASCII; the rows' languages."""
+    buf, offsets = texts_of(batch, lower=True)
+    starts, ends, ptr = runs(LETTER[buf[: len(buf) - PAD]], offsets)
+    return buf, starts, ends, ptr, batch.column("lang").dictionary_encode()
+
+
+def _marked_hashes(lang: np.ndarray, langs: list[bytes], hashes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of terms together with their language."""
+    own = np.array([xxhash.xxh3_64_intdigest(v, seed=2) for v in langs] or [0], np.uint64)
+    return chain(own[lang], hashes).view(np.int64)
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct terms of each text, each behind its language; only document frequencies are learnt from them."""
+    for batch in batches:
+        buf, starts, ends, ptr, lang = _tokens(batch)
+        h = hash_spans(buf, starts, ends)
+        chosen = [a + distinct(h[a:b])[1] for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist())]
+        size = [len(c) for c in chosen]
+        chosen = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
+        marks = [v.encode() + MARK for v in lang.dictionary.to_pylist()]
+        code = np.repeat(lang.indices.to_numpy(), size)
+        lead = np.array([len(m) for m in marks] or [0], np.int64)[code]
+        length = ends[chosen] - starts[chosen]
+        stops = np.cumsum(lead + length)
+        total = int(stops[-1]) if len(stops) else 0
+        data, own = np.empty(total, np.uint8), np.ones(total, bool)
+        for k, mark in enumerate(marks):
+            at = (stops - lead - length)[code == k]
+            for j, byte in enumerate(mark):
+                data[at + j], own[at + j] = byte, False
+        data[own] = ragged(buf, starts[chosen], length)
+        strings = pa.StringArray.from_buffers(len(stops), pa.py_buffer(np.concatenate([[0], stops]).astype(np.int32)), pa.py_buffer(data))
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), strings)], names=["terms"])
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sparse vectors of the documents, entry by entry, added up per source while they come; at most HELD entries are held."""
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    n = 0
+
+    def flush():
+        for source, parts in held.items():
+            key, count = (np.concatenate(v) for v in zip(*parts))
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            yield pa.RecordBatch.from_arrays([pa.array([source] * len(first), pa.string()), pa.array(key[first]), pa.array(np.add.reduceat(count[order], first))],
+                                             names=["source", "key", "count"])
+        held.clear()
+
+    for batch in batches:
+        buf, starts, ends, ptr, lang = _tokens(batch)
+        row = np.repeat(np.arange(batch.num_rows), np.diff(ptr))
+        key = _marked_hashes(lang.indices.to_numpy()[row], [v.encode() for v in lang.dictionary.to_pylist()], hash_spans(buf, starts, ends))
+        source = batch.column("source").dictionary_encode()
+        code = source.indices.to_numpy()[row]
+        order = np.argsort(code, kind="stable")
+        bounds = np.searchsorted(code[order], np.arange(len(source.dictionary) + 1))
+        for k, name in enumerate(source.dictionary.to_pylist()):
+            own = order[bounds[k]: bounds[k + 1]]
+            if len(own):
+                found = np.unique(key[own], return_counts=True)
+                held.setdefault(name, []).append(found)
+                n += len(found[0])
+        if n > HELD:
+            yield from flush()
+            n = 0
+    yield from flush()
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The key of every entry of the vocabulary."""
+    for batch in batches:
+        buf, offsets = texts_of(batch, "term")
+        lang = batch.column("lang").dictionary_encode()
+        key = _marked_hashes(lang.indices.to_numpy(), [v.encode() for v in lang.dictionary.to_pylist()], hash_spans(buf, offsets[:-1], offsets[1:]))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], names=["idx", "lang", "term", "key"])
 
 
 def probability(count: Column, total: Column, size: Column) -> Column:
@@ -51,18 +129,18 @@ def divergence(p: Column, q: Column) -> Column:
 
 def source_counts(docs: DataFrame, min_documents: int) -> DataFrame:
     """(idx, lang, source, term, count, total): occurrences of every kept term in a source that holds it, and in its language."""
-    spark = docs.sparkSession
-    rows = docs.select("source", F.transform(terms_of(F.col("text")), lambda w: F.concat("lang", F.lit(MARK), w)).alias("terms"))
-    model = CountVectorizer(inputCol="terms", outputCol="v", minDF=min_documents, vocabSize=2**31 - 1).fit(rows)
+    spark = bounded_batches(docs.sparkSession)
+    texts = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
+    model = CountVectorizer(inputCol="terms", outputCol="v", minDF=min_documents, vocabSize=2**31 - 1).fit(texts.mapInArrow(_terms, "terms array<string>"))
     path = scratch_path(spark, "vocabulary")
     model.write().save(path)  # read back as a table: the terms never pass through Python
     entries = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("idx", "entry"))
-    term = F.substring_index("entry", MARK, -1)
+    term = F.substring_index("entry", MARK.decode(), -1)
     entries = entries.select("idx", F.substring(F.col("entry"), F.lit(1), F.length("entry") - F.length(term) - 1).alias("lang"), term.alias("term"))
-    vectors = model.transform(rows).select("source", F.unwrap_udt("v").alias("v"))
-    cells = unnest(vectors, "source", cell=F.arrays_zip("v.indices", "v.values"))
-    sums = saved(cells.groupBy(F.col("cell.indices").alias("idx"), "source").agg(F.sum(F.col("cell.values").cast("long")).alias("count")), "sums")
-    totals = sums.groupBy("idx").agg(F.sum("count").alias("total")).join(entries, "idx")
+    entries = saved(entries.mapInArrow(_keys, "idx int, lang string, term string, key long"), "entries")
+    found = texts.mapInArrow(_sums, "source string, key long, count long").groupBy("key", "source").agg(F.sum("count").alias("count"))
+    sums = saved(found.join(entries.select("key", "idx"), "key").select("idx", "source", "count"), "sums")
+    totals = sums.groupBy("idx").agg(F.sum("count").alias("total")).join(entries.drop("key"), "idx")
     return saved(sums.join(totals, "idx").select("idx", "lang", "source", "term", "count", "total"), "counted")
 
 
