@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rostrum.operators import search as S
+from rostrum.operators import search as S, segments, topk
 from rostrum.operators.project import copy_to_filters
 from rostrum.operators.rows import compute_once, spread, unnest
 from rostrum.plans.registry import query, table
@@ -15,13 +15,16 @@ from rostrum.session import cut_lineage, scratch_path
 STOP = ("the", "of", "de", "and", "a", "la")
 
 
-def indexed(spark, sf) -> DataFrame:
+def records(spark, sf) -> DataFrame:
     """Documents as search records: the opening words serve as topic, the source also as committee."""
-    d = docs(spark, sf).select(
+    return docs(spark, sf).select(
         F.col("doc_id").alias("id"), "text", "speaker", F.col("party").alias("speaker_party"),
         F.regexp_extract("text", r"^[^.\n]*", 0).alias("topic"), F.col("speaker").alias("committee"), "type",
         F.col("term").cast("string").alias("term"), "date", "date_filter")
-    return S.index_documents(spread(copy_to_filters(d), "id"), STOP)
+
+
+def indexed(spark, sf) -> DataFrame:
+    return S.index_documents(spread(copy_to_filters(records(spark, sf)), "id"), STOP)
 
 
 def fold(c: str) -> str:
@@ -244,3 +247,35 @@ def _(spark, sf):
 @query("keyword_field_match", f"with {V_DOC} select doc_id, party from v_doc where lower(party) = 'p2'")
 def _(spark, sf):
     return docs(spark, sf).filter(S.keyword_field_match("p2", "party")).select("doc_id", "party")
+
+
+@query("search_segments", f"{match_sql(Q_ALL)} {HITS_SQL.format(where=WHERE)} select id, round(score, 6) as score from hits")
+def _(spark, sf):
+    """The same search over an index of segments: drafts of all documents first, then their texts in two batches, the second with old drafts."""
+    whole = copy_to_filters(records(spark, sf))
+    first, drafts = F.col("type") == "en", whole.withColumn("text", F.concat(F.lit("draft "), F.reverse("text")))
+    batches = [drafts.withColumn("seq", F.lit(1)), whole.filter(first).withColumn("seq", F.lit(2)),
+               whole.filter(~F.coalesce(first, F.lit(False))).withColumn("seq", F.lit(2)).union(drafts.withColumn("seq", F.lit(0)))]
+    root = scratch_path(spark, "segments")
+    segments.create_index(spark, root)
+    for n, batch in enumerate(batches):
+        segments.add_batch(spark, root, spread(batch, "id"), n, STOP)
+    return segments.search_segments(spark, root, Q_ALL, STOP, **FILTERS).select("id", F.round("score", 6).alias("score"))
+
+
+@query("search_top", f"""{match_sql(Q_ALL)} {HITS_SQL.format(where=WHERE)}
+  select id, round(score, 6) as score, speaker from hits join v_doc on doc_id = id order by score desc, id limit 20""")
+def _(spark, sf):
+    """The first page from blocks of postings with their largest weights."""
+    index, path = indexed(spark, sf), scratch_path(spark, "blocks")
+    topk.write_blocks(index, path)
+    page, _ = topk.search_top(spark, path, Q_ALL, 20, STOP, **FILTERS)
+    return page.select("id", F.round("score", 6).alias("score"), "speaker")
+
+
+@query("complete", f"with {V_DOC} select input, max(weight) as weight from ({SUGGEST_SQL}) t where lower(input) like 'src%' group by 1 order by 2 desc, 1 limit 5")
+def _(spark, sf):
+    """Completion from the stored table of prefixes; a longer prefix reads a range of the sorted suggestions."""
+    path = scratch_path(spark, "completions")
+    topk.write_completions(suggestion_rows(spark, sf), path)
+    return topk.complete(spark, path, "SRC")
