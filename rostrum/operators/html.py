@@ -176,6 +176,10 @@ class _Tree(HTMLParser):
                 self._shut(i)
                 return
 
+    def parse_marked_section(self, i, report=1):
+        """A marked section of any kind is skipped like a comment, as browsers do."""
+        return self.parse_bogus_comment(i)
+
     def handle_data(self, data):
         kids = self.open[-1].kids
         if kids and isinstance(kids[-1], str):
@@ -218,17 +222,29 @@ def _rows(table: Node) -> list[Node]:
 
 
 def parse_pages(pages: DataFrame, parse: Callable[[Node, str], list[dict]], schema: str, keep: Sequence[str] = (),
-                url: str = "url", html: str = "html") -> DataFrame:
-    """Rows of each page: ``parse(tree, url)`` gives dicts with the fields of ``schema``; ``keep`` columns are copied."""
+                url: str = "url", html: str = "html", failed: bool = False) -> DataFrame:
+    """Rows of each page: ``parse(tree, url)`` gives dicts with the fields of ``schema``; ``keep`` columns are copied.
+
+    A page that cannot be parsed has no rows and ends no job; with ``failed`` the result is those pages alone: ``keep``, url and error.
+    """
     kept = pages.select(*[c for c in dict.fromkeys([*keep, url, html])])
     types = dict(kept.dtypes)
-    full = ", ".join([f"`{c}` {types[c]}" for c in keep] + [schema])
-    names = [f.name for f in kept.select(*keep).schema.fields] + [p.strip().split()[0] for p in _fields(schema)]
+    schema = "url string, error string" if failed else schema
+    copied = [c for c in keep if not (failed and c == "url")]
+    full = ", ".join([f"`{c}` {types[c]}" for c in copied] + [schema])
+    names = [f.name for f in kept.select(*copied).schema.fields] + [p.strip().split()[0] for p in _fields(schema)]
+
+    def rows_of(source: str, address: str) -> list[dict]:
+        try:
+            found = parse(tree(source), address or "")
+        except Exception as e:  # whatever a broken page raises
+            return [{"url": address, "error": f"{type(e).__name__}: {e}"[:500]}] if failed else []
+        return [] if failed else found
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            held = b[list(keep)].to_dict("records") if keep else [{}] * len(b)
-            rows = [{**h, **row} for h, u, page in zip(held, b[url], b[html]) if isinstance(page, str) for row in parse(tree(page), u or "")]
+            held = b[copied].to_dict("records") if copied else [{}] * len(b)
+            rows = [{**h, **row} for h, u, page in zip(held, b[url], b[html]) if isinstance(page, str) for row in rows_of(page, u)]
             yield pd.DataFrame(rows, columns=names, dtype="object")
 
     return kept.filter(F.col(html).isNotNull()).mapInPandas(run, full)
@@ -247,12 +263,12 @@ def _fields(schema: str) -> list[str]:
 
 # ---- page kinds
 
-def extract_page_text(pages: DataFrame, term: int, *keep: str) -> DataFrame:
+def extract_page_text(pages: DataFrame, term: int, *keep: str, failed: bool = False) -> DataFrame:
     """Speech text of a page: content blocks from term 36 on, paragraphs joined by spaces before."""
     def parse(root: Node, _: str) -> list[dict]:
         return [{"text": _speech_text(root, term)}]
 
-    return parse_pages(pages, parse, "text string", keep)
+    return parse_pages(pages, parse, "text string", keep, failed=failed)
 
 
 def _speech_text(root: Node, term: int) -> str:
@@ -268,15 +284,15 @@ def _header(root: Node) -> str | None:
     return _strip(head) or None
 
 
-def extract_header(pages: DataFrame, *keep: str) -> DataFrame:
+def extract_header(pages: DataFrame, *keep: str, failed: bool = False) -> DataFrame:
     """Sitting header: the page's first preformatted text, NULL without one."""
-    return parse_pages(pages, lambda root, _: [{"header": _header(root)}], "header string", keep)
+    return parse_pages(pages, lambda root, _: [{"header": _header(root)}], "header string", keep, failed=failed)
 
 
 SITTING_ROW = ", ".join(f"{f} string" for f in SITTING_FIELDS if f != "header")
 
 
-def parse_sitting_list(pages: DataFrame, term: int, *keep: str) -> DataFrame:
+def parse_sitting_list(pages: DataFrame, term: int, *keep: str, failed: bool = False) -> DataFrame:
     """Rows of a term's sitting table; rows without a linked date are skipped.
 
     From term 37 on the table has a video column, used from term 38 on. Terms 34 and 35 take the contents address
@@ -307,14 +323,14 @@ def parse_sitting_list(pages: DataFrame, term: int, *keep: str) -> DataFrame:
             out.append(rec)
         return out
 
-    return parse_pages(pages, parse, SITTING_ROW, keep)
+    return parse_pages(pages, parse, SITTING_ROW, keep, failed=failed)
 
 
 TOC_ROW = ("number string, type string, committee string, started_at string, topics array<string>, "
            "bill_title array<string>, bill_url array<string>")
 
 
-def parse_sitting_toc(pages: DataFrame, term: str = "term", nr: str = "sitting_nr", uid: str = "sitting_uid") -> DataFrame:
+def parse_sitting_toc(pages: DataFrame, term: str = "term", nr: str = "sitting_nr", uid: str = "sitting_uid", failed: bool = False) -> DataFrame:
     """Speeches of a sitting's contents page (term 36 on); number ranges give one row each, rows without link none."""
     def parse(root: Node, url: str) -> list[dict]:
         out = []
@@ -334,6 +350,8 @@ def parse_sitting_toc(pages: DataFrame, term: str = "term", nr: str = "sitting_n
                             "topics": [t for th in heads for t in th.own()], "bill_title": titles, "bill_url": urls})
         return out
 
+    if failed:
+        return parse_pages(pages, parse, TOC_ROW, (term, nr, uid), failed=True)
     rows = parse_pages(pages, parse, TOC_ROW, (term, nr, uid))
     rows = unnest(rows, *rows.columns, idx=expand_id_range("number"))
     i = F.col("idx").cast("string")
@@ -343,7 +361,7 @@ def parse_sitting_toc(pages: DataFrame, term: str = "term", nr: str = "sitting_n
         F.when(F.size("topics") > 0, topic_or_pair("topics", F.size("bill_title") > 0)).alias("topic"), "bill_title", "bill_url")
 
 
-def parse_toc_list_34(pages: DataFrame, *keep: str) -> DataFrame:
+def parse_toc_list_34(pages: DataFrame, *keep: str, failed: bool = False) -> DataFrame:
     """Linked list items of a contents page: position among all items, address, speaker behind the link."""
     def parse(root: Node, url: str) -> list[dict]:
         out = []
@@ -353,10 +371,10 @@ def parse_toc_list_34(pages: DataFrame, *keep: str) -> DataFrame:
                 out.append({"idx": i, "url": _join(url, link.attrs["href"]), "speaker": _strip(li.text_after(link))})
         return out
 
-    return parse_pages(pages.withColumnRenamed("url", "page_url"), parse, "idx int, url string, speaker string", keep, url="page_url")
+    return parse_pages(pages.withColumnRenamed("url", "page_url"), parse, "idx int, url string, speaker string", keep, url="page_url", failed=failed)
 
 
-def parse_toc_list_35(pages: DataFrame, *keep: str) -> DataFrame:
+def parse_toc_list_35(pages: DataFrame, *keep: str, failed: bool = False) -> DataFrame:
     """Linked list items with speaker, duration and the topic announced for the following speeches."""
     def parse(root: Node, url: str) -> list[dict]:
         out = []
@@ -383,10 +401,10 @@ def parse_toc_list_35(pages: DataFrame, *keep: str) -> DataFrame:
 
     return parse_pages(pages.withColumnRenamed("url", "page_url"), parse,
                        "idx int, url string, speaker string, speaker_url string, duration string, next_topic string, next_topic_url string",
-                       keep, url="page_url")
+                       keep, url="page_url", failed=failed)
 
 
-def parse_speech_page(pages: DataFrame, term: int, *keep: str) -> DataFrame:
+def parse_speech_page(pages: DataFrame, term: int, *keep: str, failed: bool = False) -> DataFrame:
     """A speech page: speaker, party, links, duration, text, neighbours; a header for terms 34 and 35."""
     def table_cell(root: Node, n: int) -> Node | None:
         for div in (d for d in root.walk("div") if d.attrs.get("id") == SPEECH_DIV):
@@ -421,13 +439,13 @@ def parse_speech_page(pages: DataFrame, term: int, *keep: str) -> DataFrame:
         return [rec]
 
     return parse_pages(pages, parse, "speaker string, speaker_party string, speaker_url string, duration string, video_url string, "
-                       "text string, prev_speech_url string, next_speech_url string, header string", keep)
+                       "text string, prev_speech_url string, next_speech_url string, header string", keep, failed=failed)
 
 
-def parse_bill_page(pages: DataFrame, *keep: str) -> DataFrame:
+def parse_bill_page(pages: DataFrame, *keep: str, failed: bool = False) -> DataFrame:
     """Title and description of a bill."""
     def parse(root: Node, _: str) -> list[dict]:
         return [{"bill_title": _strip(next((h.first() for h in root.walk("h2") if h.first()), None)),
                  "bill_details": " ".join(t for p in root.walk("p") for t in p.own()).strip()}]
 
-    return parse_pages(pages, parse, "bill_title string, bill_details string", keep)
+    return parse_pages(pages, parse, "bill_title string, bill_details string", keep, failed=failed)

@@ -71,3 +71,19 @@ def test_scratch_folder_must_be_shared(monkeypatch):
         session.shared_root(Session())
     Context.getCheckpointDir = lambda self: "hdfs:///shared"
     assert session.shared_root(Session()) == "hdfs:///shared"
+
+
+def test_broken_pages_are_rejects(spark, monkeypatch):
+    """Marked sections of any kind are skipped; whatever a page raises, the others keep their rows and it becomes a reject."""
+    assert "".join(H.tree("<p>a<![bogus foo]]>b</p>").texts()) == "ab" and "".join(H.tree("<p>a</p><![CDATA[x]]>b").texts()) == "ab"
+    bad = ["<p>a<![bogus foo]]>b</p>", "<![ [", "<![", "<!", "<!-", "</", "<a href='", "<p>" * 5000]
+    rows = [(i, f"http://x/{i}", h) for i, h in enumerate([*bad, None, ""])] + [(50, "http://[", "<ul><li><a href='y'>x</a> [1:00 perc]</li></ul><a href='z'>Következő</a>")]
+    pages = spark.createDataFrame([(*r, 40, "7", "40-7") for r in rows], "page_id int, url string, html string, term int, sitting_nr string, sitting_uid string")
+    parsers = [lambda p, **k: H.extract_page_text(p, 34, "page_id", **k), lambda p, **k: H.extract_header(p, "page_id", **k), lambda p, **k: H.parse_sitting_list(p, 40, "page_id", **k),
+               lambda p, **k: H.parse_sitting_toc(p, **k), lambda p, **k: H.parse_toc_list_34(p, "page_id", **k), lambda p, **k: H.parse_toc_list_35(p, "page_id", **k),
+               lambda p, **k: H.parse_speech_page(p, 40, "page_id", **k), lambda p, **k: H.parse_bill_page(p, "page_id", **k)]
+    for parse in parsers:
+        assert parse(pages).count() >= 0 and parse(pages, failed=True).collect() == []
+    rejects = H.parse_speech_page(pages, 35, "page_id", failed=True).collect()
+    assert [(r.page_id, r.url, r.error.partition(":")[0]) for r in rejects] == [(50, "http://[", "ValueError")]
+    assert 50 not in {r.page_id for r in H.parse_speech_page(pages, 35, "page_id").collect()}
