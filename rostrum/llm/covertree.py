@@ -15,6 +15,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from rostrum.llm.components import components
@@ -22,6 +23,7 @@ from rostrum.llm.fixed import bounded_batches, saved
 from rostrum.llm.words import groups
 
 SLACK = 1e-9
+POINTS = 1 << 21  # so many point pairs are compared at once rather than by further levels
 
 
 def unit_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -102,40 +104,105 @@ class Tree:
         self.nodes.append(np.arange(len(points)))
         self.radius.append(np.zeros(len(points)))
         self.count.append(np.ones(len(points), np.int64))
+        self.owners = owners
+        self.under = [np.argsort(o, kind="stable") for o in owners]  # the points by their node of a level
+        self.start = [np.cumsum(c) - c for c in self.count]
         for k, owner in enumerate(owners):
             below = owner[self.nodes[k + 1]]
             order = np.argsort(below, kind="stable")
             cut = np.searchsorted(below[order], self.nodes[k])
-            self.children.append(np.split(order, cut[1:]))
+            self.children.append((order, np.append(cut, len(order))))
 
+    def child(self, k: int, node: int) -> np.ndarray:
+        """The nodes of the next level under one node."""
+        order, cut = self.children[k]
+        return order[cut[node]: cut[node + 1]]
 
-def pairs(a: Tree, b: Tree, threshold: float):
-    """Index pairs (of a's and b's points) with a cosine of at least ``threshold``, in pieces."""
+    def below(self, k: int, nodes: np.ndarray) -> np.ndarray:
+        """The points under some nodes of a level."""
+        return np.concatenate([self.under[k][self.start[k][v]: self.start[k][v] + self.count[k][v]] for v in nodes])
+
+
+def _near(g: np.ndarray, own: np.ndarray, radius: np.ndarray, loss: float) -> tuple[np.ndarray, np.ndarray]:
+    """Node pairs that may hold a pair, by their cosines and radii, which ascend; nodes of radius 0 share one bound per row."""
+    own, points = own.astype(np.float32)[:, None], int(np.searchsorted(radius, 0, side="right"))
+    found = []
+    for part, first, more in ((g[:, :points], 0, None), (g[:, points:], points, radius[points:])):
+        if part.size:
+            most = own if more is None else own + more.astype(np.float32)[None, :]
+            at = np.flatnonzero(part >= np.float32(1 - loss) - most * most / 2)
+            found.append((at // part.shape[1], at % part.shape[1] + first))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _close(a: Tree, b: Tree, p: np.ndarray, q: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of some point pairs whose cosine in double precision reaches the threshold."""
+    sure = np.zeros(len(p), bool)
+    for c in range(0, len(p), 65536):
+        sure[c: c + 65536] = np.einsum("ij,ij->i", a.points[p[c: c + 65536]], b.points[q[c: c + 65536]]) >= threshold
+    return p[sure], q[sure]
+
+
+def _cross(a: Tree, b: Tree, k: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of points under some pairs of nodes of level k."""
+    n, m = a.count[k][x], b.count[k][y]
+    size = n * m
+    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    x, y, m = np.repeat(a.start[k][x], size), np.repeat(b.start[k][y], size), np.repeat(m, size)
+    return a.under[k][x + at // m], b.under[k][y + at % m]
+
+
+def pairs(a: Tree, b: Tree, threshold: float, chunk: int = 512):
+    """Index pairs (of a's and b's points) with a cosine of at least ``threshold``, in pieces of at most ``chunk`` points of a.
+
+    Node pairs are first compared in single precision, with its rounding error added to the bound. What is left of a chunk goes down to its points
+    at once if these are not many more than the nodes compared so far; else the nodes go down a level, together where most of them meet.
+    """
     reach = math.sqrt(2 - 2 * threshold) + SLACK
+    loss = (a.points.shape[1] + 8) * 2.0**-22
+    x32, y32 = (t.points.astype(np.float32) for t in (a, b))
     todo = [(np.arange(len(a.nodes[0])), np.arange(len(b.nodes[0])), 0)]
     last = len(a.nodes) - 1
     while todo:
         x, y, k = todo.pop()
-        for s in range(0, len(x), 512):
-            i = x[s: s + 512]
-            g = a.points[a.nodes[k][i]] @ b.points[b.nodes[k][y]].T
+        y = y[np.argsort(b.radius[k][y], kind="stable")]
+        others, radius = y32[b.nodes[k][y]].T, b.radius[k][y]
+        for s in range(0, len(x), chunk):
+            i = x[s: s + chunk]
+            g = x32[a.nodes[k][i]] @ others
             if k == last:
-                hit = np.nonzero(g >= threshold)
-                if len(hit[0]):
-                    yield i[hit[0]], y[hit[1]]
+                hit = np.flatnonzero(g >= np.float32(threshold - loss))
+                yield _close(a, b, i[hit // len(y)], y[hit % len(y)], threshold)
+                continue
+            p, q = _near(g, a.radius[k][i] + reach, radius, loss)
+            p, q = i[p], y[q]
+            work = a.count[k][p] * b.count[k][q]
+            light = work <= 64
+            if 32 * int(work[light].sum()) <= g.size:  # few point pairs: taken at once
+                yield _close(a, b, *_cross(a, b, k, p[light], q[light]), threshold)
+                p, q = p[~light], q[~light]
+            if not len(p):
+                continue
+            some, met = np.unique(p), np.unique(q)
+            if int(a.count[k][some].sum()) * int(b.count[k][met].sum()) <= 8 * g.size:
+                todo.append((a.below(k, some), b.below(k, met), last))
                 continue
-            most = a.radius[k][i][:, None] + b.radius[k][y][None, :] + reach
-            near = np.nonzero(g >= 1 - most * most / 2 - SLACK)
-            lone = (a.count[k][i][near[0]] == 1) & (b.count[k][y][near[1]] == 1)  # two nodes of one vector each need no deeper level
-            hit = np.flatnonzero(lone & (g[near] >= threshold))
-            if len(hit):
-                yield a.nodes[k][i[near[0][hit]]], b.nodes[k][y[near[1][hit]]]
-            near = near[0][~lone], near[1][~lone]
-            # one step down per node of a with all its partners
-            cut = np.flatnonzero(np.diff(near[0], prepend=-1))
-            for p, q in zip(cut, [*cut[1:], len(near[0])]):
-                partners = y[near[1][p:q]]
-                todo.append((a.children[k][i[near[0][p]]], np.concatenate([b.children[k][j] for j in partners]), k + 1))
+            wide = a.radius[k][p] > 0  # such nodes meet many others, points mostly such nodes
+            for u, v in ((p[wide], q[wide]), (p[~wide], q[~wide])):
+                some, met = np.unique(u), np.unique(v)
+                dense = 2 * len(u) > len(some) * len(met)
+                for nodes, partners in [(some, met)] if dense and len(u) else [(np.array([j]), m) for j, m in _grouped(u, v)]:
+                    if int(a.count[k][nodes].sum()) * int(b.count[k][partners].sum()) <= max(POINTS, 4 * len(nodes) * len(partners)):
+                        todo.append((a.below(k, nodes), b.below(k, partners), last))
+                    else:
+                        todo.append((np.concatenate([a.child(k, j) for j in nodes]), np.concatenate([b.child(k, j) for j in partners]), k + 1))
+
+
+def _grouped(key: np.ndarray, other: np.ndarray):
+    """Each distinct key with its partners."""
+    order = np.argsort(key, kind="stable")
+    names, first = np.unique(key[order], return_index=True)
+    yield from zip(names, np.split(other[order], first[1:]))
 
 
 def _centres(classes: DataFrame, cells: int, sample: int) -> np.ndarray:
@@ -153,7 +220,7 @@ def _centres(classes: DataFrame, cells: int, sample: int) -> np.ndarray:
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.95, block: int = 8192,
-                    max_cells: int = 256, sample: int = 2048, radii: tuple[float, ...] = (1.0, 0.5, 0.25, 0.125)) -> DataFrame:
+                    sample: int = 2048, radii: tuple[float, ...] = (1.0, 0.5, 0.25, 0.125)) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row; vectors of one length are compared whatever their labels.
 
     Null, empty, zero or non-finite vectors and null components link with nothing. Equal vectors link with each other and share their other
@@ -165,21 +232,24 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     classes = units.filter("unit is not null").groupBy("unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"))
     classes = saved(classes.withColumn("class", F.monotonically_increasing_id()), "vectors")
     total = classes.count()
-    centres = _centres(classes, max(1, min(max_cells, total // block)), sample)
+    cells = max(1, total // block)
+    centres = _centres(classes, cells, max(sample, 4 * cells))
     shared = spark.sparkContext.broadcast(centres)
 
     def cell(batches):
         for batch in batches:
-            where, far = [], []
-            for u in batch.column("unit").to_pylist():
-                x = np.frombuffer(u, np.float64)
-                g = shared.value @ x if len(x) == shared.value.shape[1] else np.full(1, -1.0)
-                where.append(int(np.argmax(g)))
-                far.append(math.sqrt(max(0.0, 2 - 2 * float(g.max()))))
+            units = batch.column("unit").to_pylist()
+            where, far = np.zeros(len(units), np.int32), np.full(len(units), 2.0)  # vectors of another length lie in the first cell
+            own = [i for i, u in enumerate(units) if len(u) == 8 * shared.value.shape[1]]
+            for s in range(0, len(own), 1024):
+                part = own[s: s + 1024]
+                g = np.stack([np.frombuffer(units[i], np.float64) for i in part]) @ shared.value.T
+                where[part] = np.argmax(g, axis=1)
+                far[part] = np.sqrt(np.maximum(0.0, 2 - 2 * g.max(axis=1)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(where, pa.int32()), pa.array(far)], names=[*batch.schema.names, "cell", "far"])
 
     placed = saved(classes.select("class", "unit", "weight").mapInArrow(cell, "class long, unit binary, weight long, cell int, far double"), "placed")
-    # At most max_cells cells and as many lengths of vectors as the table has: their sizes and radii, and which cells may hold a pair.
+    # One row per cell, that is per block of vectors: sizes and radii, and which cells may hold a pair.
     stats = {r["cell"]: (r["n"], r["far"]) for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
     reach = math.sqrt(2 - 2 * threshold) + SLACK
     blocks = {c: -(-n // block) for c, (n, _) in stats.items()}
@@ -217,13 +287,15 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         (mine <= theirs).alias("first"), (mine == theirs).alias("same"), "class", "unit", "weight", "over")
 
     def kernel(batches):
-        for g in groups(batches, "tile"):
-            for size in {len(u) for u in g["unit"]}:
-                own = [i for i, u in enumerate(g["unit"]) if len(u) == size]
-                left = [i for i in own if g["first"][i]]
-                right = left if g["same"][own[0]] else [i for i in own if not g["first"][i]]
-                if left and right:
-                    yield from _tile(*[_side(g, side) for side in (left, right)], right is left, threshold)
+        for tile in _runs(batches, "tile"):
+            sizes = pc.binary_length(tile.column("unit"))
+            for size in pc.unique(sizes):
+                rows = tile.filter(pc.equal(sizes, size))
+                left = rows.filter(rows.column("first"))
+                right = left if rows.column("same")[0].as_py() else rows.filter(pc.invert(rows.column("first")))
+                if left.num_rows and right.num_rows:
+                    a = _side(left)
+                    yield from _tile(a, a if right is left else _side(right), right is left, threshold)
 
     links = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(kernel, "class long, n long, mate long")
     links = saved(links, "mates")
@@ -240,13 +312,31 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                         F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
-def _side(g: dict[str, list], rows: list[int]) -> tuple[Tree, np.ndarray, np.ndarray]:
-    """Tree, classes and weights of one block from its rows."""
-    name = np.array([g["class"][i] for i in rows])
+def _runs(batches, key: str):
+    """Tables of the rows with one key, from batches sorted by it; one table is held at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        names = batch.column(key).to_pylist()
+        cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if held and held[0].column(key)[0].as_py() != names[a]:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _side(rows: pa.Table) -> tuple[Tree, np.ndarray, np.ndarray]:
+    """Tree, classes and weights of one block from its rows, whose vectors have one length."""
+    name, weight = rows.column("class").to_numpy(), rows.column("weight").to_numpy()
+    points = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(len(name), -1)
+    over = pc.list_flatten(rows.column("over")).to_numpy().reshape(len(name), -1)
     order = np.argsort(name)
-    over = np.array([g["over"][i] for i in rows])
     owners = [order[np.searchsorted(name, over[:, k], sorter=order)] for k in range(over.shape[1])]
-    return Tree(np.stack([np.frombuffer(g["unit"][i], np.float64) for i in rows]), owners), name, np.array([g["weight"][i] for i in rows])
+    return Tree(points, owners), name, weight
 
 
 def _tile(left, right, same: bool, threshold: float):
@@ -260,23 +350,17 @@ def _tile(left, right, same: bool, threshold: float):
     count, group = np.zeros(n, np.int64), np.arange(n)
     weight = wx if same else np.concatenate([wx, wy])
     name = cx if same else np.concatenate([cx, cy])
-    found = []
     for i, j in pairs(a, b, threshold):
         j = j + shift
         if same:
             i, j = i[i < j], j[i < j]
-        np.add.at(count, i, weight[j])
-        np.add.at(count, j, weight[i])
-        found.append((i, j))
-    changed = bool(found)
-    while changed:  # the smallest index of the group spreads along the links
-        before = group.copy()
-        for i, j in found:
-            low = np.minimum(group[i], group[j])
-            np.minimum.at(group, i, low)
-            np.minimum.at(group, j, low)
-        group = group[group]
-        changed = not np.array_equal(before, group)
+        count += np.bincount(i, weight[j], n).astype(np.int64) + np.bincount(j, weight[i], n).astype(np.int64)
+        while len(i):  # the smallest index of the group becomes its root; no pair is kept
+            p, q = group[i], group[j]
+            i, j = i[p != q], j[p != q]
+            np.minimum.at(group, np.maximum(p, q), np.minimum(p, q))
+            while not np.array_equal(root := group[group], group):
+                group = root
     some = np.flatnonzero(count)
     if len(some):
         mate = [int(name[group[k]]) if group[k] != k else None for k in some]

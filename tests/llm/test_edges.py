@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rostrum.llm import covertree, importance, jaccard, licenses, packing, preference, quality_rules, toxicity
 from rostrum.llm.components import components
@@ -149,11 +150,16 @@ def test_sampling(spark, odd):
     assert kth_largest(df, "v", len(values) + 1) is None
     docs = spark.createDataFrame([(i, ("good clear words here " if i % 4 else "|| %% !! ") * 30) for i in range(200)] + [(None, None), (300, "")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(bool(i % 4))) for i in range(200)], "doc_id long, quality int")
-    rows = importance.importance_sample(docs, labels, share=0.7, margin=0).collect()
+    rows = importance.importance_sample(docs, labels, share=0.7).collect()
     assert len(rows) == 202 and sum(r.kept for r in rows) == math.ceil(0.7 * 202)
     assert all(r.doc_id % 4 for r in rows if r.kept and r.doc_id is not None and r.doc_id < 200)
-    whole = importance.importance_sample(docs.withColumnRenamed("doc_id", "doc_id"), labels, share=0.7, margin=0, whole_rows=True)
-    assert whole.columns == docs.columns and whole.count() == math.ceil(0.7 * 202)
+    clash = docs.select("*", F.lit(1).alias("key"), F.lit("x").alias("log_weight"), F.lit(2).alias("row"))
+    whole = importance.importance_sample(clash, labels, share=0.7, whole_rows=True)
+    assert whole.columns == clash.columns and whole.count() == math.ceil(0.7 * 202)
+    clean, poor = docs.filter("doc_id % 4 <> 0"), docs.filter("doc_id % 4 = 0 and doc_id < 200")
+    assert all(r.kept for r in importance.importance_sample(clean, labels).collect())
+    few = clean.limit(30).union(poor)
+    assert {r.doc_id for r in importance.importance_sample(few, labels).collect() if r.kept} == {r.doc_id for r in clean.limit(30).collect()}
     nothing = importance.importance_sample(odd.limit(0), labels)
     assert nothing.count() == 0
 
@@ -227,3 +233,31 @@ def test_wrapped_and_long_license_notices():
         assert [n[0] for n in scanner.scan(("license " * lead + "\n".join(texts)).encode())[1]] == names
     # words around a confirmed notice do not make another one
     assert [n[0] for n in scanner.scan(b"all Released under the MIT License. rights reserved")[1]] == ["MIT"]
+
+
+def test_block_of_near_copies():
+    """One block of 8,192 near copies: every pair is a link, none is kept in memory."""
+    import tracemalloc
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=16) + 0.01 * rng.normal(size=(8192, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    owners = covertree.levels(x, [1.0, 0.5, 0.25, 0.125])
+    side = covertree.Tree(x, owners), np.arange(8192), np.ones(8192, np.int64)
+    tracemalloc.start()
+    out = list(covertree._tile(side, side, True, 0.95))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+    assert set(out[0].column("n").to_pylist()) == {8191} and set(out[0].column("mate").to_pylist()) == {None, 0}
+
+
+def test_dual_traversal_by_all_pairs():
+    rng = np.random.default_rng(10)
+    for spread in (0.0, 0.05, 0.3, 5.0):
+        centres = rng.normal(size=(30, 8))
+        x = centres[rng.integers(0, 30, 900)] + spread * rng.normal(size=(900, 8))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        a, b = (covertree.Tree(p, covertree.levels(p, [1.0, 0.5, 0.25, 0.125])) for p in (x[:500], x[500:]))
+        got = {(int(i), int(j)) for p, q in covertree.pairs(a, b, 0.95, chunk=64) for i, j in zip(p, q)}
+        g = x[:500] @ x[500:].T
+        assert got >= {(int(i), int(j)) for i, j in zip(*np.nonzero(g >= 0.95 + 1e-12))} and got <= {(int(i), int(j)) for i, j in zip(*np.nonzero(g >= 0.95 - 1e-12))}
