@@ -86,17 +86,19 @@ def importance_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id"
                       loss: float = 0.005, rows: int = 20_000, buckets: int = 1 << 16, seed: int = 11, whole_rows: bool = False) -> DataFrame:
     """(doc_id, log_weight, key, kept) per row; ``kept`` marks the k rows with the largest key = log_weight + Gumbel noise.
 
-    The target model learns from at most ``rows`` documents with label 1, all other counts cover all rows. k is the number of rows that weigh at
-    least as much as all but a part ``loss`` of those documents, or ``share`` of the rows where it is given. Noise depends on the id alone; rows
+    At most ``rows`` documents with label 1 are used: four of five teach the target model, all other counts cover all rows. k is the number of rows
+    that weigh at least as much as all but a part ``loss`` of the fifth ones, or ``share`` of the rows where it is given. Noise depends on the id alone; rows
     with equal keys at the threshold are all kept. A null or empty text has weight 0. Without a labelled document in the input every row is kept.
     With ``whole_rows`` the result is the kept rows of ``docs`` themselves, weighed once more rather than shuffled to a join.
     """
     spark = bounded_batches(docs.sparkSession)
     target = labelled_ids(labels, doc_id, label, 1, rows)
-    ratio = ratios(binary_text(docs, doc_id, text), target, buckets)
+    # The threshold is taken from target documents that the model has not seen, as those it has learnt from weigh more than their like.
+    learnt, unseen = ([i for k, i in enumerate(target) if k % 5], target[::5]) if len(target) > 9 else (target, target)
+    ratio = ratios(binary_text(docs, doc_id, text), learnt, buckets)
     weighed = saved(weigh(docs, ratio, doc_id, text, seed), "weights")
     if share is None:
-        chosen = weighed.join(F.broadcast(spark.createDataFrame([(i,) for i in target], "doc_id long")), "doc_id")  # at most ``rows`` ids
+        chosen = weighed.join(F.broadcast(spark.createDataFrame([(i,) for i in unseen], "doc_id long")), "doc_id")  # at most ``rows`` ids
         least = kth_largest(chosen, "log_weight", math.ceil((1 - loss) * chosen.count()))
         k = weighed.filter(F.col("log_weight") >= F.lit(-math.inf if least is None else least)).count()
     else:
