@@ -116,6 +116,48 @@ def _after(levels, h, s, w):
     return sum(n * n for n in new.values())
 
 
+@pytest.mark.parametrize("sizes,max_open", [((1, 32), 4096), ((17, 32), 4096), ((1, 80), 3), ((17, 32), 5)])
+def test_every_placement_follows_the_rule(sizes, max_open):
+    """Each step, those of the end and of the memory bound included, reaches the smallest sum of squares among all its options."""
+    w, cuts, cut_of = 32, [], packing.Packer._put
+
+    class Watched(packing.Packer):
+        def counts(self):
+            assert [len(x) for x in self.open[1:]] == self.level[1:w].tolist()
+            return {h: len(x) for h, x in enumerate(self.open) if x}
+
+        def place_cut(self, piece):
+            self.left = len(piece[2])
+            super().place_cut(piece)
+            self.left = 0
+
+        def _put(self, h, piece):
+            before, s = self.counts(), self.left or len(piece[2])
+            fits = [_after(before, x, min(s, w - x), w) for x in before if self.left or x + s <= w]
+            cut_of(self, h, piece)
+            assert sum(n * n for n in self.counts().values()) == min(fits)
+            if self.left:
+                self.left -= len(piece[2])
+                cuts.append(self.left)
+
+    rng = np.random.default_rng(11)
+    packer, want = Watched(w, max_open), {}
+    packer.left = 0
+    for i in range(500):
+        ids = rng.integers(0, 1000, rng.integers(*sizes)).astype(np.int32)
+        want[i] = ids.tolist()
+        packer.add(i, ids)
+        assert packer.n_open <= max_open
+    packer.finish()
+    assert cuts
+    assert sum(f < w for f in check_pieces(rows_of(packer), want, w)) <= 1
+
+
+def rows_of(packer):
+    return [{"doc_id": p[0], "start": p[1], "length": len(p[2]), "ids_crc32": zlib.crc32(p[2].astype("<u4").tobytes()), "doc_tokens": p[3],
+             "sequence_id": s, "offset": o} for p, s, o in packer.take()]
+
+
 def test_memory_bound_keeps_every_piece():
     packer, want = packing.Packer(16, max_open=2), {}
     rng = np.random.default_rng(5)
@@ -123,7 +165,16 @@ def test_memory_bound_keeps_every_piece():
         ids = rng.integers(0, 1000, rng.integers(1, 40)).astype(np.int32)
         want[i] = ids.tolist()
         packer.add(i, ids)
-    packer.flush(True)
-    rows = [{"doc_id": p[0], "start": p[1], "length": len(p[2]), "ids_crc32": zlib.crc32(p[2].astype("<u4").tobytes()), "doc_tokens": p[3],
-             "sequence_id": s, "offset": o} for p, s, o in packer.take()]
-    assert sum(f < 16 for f in check_pieces(rows, want, 16)) <= 1
+    packer.finish()
+    assert sum(f < 16 for f in check_pieces(rows_of(packer), want, 16)) <= 1
+
+
+def test_packing_of_odd_rows(spark):
+    """Repeated ids are packed each, null texts have the end alone, columns of other names do no harm."""
+    docs = spark.createDataFrame([(1, "a b", 7, 9), (1, "a b", 7, 9), (2, None, 7, 9), (None, "x " * 9000, 7, 9)], "doc_id long, text string, offset long, length long")
+    rows = packing.pack(docs.coalesce(1), WORD).collect()
+    ids = {t: len(library(WORD, [t])[0]) + 1 for t in ("a b", "x " * 9000)}
+    assert sorted((r.doc_id, r.start, r.length) for r in rows if r.doc_id == 1 and r.start == 0)[0][2] <= ids["a b"]
+    assert sum(r.length for r in rows if r.doc_id == 1) == 2 * ids["a b"] and sum(r.length for r in rows if r.doc_id == 2) == 1
+    assert sum(r.length for r in rows if r.doc_id is None) == ids["x " * 9000]
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
