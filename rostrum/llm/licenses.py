@@ -1,10 +1,10 @@
 """Operator 10: license notices by conditional compression.
 
-Stretches of text around license words are candidate blocks; they run over line ends, so that a wrapped notice is in one block. A place that
-shares a run of words with a template, as every place that can be confirmed does, is aligned with it in a window of the template's size: no
-differing word makes an exact notice, a few that do not change the meaning a variant. The place is compressed alone and with the template as a raw
-zstandard dictionary; among templates that fit equally well the one that saves the larger part of the bytes is taken. Words that belong to a
-confirmed notice are not matched again.
+Stretches of text around license words are candidate blocks; they run over line ends, so that a wrapped notice is in one block. Every block is
+compressed alone and with each template as a raw zstandard dictionary, and the templates are ranked by the bytes that they save. The winners are
+confirmed in that order by the exact differences in wording: a place without a differing word is an exact notice, a few that do not change the meaning make
+a variant, and any number, name or negation that differs rejects it. The words of confirmed notices leave the block, which is then
+compressed anew, until no template is confirmed any more.
 """
 
 from __future__ import annotations
@@ -28,19 +28,34 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC0-1.0": "Released under CC0 1.0, dedicated to the public domain.",
+    "AGPL-3.0": "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                "or (at your option) any later version",
+    "Apache-2.0-header": "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+                         "http://www.apache.org/licenses/LICENSE-2.0",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-2.0-header": "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                      "or (at your option) any later version",
+    "GPL-3.0-header": "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                      "or (at your option) any later version",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+           "provided that the above copyright notice and this permission notice appear in all copies",
+    "LGPL-2.1": "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, "
+                "or (at your option) any later version",
+    "LGPL-3.0": "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                "or (at your option) any later version",
     "MIT": "Released under the MIT License.",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, "
                 "to deal in the Software without restriction",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "reserved": "All rights reserved.",
 }
-RESTRICTED = frozenset({"CC-BY-NC-4.0", "GPL-2.0", "GPL-3.0", "reserved"})
+RESTRICTED = frozenset({"AGPL-3.0", "CC-BY-NC-4.0", "GPL-2.0", "GPL-2.0-header", "GPL-3.0", "GPL-3.0-header", "LGPL-2.1", "LGPL-3.0", "reserved"})
 # Words of a trigger may stand on two lines, with marks of a comment between them.
-TRIGGER = re.compile(rb"licen[cs]|copyright|rights reserved|permission is hereby|redistribution and use|public domain|creative commons|released under"
+TRIGGER = re.compile(rb"licen[cs]|copyright|rights reserved|permission is hereby|redistribution and use|public domain|hereby granted|creative commons|released under"
                      .replace(b" ", rb"[^a-z0-9\x80-\xff]{1,40}"))
 WORD = re.compile(rb"[a-z0-9]+(?:[.-][a-z0-9]+)*|[\x80-\xff]+")
-DECISIVE = frozenset({b"not", b"no", b"non", b"without", b"only", b"except", b"public", b"general", b"lesser", b"mit", b"apache", b"gnu", b"cc", b"bsd", b"all"})
+DECISIVE = frozenset({b"not", b"no", b"non", b"without", b"only", b"except", b"public", b"general", b"lesser", b"affero", b"mozilla", b"mit", b"apache", b"gnu", b"cc", b"bsd", b"all"})
 
 
 def words(text: bytes) -> list[bytes]:
@@ -100,12 +115,22 @@ class Scanner:
             b = max(a, b - 64) + cut.start() if cut else b
         return text[a:b]
 
-    def saving(self, name: str, block: list[bytes]) -> float:
-        """Part of the compressed bytes that a template saves; 0 below ``least_saving`` bytes."""
-        data = b" ".join(block)
+    def saved(self, name: str, data: bytes, alone: int) -> int:
+        """Bytes that a template saves of ``alone`` compressed ones."""
+        return alone - len(self.given[name].compress(data))
+
+    def ranked(self, block: list[bytes]) -> list[tuple[int, str]]:
+        """(saved bytes, template), the largest reduction first. All are ranked, as a short notice may save little in a long block that repeats it."""
+        data = b" ".join(w for w in block if w)
+        alone = len(self.plain.compress(data))
+        return sorted(((self.saved(n, data, alone), n) for n in self.names), key=lambda r: (-r[0], r[1]))
+
+    def saving(self, name: str, place: list[bytes]) -> int:
+        """Thousandths of the compressed bytes of a place that its template saves; 0 below ``least_saving`` bytes."""
+        data = b" ".join(place)
         alone = len(self.plain.compress(data))
-        saved = alone - len(self.given[name].compress(data))
-        return saved / alone if saved >= self.least_saving else 0.0
+        saved = self.saved(name, data, alone)
+        return round(1000 * saved / alone) if saved >= self.least_saving else 0
 
     def judge(self, text: bytes) -> tuple[tuple[str, int, int], ...]:
         """(template, differing words, saving in thousandths) of the notices in a block, in its order.
@@ -123,21 +148,28 @@ class Scanner:
     def _notices(self, block: list[bytes], start: int, end: int, rest: int) -> list[tuple[int, str, int, int]]:
         """Notices that end ``rest`` words before the end of a window or earlier; their words are emptied in the block."""
         found = []
-        while True:  # one notice is taken out per round
-            best = None
+        while True:  # the notices of one template are taken out per round
             part = block[start:end]
-            for name in self.names:
-                for changed, a, b in self.places(name, part):
-                    if start + b <= end - rest and (best is None or changed <= best[0][0]):
-                        saving = self.saving(name, part[a:b])
-                        rank = (changed, -saving, name, a)
-                        if saving and (best is None or rank < best[0]):
-                            best = rank, b
-            if best is None:
+            for _, name in self.ranked(part) if any(part) else ():
+                places = self._apart(part, [p for p in self.places(name, part) if start + p[2] <= end - rest])
+                taken = [(c, a, b, s) for c, a, b in places if (s := self.saving(name, part[a:b]))]
+                if taken:
+                    break
+            else:
                 return found
-            (changed, saving, name, a), b = best
-            found.append((start + a, name, changed, round(-1000 * saving)))
-            block[start + a: start + b] = [b""] * (b - a)
+            for changed, a, b, saving in taken:
+                found.append((start + a, name, changed, saving))
+                block[start + a: start + b] = [b""] * (b - a)
+
+    @staticmethod
+    def _apart(part: list[bytes], places: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """Places that do not overlap, those with the fewest differing words first."""
+        used, out = [not w for w in part], []
+        for changed, a, b in places:
+            if not any(used[a:b]):
+                used[a:b] = [True] * (b - a)
+                out.append((changed, a, b))
+        return out
 
     def places(self, name: str, block: list[bytes]) -> list[tuple[int, int, int]]:
         """(differing words, start, end) of the places in the block that differ little from the template and in no decisive word."""
@@ -187,7 +219,7 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", te
                  restricted: frozenset[str] = RESTRICTED) -> DataFrame:
     """(doc_id, n_blocks, notices, restricted) per row; notices are structs of license, differing words and saving, in the text's order.
 
-    Null and empty texts have no block. Rows that repeat are scanned each. Rows are scanned where they lie, without a shuffle.
+    The saving is that of the notice's own words, in thousandths of their compressed bytes. Null and empty texts have no block; very long ones are read whole. Rows that repeat are scanned each. Rows are scanned where they lie, without a shuffle.
     """
     bounded_batches(docs.sparkSession)
     own: dict[str, Scanner] = {}
