@@ -99,7 +99,11 @@ def topic_top_words(model: LDAModel, vocab: list[str], n: int = 40) -> DataFrame
 
 def topic_relevance(model: LDAModel, vocab: list[str], counts: DataFrame, distribution: DataFrame, lengths: DataFrame,
                     lam: float = 0.6, doc: str = "doc_id") -> DataFrame:
-    """Prevalence of each topic and relevance of each word: λ·log p(w|t) + (1−λ)·log p(w|t)/p(w).
+    return relevance(topic_words(model, vocab), counts, distribution, lengths, lam, doc)
+
+
+def relevance(weights: DataFrame, counts: DataFrame, distribution: DataFrame, lengths: DataFrame, lam: float = 0.6, doc: str = "doc_id") -> DataFrame:
+    """Prevalence of each topic and relevance of each word: λ·log p(w|t) + (1−λ)·log p(w|t)/p(w), for (topic, term, weight) of any model.
 
     ``counts`` is (term, freq) over the vocabulary, ``lengths`` (doc, n) its words per document.
     """
@@ -107,7 +111,7 @@ def topic_relevance(model: LDAModel, vocab: list[str], counts: DataFrame, distri
     total = share.agg(F.sum("_s")).scalar()
     tokens = counts.agg(F.sum("freq")).scalar()
     marginal = counts.select("term", (F.col("freq") / tokens).alias("_p"))
-    rows = topic_words(model, vocab).join(marginal, "term").join(
+    rows = weights.join(marginal, "term").join(
         share.select("topic", (F.col("_s") / total).alias("prevalence")), "topic", "left")
     score = lam * F.log("weight") + (1 - lam) * F.log(F.col("weight") / F.col("_p"))
     return rows.select("topic", "prevalence", "term", "weight", score.alias("relevance"))

@@ -55,8 +55,8 @@ def _(spark, sf):
         "case when source = 'src9' then concat('x/', doc_id, '.csv') else concat('speeches/', doc_id, '.v1.txt') end as member",
         f"{BODY_SQL} as body")
     path = scratch_path(spark, "zip-text")
-    K.zip_members(d, "member", "body").write.parquet(path)
-    return R.zip_texts(spark.read.parquet(path).select("path", "content"))[0]
+    K.write_archives(K.zip_members(d, "member", "body"), path)
+    return R.read_zip_text(spark, path)
 
 
 @query("read_metadata_tsv", f"""with {V_DOC} select date_filter as Date, concat(speaker, ' (', type, ')') as NameAndParty,
@@ -102,9 +102,9 @@ def _(spark, sf):
     d = table(spark, sf, "documents").select(F.concat("doc_id", F.lit(".json")).alias("member"),
                                              F.to_json(F.struct(F.col("source").alias("title"), F.col("text").alias("content"))).alias("body"))
     path = scratch_path(spark, "zip-json")
-    K.zip_members(d, "member", "body").write.parquet(path)
+    K.write_archives(K.zip_members(d, "member", "body"), path)
     ids = table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
-    return R.zip_json(spark.read.parquet(path).select("path", "content"), ids)
+    return R.read_zip_json(spark, path, ids)
 
 
 @query("read_pages", "select page_id, url, html from pages")

@@ -7,7 +7,8 @@ from functools import lru_cache
 
 from pyspark.sql import Window, functions as F
 
-from rostrum.operators import aggregates as A, annotate as N, similarity as E, topics as TM
+from rostrum.functions.text import words
+from rostrum.operators import aggregates as A, annotate as N, similarity as E, topic_tables as TT, topics as TM
 from rostrum.operators.rows import spread, unnest
 from rostrum.plans.registry import query, table
 from rostrum.plans.relational import VOCAB_SQL, bench_words, vocabulary
@@ -222,6 +223,53 @@ def _(spark, sf):
     return TM.topic_relevance(model, vocab, vocabulary(spark, sf), TM.topic_distribution(model, vectors), TM.vector_lengths(vectors))
 
 
+# ---- topic model whose topics × words stay in tables: what its counts must sum to holds for any start and any number of steps
+
+def topic_tables(spark, sf: str, steps: int):
+    vocab = vocabulary(spark, sf)
+    bag = A.bag_of_words(token_array(spark, sf), "doc_id", "toks")
+    return TT.fit_topic_tables(bag, TM.index_vocabulary(vocab), steps=steps)
+
+
+@query("topic_table_words", f"""with {V_TOKEN} select term, freq, cast(24 as int) as topics, true as positive from ({VOCAB_SQL}) v""")
+def _(spark, sf):
+    """Per word the expected counts of all topics, which sum to its frequency in the corpus; the learnt prior is positive."""
+    mass = F.aggregate("lam", F.lit(0.0), lambda a, x: a + x - F.col("eta"))
+    return topic_tables(spark, sf, 3).words.select("term", F.round(mass).cast("long").alias("freq"), F.size("lam").alias("topics"), (F.col("eta") > 0).alias("positive"))
+
+
+@query("topic_table_documents", f"""with {V_TOKEN} select doc_id, count(*) as words, cast(24 as bigint) as topics, 1.0::double as prob
+  from v_token join ({VOCAB_SQL}) v on tok = term group by 1""")
+def _(spark, sf):
+    """Per document the expected counts of all topics, which sum to its words of the vocabulary, and the sum of its shares."""
+    model = topic_tables(spark, sf, 2)
+    shares = TT.document_topics(model).groupBy("doc_id").agg(F.count("*").alias("topics"), F.round(F.sum("prob"), 6).alias("prob"))
+    mass = F.aggregate("gamma", F.lit(-sum(model.alpha)), lambda a, g: a + g)
+    return model.docs.select("doc_id", F.round(mass).cast("long").alias("words")).join(shares, "doc_id")
+
+
+def source_words(spark, sf: str):
+    """Sources as topics: the share of every word in the words of a source."""
+    toks = table(spark, sf, "documents").select(F.col("source").alias("topic"), words(F.lower("text")).alias("toks"))
+    counts = unnest(toks, "topic", term="toks").groupBy("topic", "term").agg(F.count("*").alias("n"))
+    totals = counts.groupBy("topic").agg(F.sum("n").alias("total"))
+    return counts.join(totals, "topic").select("topic", "term", (F.col("n") / F.col("total")).alias("weight"))
+
+
+@query("topic_distances", r"""with c as (select source, tok, count(*) as n from (select source, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+', 0)) as tok from documents) t group by 1, 2),
+  p as (select source, tok, n / sum(n) over (partition by source) as p from c), s as (select distinct source from p),
+  e as (select a.source as a, b.source as b, tok, coalesce(max(p) filter (where p.source = a.source), 0) as x, coalesce(max(p) filter (where p.source = b.source), 0) as y
+    from s a join s b on a.source < b.source join p on p.source in (a.source, b.source) group by 1, 2, 3)
+  select a, b, round(sum(case when x > 0 then x * ln(2 * x / (x + y)) else 0 end + case when y > 0 then y * ln(2 * y / (x + y)) else 0 end) / 2, 9) as distance from e group by 1, 2""")
+def _(spark, sf):
+    return TT.topic_distances(source_words(spark, sf)).select("a", "b", F.round("distance", 9).alias("distance"))
+
+
+@query("topic_map")
+def _(spark, sf):
+    return TT.topic_map(TT.topic_distances(source_words(spark, sf)))
+
+
 EDGES_SQL = """with t as (select vec_id as doc_id, cast(generate_subscripts(embedding, 1) - 1 as int) as topic, unnest(embedding) as prob from embeddings),
   r as (select doc_id, topic from (select *, row_number() over (partition by doc_id order by prob desc, topic) as rn from t) x where rn <= 3),
   p as (select a.topic as s, b.topic as t, count(*) as n from r a join r b on a.doc_id = b.doc_id and a.topic < b.topic group by 1, 2)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rostrum import schemas
 from rostrum.functions.text import speech_body, strip_chars, strip_space
 from rostrum.operators.joins import rank_one, semi_join_ids
+from rostrum.sources.archives import archive_members, read_members
 
 
 def parse_speech_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -81,7 +82,12 @@ def zip_texts(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The hash is the second path part up to its first dot; of members with the same hash the last one counts.
     """
-    members = unzip(archives, ".txt").withColumn("Hash", F.regexp_extract("member", r"\A[^/]*/([^/.]*)", 1))
+    return member_texts(unzip(archives, ".txt"))
+
+
+def member_texts(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same for (archive, member, pos, text, error) rows."""
+    members = members.withColumn("Hash", F.regexp_extract("member", r"\A[^/]*/([^/.]*)", 1))
     good = F.col("error").isNull() & F.coalesce(F.col("member").contains("/"), F.lit(False))
     texts = rank_one(members.filter(good), "Hash", F.col("archive").desc(), F.col("pos").desc())
     return texts.select("Hash", speech_body("text").alias("Text")), members.filter(~good).select("archive", "member", "error")
@@ -92,18 +98,30 @@ def binary_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_zip_text(spark: SparkSession, path: str) -> DataFrame:
-    return zip_texts(binary_files(spark, path))[0]
+    """Texts of archives of any size below ``path``, read by member ranges."""
+    members = archive_members(spark, path)
+    return member_texts(read_members(members.filter(F.col("error").isNotNull() | F.col("member").endswith(".txt"))))[0]
 
 
 def zip_json(archives: DataFrame, ids: DataFrame, schema: str = "title string, content string", key: str = "id") -> DataFrame:
     """``<id>.json`` members whose id is wanted; only those are decoded."""
-    members = unzip(archives, ".json").withColumn(key, F.regexp_extract("member", r"\A([0-9]+)", 1).try_cast("bigint"))
-    wanted = semi_join_ids(members.select(key, "text"), ids, key)
+    members = unzip(archives, ".json").withColumn(key, _number_of_name())
+    return _decoded(semi_join_ids(members.select(key, "text"), ids, key), schema, key)
+
+
+def _number_of_name() -> Column:
+    return F.regexp_extract("member", r"\A([0-9]+)", 1).try_cast("bigint")
+
+
+def _decoded(wanted: DataFrame, schema: str, key: str) -> DataFrame:
     return wanted.select(key, F.from_json("text", schema).alias("j")).select(key, "j.*")
 
 
-def read_zip_json(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
-    return zip_json(binary_files(spark, path), ids)
+def read_zip_json(spark: SparkSession, path: str, ids: DataFrame, schema: str = "title string, content string", key: str = "id") -> DataFrame:
+    """Members whose id is wanted, of archives of any size below ``path``; the others are neither read nor unpacked."""
+    members = archive_members(spark, path).filter(F.col("member").endswith(".json") & F.col("error").isNull()).withColumn(key, _number_of_name())
+    texts = read_members(semi_join_ids(members, ids, key)).withColumn(key, _number_of_name())
+    return _decoded(texts.filter("error is null").select(key, "text"), schema, key)
 
 
 def read_metadata_tsv(spark: SparkSession, path: str, names: Sequence[str] = schemas.METADATA_COLUMNS) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -62,6 +64,24 @@ def zip_members(df: DataFrame, member: str, text: str, per_archive: int = 1000)
     return df.select(member, text).mapInPandas(run, "path string, content binary")
 
 
+def write_archives(archives: DataFrame, folder: str) -> None:
+    """Write (path, content) rows as files of a shared folder, named by a hash of both; a task that runs again writes the same files."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+        system, root = fs.FileSystem.from_uri("file:///" + folder.removeprefix("file:").lstrip("/") if folder.startswith(("/", "file:")) else folder)
+        system.create_dir(root, recursive=True)
+        for b in batches:
+            for name, data in zip(b["path"], b["content"]):
+                digest = hashlib.sha256(name.encode() + bytes(data)).hexdigest()
+                part = f"{root}/.{digest}-{uuid.uuid4().hex}"
+                with system.open_output_stream(part) as f:
+                    f.write(bytes(data))
+                system.move(part, f"{root}/{digest}.zip")
+            yield pd.DataFrame({"n": [len(b)]})
+
+    archives.select("path", "content").mapInPandas(run, "n long").agg(F.sum("n")).collect()
+
+
 def write_topic_graph(edges: DataFrame, k: int, path: str) -> None:
     """Topic graph as two tables: nodes (id, name) and edges (source, target, weight)."""
     spark = edges.sparkSession

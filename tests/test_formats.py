@@ -5,9 +5,10 @@ import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from rostrum.operators import project as P
-from rostrum.sources import files as R, sinks as K
+from rostrum.sources import archives as Z, files as R, sinks as K
 
 
 def test_speech_lines(spark, tmp_path):
@@ -55,6 +56,30 @@ def test_zip_json(spark, tmp_path):
     assert sorted(r["title"] for r in R.read_zip_json(spark, str(tmp_path), ids).collect()) == ["t1", "t3"]
 
 
+def test_archives_by_member_ranges(spark, tmp_path):
+    """An archive behind three gigabytes of nothing, unpacked in several tasks; broken members and files are rows with errors."""
+    with open(tmp_path / "big.zip", "wb") as f:
+        f.truncate(3 << 30)
+    with zipfile.ZipFile(tmp_path / "big.zip", "a") as z:
+        for i in range(60):
+            z.writestr(f"d/h{i}.txt", f"1\n2\nbody {i} " * 50, [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2][i % 3])
+    small = bytearray(archive([("d/x.txt", b"1\n2\nabc"), ("d/y.txt", b"\xff\xfe"), ("n.json", b"{}")]))
+    small[small.index(b"d/x.txt") + 7 + 1] ^= 0xff  # first data byte of the first member
+    (tmp_path / "small.zip").write_bytes(bytes(small))
+    (tmp_path / "none.zip").write_bytes(b"no archive")
+    (tmp_path / "void.zip").write_bytes(archive([]))
+    members = Z.archive_members(spark, str(tmp_path))
+    assert members.count() == 60 + 3 + 1
+    texts = Z.read_members(members.filter("member is null or member like '%.txt'"), task_bytes=4000)
+    rows = texts.select("*", F.spark_partition_id().alias("task")).collect()
+    good = {r.member: r for r in rows if r.error is None}
+    assert {m: r.text for m, r in good.items()} == {f"d/h{i}.txt": f"1\n2\nbody {i} " * 50 for i in range(60)}
+    assert len({r.task for r in good.values()}) > 3
+    assert sorted(r.member or "" for r in rows if r.error) == ["", "d/x.txt", "d/y.txt"]
+    assert R.read_zip_text(spark, str(tmp_path)).count() == 60
+    assert Z.read_members(members.limit(0)).count() == 0
+
+
 def test_metadata_tsv(spark, tmp_path):
     (tmp_path / "m.tsv").write_text("a\tb\tc\td\te\tf\tg\th\n2001.01.01.\t?\tNév (P)\tp_azon=x1\tfelszólalás\tk\thttp://x\th1\n", encoding="utf-8")
     row = R.read_metadata_tsv(spark, str(tmp_path)).first()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rostrum.operators import topic_tables as T
-from rostrum.operators.topics import index_vocabulary
+from rostrum.operators.topics import index_vocabulary, relevance
 
 
 def test_special_functions():
@@ -34,6 +34,9 @@ def test_disjoint_groups_and_priors(spark):
     assert model.words.agg(F.max("eta")).first()[0] < 1.5
     top = T.document_topics(model).groupBy("doc_id").agg(F.max("prob").alias("p"), F.sum("prob").alias("s")).collect()
     assert len(top) == 60 and all(r.p > 0.95 and abs(r.s - 1) < 1e-9 for r in top)
+    lengths = bag.groupBy("doc_id").agg(F.sum("tf").alias("n"))
+    terms = relevance(T.word_weights(model), bag.groupBy("term").agg(F.sum("tf").alias("freq")), T.document_topics(model), lengths).collect()
+    assert len(terms) == 2 * model.words.count() and sum({r.topic: r.prevalence for r in terms}.values()) == pytest.approx(1)
     words = {r.term: sum(r.lam) - 2 * r.eta for r in model.words.collect()}
     freq = {r.term: r.n for r in bag.groupBy("term").agg(F.sum("tf").alias("n")).collect()}
     assert words == pytest.approx(freq, rel=1e-9)
