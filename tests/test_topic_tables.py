@@ -1,13 +1,15 @@
 """Topic model on tables: special functions, exact masses, learnt priors, and the map of topics."""
 
 import math
+import os
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rostrum.operators import topic_tables as T
+from rostrum.operators import topic_tables as T, topics as TM
 from rostrum.operators.topics import index_vocabulary, relevance
+from rostrum.session import shared_root
 
 
 def test_special_functions():
@@ -69,3 +71,41 @@ def test_topic_distances_and_map(spark):
     with pytest.raises(ValueError):
         T.topic_map(spark.createDataFrame(flat, "a int, b int, distance double"), limit=5)
     assert T.topic_map(spark.createDataFrame([], "a int, b int, distance double")).count() == 0
+
+
+def test_blocks_and_groups_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    sizes, words, alpha = rng.integers(1, 30, 50), rng.random((40, 3)) + 0.01, np.full(3, 0.2)
+    rows, tf = rng.integers(0, 40, sizes.sum()), rng.integers(1, 5, sizes.sum()).astype(float)
+    gamma, counts = T.estimate_blocks(rows, sizes, tf, words, alpha)
+    monkeypatch.setattr(T, "BLOCK", 40)
+    small, again = T.estimate_blocks(rows, sizes, tf, words, alpha)
+    assert np.allclose(gamma, small, rtol=1e-9) and np.allclose(counts, again, rtol=1e-9) and counts.sum() == pytest.approx(tf.sum())
+    assert [len(x) for x in T.estimate_blocks(rows[:0], sizes[:0], tf[:0], words[:0], alpha)] == [0, 0]
+
+
+def test_scratch_tables_of_steps_are_removed(spark):
+    root = os.path.join(shared_root(spark).removeprefix("file:"), "rostrum")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    bag = groups(spark)
+    T.fit_topic_tables(bag, index_vocabulary(bag.groupBy("term").agg(F.sum("tf").alias("freq"))), k=2, steps=3, per_group=150)
+    assert len([f for f in set(os.listdir(root)) - before if f.startswith(("topic-", "word-"))]) == 2  # the words, and the last step with the documents
+
+
+def test_trained_model_holds_no_matrix_on_the_driver(spark):
+    rows = [(i // 2, ["alma", "körte", "alma"] if i % 2 else ["busz", "vonat"]) for i in range(60)] + [(90, []), (None, ["alma"]), (91, None), (92, ["x"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, toks array<string>")
+    index = index_vocabulary(docs.select(F.explode("toks").alias("term")).filter("term <> 'x'").groupBy("term").agg(F.count("*").alias("freq")))
+    vectors = TM.index_vectors(docs, index)
+    assert vectors.count() == 64 and vectors.filter("size(features) = 0").count() == 2 and vectors.filter("features is null").count() == 1
+    model = TM.fit_lda(vectors, k=2, size=4, chunk=20, per_group=9)  # several chunks of several groups
+    assert model.words.count() == 4 and len(model.sums) == 2 == len(model.alpha)
+    d = TM.topic_distribution(model, vectors, min_prob=0, per_group=9).groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("prob").alias("s")).collect()
+    got = {r.doc_id: (r.n, round(r.s, 9)) for r in d}
+    assert got == {**{i: (4, 2.0) for i in range(30)}, 90: (2, 0.0), 92: (2, 0.0), None: (2, 1.0)}  # one distribution per row, also of a repeated id
+    words = TM.topic_words(model, index).collect()
+    assert len(words) == 8 and all(sum(r.weight for r in words if r.topic == t) == pytest.approx(1) for t in (0, 1))
+    top = TM.topic_top_words(model, index, 1).collect()
+    assert {(r.topic, r["rank"]) for r in top} == {(0, 1), (1, 1)} and all(r.weight == max(w.weight for w in words if w.topic == r.topic) for r in top)
+    empty = TM.fit_lda(vectors.limit(0), k=2, size=4)
+    assert empty.words.count() == 4 and TM.topic_distribution(empty, vectors.limit(0)).count() == 0
