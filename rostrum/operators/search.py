@@ -20,7 +20,7 @@ from rostrum.operators.filters import search_filter
 from rostrum.operators.joins import skip_duplicate_suggestions
 from rostrum.operators.ordered import page_results
 from rostrum.operators.rows import compute_once, group_in_row, unnest
-from rostrum.session import cut_lineage
+from rostrum.session import cut_lineage, remove_scratch, save_table
 
 
 @dataclass(frozen=True)
@@ -199,11 +199,12 @@ def build_postings(index: DataFrame, id_col: str = "id") -> DataFrame:
     return unnest(grouped, id_col, "field", "dl", _x="_e").select(id_col, "field", "dl", "_x.*")
 
 
-def write_postings(postings: DataFrame, path: str, id_col: str = "id", partitions: int | None = None) -> None:
+def write_postings(postings: DataFrame, path: str, id_col: str = "id", partitions: int | None = None, mode: str = "error") -> None:
     """Store clustered by term, so that a term is found by row-group statistics; frequent terms span several files."""
-    by = ["term", id_col]
-    ranged = postings.repartitionByRange(partitions, *by) if partitions else postings.repartitionByRange(*by)
-    ranged.sortWithinPartitions("term", "field", id_col).write.parquet(path)
+    by, staged = ["term", id_col], save_table(postings, "postings")  # the range partitioner reads its input twice
+    ranged = staged.rows.repartitionByRange(partitions, *by) if partitions else staged.rows.repartitionByRange(*by)
+    ranged.sortWithinPartitions("term", "field", id_col).write.mode(mode).parquet(path)
+    remove_scratch(postings.sparkSession, staged.path)
 
 
 def refresh_postings(postings: DataFrame, changed: DataFrame, id_col: str = "id") -> DataFrame:

@@ -13,13 +13,15 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rostrum.operators import search as S
 from rostrum.operators.filters import search_filter
 from rostrum.operators.joins import skip_duplicate_suggestions
 from rostrum.operators.ordered import page_results
-from rostrum.session import cut_lineage
+from rostrum.operators.rows import compute_once
+from rostrum.session import cut_lineage, remove_scratch, save_table
 
 CUTS = 1000  # borders of lengths that are kept on the driver
 LISTED = 1000  # up to so many blocks are named in the scan's filter, more are joined
@@ -30,11 +32,14 @@ def with_blocks(index: DataFrame, size: int = 4096, id_col: str = "id") -> DataF
     """Add ``block``: documents of similar text length, about ``size`` in each."""
     length = F.size(F.array_compact(F.coalesce("t_text", F.array().cast("array<string>"))))
     blocks = max(1, -(-index.count() // size))
-    cuts = min(blocks, CUTS)
+    cuts, parts = min(blocks, CUTS), -(-blocks // min(blocks, CUTS))
     borders = index.agg(F.percentile_approx(length, [i / cuts for i in range(1, cuts)], 10_000)).first()[0] if cuts > 1 else []
-    own = F.aggregate(F.array(*[F.lit(b) for b in borders]).cast("array<int>"), F.lit(0), lambda n, b: n + (length > b).cast("int")) if borders else F.lit(0)
-    parts = -(-blocks // cuts)
-    return index.withColumn("block", own.cast("int") * parts + F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int"))
+    own = F.lit(0)
+    if borders:  # a binary search for the number of borders below the length, which is counted once per row
+        index, steps = compute_once(index, {"_length": (length - 1).cast("double")}), sorted(set(borders))
+        index = Bucketizer(splits=[-math.inf, *steps, math.inf], inputCol="_length", outputCol="_step").transform(index)
+        own = F.get(F.array(F.lit(0), *[F.lit(sum(b <= s for b in borders)) for s in steps]), F.col("_step").cast("int"))
+    return index.withColumn("block", own.cast("int") * parts + F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int")).drop("_length", "_step")
 
 
 def write_blocks(index: DataFrame, path: str, size: int = 4096, id_col: str = "id") -> None:
@@ -45,8 +50,10 @@ def write_blocks(index: DataFrame, path: str, size: int = 4096, id_col: str = "i
     S.field_stats(index).write.parquet(f"{path}/stats")
     index.drop(*[f"t_{n}" for n in fields]).write.parquet(f"{path}/records")
     postings = S.build_postings(index.withColumn("_doc", F.struct("block", id_col)), "_doc").select("_doc.*", "field", "term", "tf", "positions", "dl")
-    by_term = postings.repartitionByRange("term", "block").sortWithinPartitions("term", "block", "field")
+    staged = save_table(postings, "postings")  # the range partitioner reads its input twice
+    by_term = staged.rows.repartitionByRange("term", "block").sortWithinPartitions("term", "block", "field")
     by_term.write.parquet(f"{path}/postings")
+    remove_scratch(spark, staged.path)
     average = spark.read.parquet(f"{path}/stats").select("field", (F.col("len") / F.col("n")).alias("avgdl"))  # one row per field
     weight = S._saturation(F.col("tf"), F.col("dl"), F.col("avgdl"))
     blocks = spark.read.parquet(f"{path}/postings").join(F.broadcast(average), "field").groupBy("term", "field", "block").agg(

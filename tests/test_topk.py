@@ -1,6 +1,7 @@
 """First pages from blocks, and completions, against the plain search and the plain list."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from rostrum.operators import search as S, topk
 from rostrum.session import scratch_path
@@ -38,3 +39,14 @@ def test_completions(spark):
         assert topk.complete(spark, path, q, n).collect() == S.suggest_prefix(suggestions, q, n).collect(), q
     stored = spark.read.parquet(f"{path}/prefixes")
     assert stored.groupBy("prefix", "length").count().filter("count > 6").count() == 0
+
+
+def test_blocks_count_the_borders_below_a_length(spark):
+    lengths = [0, 1, 1, 1, 2, 2, 3, 5, 8, 8, 8, 9]
+    index = spark.createDataFrame([(i, ["a"] * n if n else None) for i, n in enumerate(lengths)], "id long, t_text array<string>")
+    borders = index.agg(F.percentile_approx(F.size(F.coalesce("t_text", F.array())), [i / 6 for i in range(1, 6)], 10_000)).first()[0]
+    assert len(set(borders)) < len(borders)  # a border may come twice
+    dealt = topk.with_blocks(index, size=2)
+    assert {r.id: r.block for r in dealt.collect()} == {i: sum(n > b for b in borders) for i, n in enumerate(lengths)}
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_compact") + plan.count("isnotnull(lambda") <= 1 and "aggregate(" not in plan  # the length is not counted per border
