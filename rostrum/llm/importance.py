@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from rostrum.llm.fixed import binary_text, bounded_batches, kth_largest, saved, vector_sum
+from rostrum.llm.fixed import SMALL_BATCH_BYTES, binary_text, bounded_batches, kth_largest, saved, vector_sum
 from rostrum.llm.toxicity import labelled_ids
 from rostrum.llm.words import PAD, WORDLIKE, chain, hash_spans, mix, runs, texts_of
 
@@ -91,14 +91,14 @@ def importance_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id"
     with equal keys at the threshold are all kept. A null or empty text has weight 0. Without a labelled document in the input every row is kept.
     With ``whole_rows`` the result is the kept rows of ``docs`` themselves, weighed once more rather than shuffled to a join.
     """
-    spark = bounded_batches(docs.sparkSession)
+    spark = bounded_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     target = labelled_ids(labels, doc_id, label, 1, rows)
     # The threshold is taken from target documents that the model has not seen, as those it has learnt from weigh more than their like.
     learnt, unseen = ([i for k, i in enumerate(target) if k % 5], target[::5]) if len(target) > 9 else (target, target)
     ratio = ratios(binary_text(docs, doc_id, text), learnt, buckets)
     weighed = saved(weigh(docs, ratio, doc_id, text, seed), "weights")
     if share is None:
-        chosen = weighed.join(F.broadcast(spark.createDataFrame([(i,) for i in unseen], "doc_id long")), "doc_id")  # at most ``rows`` ids
+        chosen = weighed.join(F.broadcast(spark.createDataFrame(pa.table({"doc_id": pa.array(unseen, pa.int64())}))), "doc_id")  # at most ``rows`` ids
         least = kth_largest(chosen, "log_weight", math.ceil((1 - loss) * chosen.count()))
         k = weighed.filter(F.col("log_weight") >= F.lit(-math.inf if least is None else least)).count()
     else:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rostrum.llm.components import components
-from rostrum.llm.fixed import IdFilter, binary_text, bounded_batches, saved, vector_sum
+from rostrum.llm.fixed import SMALL_BATCH_BYTES, IdFilter, binary_text, bounded_batches, saved, vector_sum
 from rostrum.llm.words import chain, groups, hash_spans, rows, texts_of, words_of
 
 COUNTERS = 1 << 20
@@ -259,7 +259,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     A null or empty text has an empty set and links with nothing. Rows that repeat an id are one document of the graph. A row
     without an id keeps a null one; it takes part only through a copy that has an id, else its component is null. Other columns are not read.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     docs = binary_text(docs, doc_id, text)
     sets = saved(_sets(docs, size, percent), "sets")
     some = sets.filter("fp is not null")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from rostrum.llm.encoders import cache_of
-from rostrum.llm.fixed import binary_text, bounded_batches
+from rostrum.llm.fixed import SMALL_BATCH_BYTES, binary_text, bounded_batches
 from rostrum.llm.words import per_row, ragged, texts_of, words_of
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -144,7 +144,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     common counter and a repeated task gives the same rows. ``max_open`` windows are held open per task; no id is dropped at any value. Very long
     texts fill whole windows; columns of other names are ignored, an empty table gives no row.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH_BYTES)
 
     def kernel(batches: Iterator[pa.RecordBatch]):
         from pyspark import TaskContext

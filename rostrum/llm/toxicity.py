@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from rostrum.llm.fixed import binary_text, bounded_batches
+from rostrum.llm.fixed import SMALL_BATCH_BYTES, binary_text, bounded_batches
 from rostrum.llm.words import PAD, UnitCache, hash_spans, lanes_of, mix, per_row, ragged, texts_of, words_of
 
 _LANE = np.array([(1 << (8 * n)) - 1 for n in range(8)], np.uint64)
@@ -180,7 +180,7 @@ def labelled_ids(labels: DataFrame, doc_id: str, label: str, value: int, rows: i
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = 1700, max_words: int = 1500,
         **training) -> Model | None:
     """Train on at most ``rows`` labelled documents of each class of at most ``max_words`` words; None where a class has none."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     known = {i: v for v in (0, 1) for i in labelled_ids(labels, doc_id, label, v, rows)}
     ids = np.array(sorted(known), np.int64)
 
@@ -213,7 +213,7 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
 
     Without a model (no labels to learn from) every score is 0.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH_BYTES)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     holder: dict = {}  # one cache per worker's copy of this function
     kept = binary_text(docs, doc_id, text, *more)

@@ -1,9 +1,12 @@
 """The pipeline stage by stage, against brute force on its own input."""
 
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
+from rostrum.llm import importance, jaccard, toxicity
+from rostrum.llm.fixed import binary_text
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -71,3 +74,27 @@ def test_near_copies_without_ids_and_odd_columns(spark):
     for _, stage in P.STAGES[:-1]:
         blank = stage(spark, blank, FOLDER)
     assert blank.count() >= 2
+
+
+def test_stages_hold_small_batches(spark):
+    """A worker's arrays are many times the bytes of its batch, and several workers share an executor's memory."""
+    def size_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 2000) as text").coalesce(1)
+    started = {"toxicity": lambda: toxicity.toxicity(docs, labels), "importance": lambda: importance.importance_sample(docs, labels),
+               "jaccard": lambda: jaccard.jaccard_components(docs.limit(20)), "packing": lambda: P.pack(spark, docs, FOLDER)}
+    for name, start in started.items():
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        start()
+        sizes = binary_text(docs, "doc_id", "text").mapInArrow(size_of, "n long").collect()
+        assert max(r.n for r in sizes) < 1.1 * (1 << 20), name
+
+
+def test_classifier_without_unseen_documents(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (None, "c")], "doc_id long, text string")
+    for rows in ([], [(1, 1)], [(77, 1)]):
+        labels = spark.createDataFrame(rows, "doc_id long, quality int")
+        assert importance.importance_sample(docs, labels).filter("kept").count() >= 1
