@@ -22,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from rostrum.llm.fixed import binary_text, bounded_batches
-from rostrum.llm.words import PAD, UnitCache, mix, texts_of
+from rostrum.llm.words import PAD, UnitCache, distinct, hash_spans, mix, texts_of
 
 BLANK = "▁"
 _BLANK = BLANK.encode()
 _NONE = -np.inf
+BITS = 20  # bit tables of hashes that tell quickly what is no piece
+_SHIFT = np.uint64(64 - BITS)
 UNKNOWN = 10.0  # fixed value: how far below the smallest score a character without a piece lies
 
 
@@ -53,20 +55,28 @@ class Pieces:
             self.bytes_of[i] = text[i].encode()
         for b, i in byte.items():
             self.bytes_of[i] = bytes([b])
-        keys = np.array([self._hash_one(p) for p in self.score], np.uint64)
+        keys, prefixes = self._hashes(list(self.score))
         order = np.argsort(keys)
         values = list(self.score.values())
         self.keys = keys[order]
         self.values = np.array([values[i][0] for i in order])
         self.ids = np.array([values[i][1] for i in order], np.int64)
+        self.begins, self.whole = np.zeros(1 << BITS, bool), np.zeros(1 << BITS, bool)
+        self.begins[prefixes >> _SHIFT] = True
+        self.whole[keys >> _SHIFT] = True
         self.searched = lru_cache(maxsize=50_000)(self.best)
 
     @staticmethod
-    def _hash_one(piece: str) -> int:
-        h = np.zeros(1, np.uint64)
-        for c in piece:
-            h = mix(h ^ np.uint64(ord(c) + (1 << 32)))
-        return int(h[0])
+    def _hashes(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the pieces, and of all their beginnings."""
+        lens = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        codes = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1 << 32)
+        first, h, found = np.cumsum(lens) - lens, np.zeros(len(pieces), np.uint64), []
+        for e in range(int(lens.max(initial=0))):
+            r = np.flatnonzero(lens > e)
+            h[r] = mix(h[r] ^ codes[first[r] + e])
+            found.append(h[r])
+        return h, np.concatenate(found) if found else h
 
     # ---- one unit
 
@@ -124,43 +134,53 @@ class Pieces:
     def _viterbi(self, texts: list[str], rows: list[int], size: int, out: list) -> None:
         m = len(texts)
         codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).reshape(m, size).astype(np.uint64) + np.uint64(1 << 32)
-        weight: dict[tuple[int, int], np.ndarray] = {}
-        piece: dict[tuple[int, int], np.ndarray] = {}
+        edges: dict[int, list[tuple[int, np.ndarray | slice, np.ndarray, np.ndarray]]] = {e: [] for e in range(1, size + 1)}  # start, rows, scores, ids
+        every = slice(None)
         for s in range(size):
-            h = np.zeros(m, np.uint64)
+            live, h = np.arange(m), np.zeros(m, np.uint64)
             for e in range(s + 1, min(size, s + self.longest) + 1):
-                h = mix(h ^ codes[:, e - 1])
-                at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-                hit = self.keys[at] == h
-                weight[s, e] = np.where(hit, self.values[at], self.unknown if e == s + 1 else _NONE)
-                piece[s, e] = np.where(hit, self.ids[at], -1)
-        ahead, back = np.full((size + 1, m), _NONE), np.zeros((size + 1, m), np.int64)
+                h = mix(h ^ codes[live, e - 1])
+                may = np.flatnonzero(self.whole[h >> _SHIFT])
+                at = np.minimum(np.searchsorted(self.keys, h[may]), len(self.keys) - 1)
+                hit = self.keys[at] == h[may]
+                r, at = live[may[hit]], at[hit]
+                if e == s + 1:
+                    score, ids = np.full(m, self.unknown), np.full(m, -1)
+                    score[r], ids[r] = self.values[at], self.ids[at]
+                    edges[e].append((s, every, score, ids))
+                elif len(r):
+                    edges[e].append((s, r, self.values[at], self.ids[at]))
+                on = np.flatnonzero(self.begins[h >> _SHIFT])  # others begin no piece
+                if not len(on):
+                    break
+                if len(on) < len(live):
+                    live, h = live[on], h[on]
+        for own in edges.values():
+            own.sort(key=lambda x: x[0])
+        ahead, back, piece = np.full((size + 1, m), _NONE), np.zeros((size + 1, m), np.int64), np.full((size + 1, m), -1)
         ahead[0] = 0
         for e in range(1, size + 1):
-            for s in range(max(0, e - self.longest), e):
-                total = ahead[s] + weight[s, e]
-                better = total > ahead[e]
-                ahead[e][better], back[e][better] = total[better], s
+            for s, r, w, ids in edges[e]:
+                total = ahead[s][r] + w
+                better = np.flatnonzero(total > ahead[e][r])
+                to = better if r is every else r[better]
+                ahead[e][to], back[e][to], piece[e][to] = total[better], s, ids[better]
         behind = np.full((size + 1, m), _NONE)
         behind[size] = 0
-        for s in range(size - 1, -1, -1):
-            for e in range(s + 1, min(size, s + self.longest) + 1):
-                np.maximum(behind[s], weight[s, e] + behind[e], out=behind[s])
+        for e in range(size, 0, -1):
+            for s, r, w, _ in edges[e]:
+                behind[s][r] = np.maximum(behind[s][r], w + behind[e][r])
         on = np.zeros((size + 1, m), bool)
         on[size] = True
         second = np.full(m, _NONE)
         found: list[tuple[np.ndarray, int, np.ndarray]] = []
         for e in range(size, 0, -1):
             r = np.flatnonzero(on[e])
-            start = back[e][r]
-            on[start, r] = True
-            for s in range(max(0, e - self.longest), e):
-                mine = on[e] & (back[e] == s)
-                np.maximum(second, np.where(mine, _NONE, ahead[s] + weight[s, e] + behind[e]), out=second)
-            ids = np.empty(len(r), np.int64)
-            for s in np.unique(start):
-                ids[start == s] = piece[int(s), e][r[start == s]]
-            found.append((r, e, ids))
+            on[back[e][r], r] = True
+            for s, to, w, _ in edges[e]:
+                mine = on[e][to] & (back[e][to] == s)
+                second[to] = np.maximum(second[to], np.where(mine, _NONE, ahead[s][to] + w + behind[e][to]))
+            found.append((r, e, piece[e][r]))
         best = ahead[size]
         row = np.concatenate([f[0] for f in found])
         ids = np.concatenate([f[2] for f in found])
@@ -243,21 +263,24 @@ def nbest(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
             buf[: len(joined)] = np.frombuffer(joined, np.uint8)
             cuts = np.concatenate([[0], np.cumsum([len(t) for t in marked])]).astype(np.int64)
             starts, ends, ptr = unit_spans(buf, cuts)
-            pool, off, length = cache.lookup(buf, starts, ends)
-            own_pool, own_off, own_length = encoded.lookup(buf, starts, ends)
+            units = distinct(hash_spans(buf, starts, ends))
+            pool, off, length = cache.lookup(buf, starts, ends, units)
+            own_pool, own_off, own_length = encoded.lookup(buf, starts, ends, units)
             cols: dict[str, list] = {c: [] for c in ("doc_id", "rank", "score", "n_pieces", "ids_crc32", "round_trip", "model_pieces", "model_crc32", "ids",
                                                      "model_ids")}
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 a, b = int(ptr[i]), int(ptr[i + 1])
-                found = _of_text(joined, pool, off[a:b], length[a:b], starts[a:b], ends[a:b], pieces, n) if b > a else [(0.0, np.empty(0, np.int32))]
+                found = _of_text(joined, pool, off[a:b], length[a:b], starts[a:b], ends[a:b], pieces, n) if b > a else [(0.0, np.empty(0, np.int32), False)]
                 whole = texts[i].decode("utf-8", "replace")
                 if BLANK in whole:  # the library takes it for a blank, so units do not part there
                     own = np.array(pieces.model.encode(whole), np.int32)
                 else:
                     own = _joined(own_pool, own_off[a:b], own_length[a:b])
                 model = (len(own), zlib.crc32(own.astype("<u4").tobytes()))
-                for rank, (score, ids) in enumerate(found, 1):
-                    values = (doc, rank, score, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), pieces.decode(ids.tolist()) == whole, *model,
+                trip = False
+                for rank, (score, ids, same) in enumerate(found, 1):
+                    trip = trip if same else pieces.decode(ids.tolist()) == whole
+                    values = (doc, rank, score, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), trip, *model,
                               ids.tolist() if with_ids else None, own.tolist() if with_ids else None)
                     for c, v in zip(cols, values):
                         cols[c].append(v)
@@ -279,8 +302,8 @@ def _joined(pool, off, length) -> np.ndarray:
     return pool[np.repeat(off - stop + length, length) + np.arange(int(stop[-1]))].astype(np.int32)
 
 
-def _of_text(data: bytes, pool, off, length, starts, ends, pieces: Pieces, n: int) -> list[tuple[float, np.ndarray]]:
-    """The n best (score, ids) of one text from the values of its units."""
+def _of_text(data: bytes, pool, off, length, starts, ends, pieces: Pieces, n: int) -> list[tuple[float, np.ndarray, bool]]:
+    """The n best (score, ids, whether the ids stand for the same bytes as those before) of one text from the values of its units."""
     total, gaps = float(pool[off].sum()), pool[off + 1]
     size = length - 2
     stop = np.cumsum(size)
@@ -292,11 +315,13 @@ def _of_text(data: bytes, pool, off, length, starts, ends, pieces: Pieces, n: in
         few = np.concatenate([under, np.flatnonzero(gaps == edge)[: len(few) - len(under)]])
     vary = np.sort(few[np.isfinite(gaps[few])])
     names = [data[starts[i]: ends[i]].decode("utf-8", "replace").replace(" ", BLANK) for i in vary.tolist()]
-    out = []
+    out, last = [], None
     for loss, ids in pieces.merge(names, n):
+        said = [b"".join(map(pieces.bytes_of.__getitem__, own)) for own in ids]
         parts, at = [], 0
         for i, piece in zip(vary.tolist(), ids):
             parts += [flat[at: stop[i] - size[i]], np.array(piece, np.int32)]
             at = stop[i]
-        out.append((total - loss, np.concatenate([*parts, flat[at:]])))
+        out.append((total - loss, np.concatenate([*parts, flat[at:]]), said == last))
+        last = said
     return out

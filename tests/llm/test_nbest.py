@@ -83,3 +83,22 @@ def test_model_encoding_equals_the_library(spark):
         want = model.encode(texts[r.doc_id]) if r.doc_id >= 0 else []
         assert r.model_ids == want and r.model_pieces == len(want), texts[r.doc_id]
         assert r.model_crc32 == zlib.crc32(np.array(want, "<u4").tobytes())
+
+
+def test_units_are_searched_and_texts_decoded_once(monkeypatch):
+    """One search of a batch serves both caches; a path whose changed units stand for the same bytes needs no second decoding."""
+    pieces = N.Pieces(PATH)
+    keys, beginnings = pieces._hashes(["ab", "abc"])
+    assert keys[0] == beginnings[2] == beginnings[3] and keys[1] == beginnings[4] and len(set(beginnings.tolist())) == 3
+    text = b" the cat sat on the mat"
+    buf = np.concatenate([np.frombuffer(text, np.uint8), np.zeros(N.PAD, np.uint8)])
+    starts, ends, _ = N.unit_spans(buf, np.array([0, len(text)]))
+    units = N.distinct(N.hash_spans(buf, starts, ends))
+    cache = N.UnitCache(lambda found: pieces.compute([u.replace(b" ", N._BLANK) for u in found]))
+    pool, off, length = cache.lookup(buf, starts, ends)
+    found = N._of_text(text, pool, off, length, starts, ends, pieces, 3)
+    assert [same for _, _, same in found] == [False, True, True]
+    assert {pieces.decode(ids.tolist()) for _, ids, _ in found} == {text[1:].decode()}
+    monkeypatch.setattr("rostrum.llm.words.hash_spans", None)
+    again = cache.lookup(buf, starts, ends, units)
+    assert again[1].tolist() == off.tolist() and again[2].tolist() == length.tolist()
