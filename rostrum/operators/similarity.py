@@ -71,7 +71,7 @@ def esa_top_concepts(docs: DataFrame, concepts: DataFrame, k: int = 10, doc: str
     return _top(left.groupBy("_g", "_b").cogroup(right.groupBy("_g", "_b")).applyInPandas(run, schema), k, doc, concept)
 
 
-def _tile(x: pd.DataFrame, y: pd.DataFrame, k: int, doc: str, concept: str, term: str, pairs: int = 4_000_000) -> pd.DataFrame:
+def _tile(x: pd.DataFrame, y: pd.DataFrame, k: int, doc: str, concept: str, term: str, pairs: int = 500_000) -> pd.DataFrame:
     """The ``k`` best concepts of each document of a tile; about ``pairs`` products are held at once."""
     terms = pd.Index(y[term].unique())
     y = y.assign(_t=terms.get_indexer(y[term])).sort_values("_t")

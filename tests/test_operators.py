@@ -3,7 +3,10 @@
 import datetime as dt
 import json
 import random
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +85,20 @@ def test_similarity_blocks_agree(spark):
     assert all(r["item_id"] == d - 100 and abs(r["score"] - 1) < 1e-9 for d, r in best.items())
 
 
+def test_similarity_tile_holds_few_products():
+    """Common terms make many products per weight; the memory of a tile follows its rows."""
+    rng = np.random.default_rng(1)
+    x = pd.DataFrame({"doc_id": np.repeat(np.arange(4000), 10), "term": [f"w{i}" for _ in range(4000) for i in range(10)], "_dw": rng.random(40_000)})
+    y = pd.DataFrame({"item_id": np.repeat(np.arange(100), 10), "term": [f"w{i}" for _ in range(100) for i in range(10)], "_cw": rng.random(1000)})
+    tracemalloc.start()
+    got = E._tile(x, y, 3, "doc_id", "item_id", "term")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100_000_000
+    want = x["_dw"].to_numpy().reshape(4000, 10) @ y["_cw"].to_numpy().reshape(100, 10).T
+    assert len(got) == 12_000 and np.allclose(got["score"].to_numpy().reshape(4000, 3), -np.sort(-want, axis=1)[:, :3])
+
+
 def test_topic_model(spark):
     docs = spark.createDataFrame([(i, ["alma", "körte"] * 5 if i % 2 else ["busz", "vonat"] * 5) for i in range(40)], "doc_id bigint, toks array<string>")
     vocab = TM.vocabulary_list(A.word_count(docs, "toks"))
