@@ -109,3 +109,36 @@ def test_trained_model_holds_no_matrix_on_the_driver(spark):
     assert {(r.topic, r["rank"]) for r in top} == {(0, 1), (1, 1)} and all(r.weight == max(w.weight for w in words if w.topic == r.topic) for r in top)
     empty = TM.fit_lda(vectors.limit(0), k=2, size=4)
     assert empty.words.count() == 4 and TM.topic_distribution(empty, vectors.limit(0)).count() == 0
+
+
+def test_documents_of_one_size_share_a_block(spark, monkeypatch):
+    """A round is two products of matrices with little padding; the numbers are those of one document after the other."""
+    rng = np.random.default_rng(3)
+    sizes, words, alpha = rng.integers(1, 120, 400), rng.random((300, 4)) + 0.01, np.array([0.1, 0.5, 0.2, 0.3])
+    rows, tf, seen, run = rng.integers(0, 300, sizes.sum()), rng.integers(1, 5, sizes.sum()).astype(float), [], T.estimate
+    monkeypatch.setattr(T, "estimate", lambda held, tf, *a, **b: (seen.append((held.shape, tf.shape)), run(held, tf, *a, **b))[1])
+    gamma, counts = T.estimate_blocks(rows, sizes, tf, words, alpha)
+    assert sum(t[0] for _, t in seen) == 400 and len(seen) < 40 and all(h == (*t, 4) and t[0] * t[1] <= T.BLOCK for h, t in seen)
+    assert sum(a * b for _, (a, b) in seen) < 1.3 * sizes.sum()
+    want = np.zeros(words.shape)
+    for d, a in enumerate(np.cumsum(sizes) - sizes):
+        own, n, g = rows[a:a + sizes[d]], tf[a:a + sizes[d]], np.ones(4)
+        for step in range(1, 61):
+            p = np.exp(T.digamma(g)) * words[own]
+            new = alpha + (p * (n / p.sum(axis=1))[:, None]).sum(axis=0)
+            moved, g = np.abs(new - g).mean(), new
+            if step % 3 == 0 and moved < 1e-4:
+                break
+        assert np.allclose(gamma[d], g, rtol=1e-9)
+        p = np.exp(T.digamma(g)) * words[own]
+        np.add.at(want, own, p * (n / p.sum(axis=1))[:, None])
+    assert np.allclose(counts, want, rtol=1e-9)
+    again, none = T.estimate_blocks(rows, sizes, tf, words, alpha, counted=False)
+    assert np.array_equal(again, gamma) and none.shape == (0, 4)
+
+
+def test_links_hold_each_word_of_a_group_once(spark):
+    docs = spark.createDataFrame([(g, c, [(i, 1.0) for i in held]) for g, c, held in ((0, 0, [1, 2]), (0, 0, [2, 5]), (1, 0, [2]), (2, 1, [1, 5]))],
+                                 "grp int, chunk int, held array<struct<idx:int,tf:double>>").coalesce(1)
+    links = T.word_links(docs, "chunk").rows
+    assert sorted((r.chunk, r.grp, r.idx) for r in links.collect()) == [(0, 0, 1), (0, 0, 2), (0, 0, 5), (0, 1, 2), (1, 2, 1), (1, 2, 5)]
