@@ -7,6 +7,7 @@ import tracemalloc
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -240,3 +241,45 @@ def test_gazetteer_lengths(spark):
     phrases = spark.createDataFrame([("a", "X"), ("a b c", "Y"), ("b c d", "Z"), ("c", "X"), ("c", "X")], "phrase string, tag string")
     got = sorted(tuple(r) for r in N.gazetteer_entities(docs, phrases, "toks", ["doc"]).collect())
     assert got == [(1, 0, "a", "X"), (1, 0, "a b c", "Y"), (1, 2, "c", "X"), (4, 0, "c", "X"), (4, 2, "a", "X")]
+
+
+def test_words_are_counted_many_rows_at_a_time(monkeypatch):
+    monkeypatch.setattr(A, "PIECE", 4)
+    toks = pa.array([["a", "b", "a"], None, ["b", None, "c"], [], ["c"] * 9, ["a"], []], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), toks], names=["doc", "toks"]).slice(1)
+    got = [list(p.column("doc").to_pylist()) for p in A.pieces(batch, "toks")]
+    assert sum(got, []) == [1, 2, 3, 4, 5, 6] and len(got) > 1 and list(A.pieces(batch.slice(0, 0), "toks")) == []
+    row, code, n, words = A.count_in_rows(batch.column("toks"))
+    assert [(r, words[c].as_py(), x) for r, c, x in zip(row.tolist(), code.tolist(), n.tolist())] == [(1, "b", 1), (1, "c", 1), (3, "c", 9), (4, "a", 1)]
+    assert [len(x) for x in A.count_in_rows(toks.slice(0, 0))] == [0, 0, 0, 0]
+
+
+def test_vectors_look_up_each_word_once_a_piece(spark):
+    """What meets the vocabulary are the different words of many rows, not the words of each row."""
+    docs = spark.createDataFrame([(i % 40, ["x", f"w{i % 3}", "x", None]) for i in range(80)] + [(None, None), (99, []), (98, ["rare"])], "doc_id long, toks array<string>").coalesce(1)
+    index = spark.createDataFrame([(0, "x"), (1, "w1"), (2, "w0")], "idx long, term string")
+    kind, met = type(docs), []
+    join = kind.join
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(kind, "join", lambda self, *a, **b: (met.append(self.count()), join(self, *a, **b))[1])
+        rows = TM.index_vectors(docs, index).collect()
+    assert met == [5]  # x, w0, w1, w2, rare
+    want = {0: [(0, 2.0), (2, 1.0)], 1: [(0, 2.0), (1, 1.0)], 2: [(0, 2.0)]}
+    held = sorted((r.doc_id, [tuple(e) for e in r.features]) for r in rows if r.doc_id is not None)
+    assert held == sorted([(i % 40, want[i % 3]) for i in range(80)] + [(98, []), (99, [])]) and [r.features for r in rows if r.doc_id is None] == [None]
+
+
+def test_model_queries_split_the_texts_once(spark, monkeypatch, tmp_path):
+    from __spark_entry__ import queries
+
+    from rostrum.plans import language, relational
+
+    rows, calls = [(i, " ".join(f"w{(i * j) % 41}" for j in range(1, 41))) for i in range(80)], []
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for plans in (language, relational):
+        monkeypatch.setattr(plans, "token_array", lambda *a, f=plans.token_array: (calls.append(a), f(*a))[1])
+    language._words.cache_clear()
+    language._model.cache_clear()
+    for name in ("topic_relevance", "topic_relevance_facts", "topic_table_words"):
+        assert queries()[name](spark, str(tmp_path)).count() > 0
+    assert len(calls) == 1
