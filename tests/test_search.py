@@ -2,6 +2,7 @@
 
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +135,26 @@ def test_one_evaluation(index):
     page, _, dates = S.search(index, "atomerőmű", stop=STOP)
     assert {r["id"]: round(r["score"], 9) for r in page.collect()} == whole
     assert "regexp" not in dates._jdf.queryExecution().optimizedPlan().toString()  # reads the stored hits
+
+
+def test_postings_of_many_documents_come_sorted(spark):
+    """Words of many documents are grouped together: by term and id, with the positions and lengths of each document."""
+    texts = [(9, "b a the b"), (2, "the a"), (5, None), (7, ""), (None, "a c"), (2, "b")]
+    index = S.index_documents(spark.createDataFrame(texts, "id long, text string"), ["the"]).coalesce(1)
+    rows = S.build_postings(index).collect()
+    want = sorted((term, i, [p for p, w in enumerate(t.split()) if w == term], sum(w != "the" for w in t.split()))
+                  for i, t in texts if t and i is not None for term in {*t.split()} - {"the"})
+    got = [(r.term, r.id, r.positions, r.dl) for r in rows if r.id is not None]
+    assert [g[:2] for g in got] == sorted(g[:2] for g in got) and sorted(got) == want and all(r.tf == len(r.positions) and r.field == "text" for r in rows)
+    assert sorted((r.term, r.positions, r.dl) for r in rows if r.id is None) == [("a", [0], 2), ("c", [1], 2)]
+    texts = S.build_postings(S.index_documents(spark.createDataFrame([("é", "x"), ("a", "x")], "id string, text string"))).coalesce(1)
+    assert texts.dtypes == [("id", "string"), ("field", "string"), ("dl", "int"), ("term", "string"), ("tf", "int"), ("positions", "array<int>")] and texts.count() == 2
+
+
+def test_equal_words_beyond_one_number_of_64_bits():
+    """Too many keys for one number are sorted in two steps, with the same rows."""
+    lists = pa.array([["a", "b", "a"], ["b"], None], pa.list_(pa.string()))
+    want = [x.to_pylist() for x in S._posted(pa.array([3, 1, 2]), lists)]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(S, "BITS", 1)
+        assert [x.to_pylist() for x in S._posted(pa.array([3, 1, 2]), lists)] == want == [[3, 1, 3], [3, 1, 3], ["a", "b", "b"], [2, 1, 1], [[0, 2], [0], [1]]]
